@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, rules, sharding
+from tidemark.llm import chat, decontam, mixing, rules, sharding, simhash
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +15,22 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(docs).select("doc_id", x["size"].alias("size"), x["source_size"].alias("source_size"), x["target"].alias("target"), taken.alias("taken"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+    return found.select("doc_id", "contaminated", "n_items", F.array_min("items").alias("first_item"), "containment")
+
+
 def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return sharding.shard(docs).select("doc_id", F.col("shard_bytes").alias("size"), F.col("shard_key").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
@@ -32,9 +43,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_shard, op7_format_chat, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_shard, op5_simhash, op7_format_chat, op10_quality_rules)}
+
+_SHINGLES = r"""
+            SELECT {id} AS id, n, CASE WHEN n >= 5 THEN list_distinct(list_transform(range(1, n - 3), lambda i: array_to_string(w[i:i+4], ' '))) WHEN n > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+            FROM (SELECT {id}, w, len(w)::BIGINT AS n FROM (SELECT {id}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM {table}))
+"""
 
 ORACLES = {
+    "op2_decontaminate": f"""
+        WITH docs AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+        items AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+        sought AS (SELECT id AS item_id, len(g) AS size, n, unnest(g) AS s FROM items),
+        had AS (SELECT id AS doc_id, n, unnest(g) AS s FROM docs),
+        found AS (
+            SELECT doc_id, item_id, count(*) / any_value(size)::DOUBLE AS containment FROM had JOIN sought USING (s)
+            GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(size)
+        ), best AS (SELECT doc_id, count(*)::BIGINT AS n, min(item_id) AS first_item, max(containment) AS containment FROM found GROUP BY doc_id)
+        SELECT d.doc_id, b.doc_id IS NOT NULL AS contaminated, coalesce(b.n, 0)::BIGINT AS n_items, first_item, coalesce(containment, 0.0)::DOUBLE AS containment
+        FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
+    """,
     "op1_mix_sources": r"""
         WITH sized AS (
             SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))::BIGINT AS size

@@ -2,8 +2,8 @@
 
 Eight rules look at a document and vote good or bad, or abstain. How often a rule's votes are right, among good and among
 bad documents, is estimated without labels by expectation-maximisation over the counts of vote patterns of all documents
-(two rates for each rule and the share of good documents; with eight rules there are at most 3^8 patterns, however large
-the table). A document is kept if its posterior probability of being good is at least one half.
+(its rates of good and bad votes and of abstentions in either class, and the share of good documents; with eight rules
+there are at most 3^8 patterns, however large the table). A document is kept if its posterior probability of being good is at least one half.
 
 Built from DataFrame functions only. Words in repeated 3-word windows are found inside the row: hashes of the windows are
 sorted with their positions, and equal neighbours mark repeats, so a text costs n log n and nothing is shuffled.
@@ -20,8 +20,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.scale import WORD, let, materialize
 
 ROUNDS = 40
-#: Where the rates start, and how many documents' worth of belief in it stays.
-START_RATE, PRIOR_WEIGHT, START_GOOD = 0.8, 20.0, 0.8
+#: Where the rates start, and how many documents' worth of belief in it stays: how often a
+#: rule votes bad (0), good (1) or abstains (x) among good (g) and bad (b) documents.
+START = {"g0": 0.01, "g1": 0.69, "gx": 0.3, "b0": 0.3, "b1": 0.4, "bx": 0.3}
+PRIOR_WEIGHT, START_GOOD = 1.0, 0.8
+#: The vote that each rate is about.
+VOTE = {"0": 0, "1": 1, "x": -1}
 MIN_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
 
@@ -71,39 +75,42 @@ def votes() -> list[Column]:
 
 
 def _log_odds(pattern: Column, good: Column, rates: Column) -> Column:
-    """Log-odds of good: the prior's, and each vote's. rates: of each rule, a = P(good vote | good), b = P(bad vote | bad)."""
-    part = lambda v, r: F.when(v == 1, F.log(r["a"] / (1 - r["b"]))).when(v == 0, F.log((1 - r["a"]) / r["b"])).otherwise(0.0)
+    """Log-odds of good: the prior's, and each rule's. rates: of each rule, how often it votes 0, 1 or abstains (x), among good and bad."""
+    part = lambda v, r: F.when(v == 1, F.log(r["g1"] / r["b1"])).when(v == 0, F.log(r["g0"] / r["b0"])).otherwise(F.log(r["gx"] / r["bx"]))
     return F.log(good / (1 - good)) + F.aggregate(F.zip_with(pattern, rates, part), F.lit(0.0), lambda s, x: s + x)
 
 
-def estimate(voted: DataFrame, rounds: int = ROUNDS) -> tuple[float, list[tuple[float, float]]]:
-    """Share of good documents, and (a, b) of each rule, from a column `votes` (array of 1, 0, -1 for an abstention)."""
+def _rates(values: dict[str, Column]) -> Column:
+    return F.struct(*[values[k].alias(k) for k in START])
+
+
+def estimate(voted: DataFrame, rounds: int = ROUNDS) -> tuple[float, list[dict[str, float]]]:
+    """Share of good documents, and the rates of each rule, from a column `votes` (array of 1, 0, -1 for an abstention)."""
     many = len(votes())
     patterns = voted.groupBy("votes").agg(F.count("*").cast("double").alias("n"))
-    one = patterns.agg(F.collect_list(F.struct("votes", "n")).alias("patterns"))
-    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("a1", "a", "b0", "b")])
+    one = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("patterns"))
+    zero = _rates({k: F.lit(0.0) for k in START})
 
     def round_of(state: Column, _: Column) -> Column:
         def add(s: Column, p: Column) -> Column:
             def with_posterior(q: Column) -> Column:
-                good, bad = p["n"] * q, p["n"] * (1 - q)
-
-                def rule(r: Column, v: Column) -> Column:
-                    is_ = lambda cond, x: F.when(cond, x).otherwise(0.0)
-                    return F.struct((r["a1"] + is_(v == 1, good)).alias("a1"), (r["a"] + is_(v >= 0, good)).alias("a"), (r["b0"] + is_(v == 0, bad)).alias("b0"), (r["b"] + is_(v >= 0, bad)).alias("b"))
-
-                return F.struct((s["good"] + good).alias("good"), (s["all"] + p["n"]).alias("all"), F.zip_with(s["rules"], p["votes"], rule).alias("rules"))
+                share = {"g": p["n"] * q, "b": p["n"] * (1 - q)}
+                rule = lambda r, v: _rates({k: r[k] + F.when(v == VOTE[k[1]], share[k[0]]).otherwise(0.0) for k in START})
+                return F.struct((s["good"] + share["g"]).alias("good"), (s["all"] + p["n"]).alias("all"), F.zip_with(s["rules"], p["votes"], rule).alias("rules"))
 
             return let(1 / (1 + F.exp(-_log_odds(p["votes"], state["good"], state["rates"]))), with_posterior)
 
+        def done(s: Column) -> Column:
+            of = {"g": s["good"], "b": s["all"] - s["good"]}
+            rules = F.transform(s["rules"], lambda r: _rates({k: (r[k] + PRIOR_WEIGHT * x) / (of[k[0]] + PRIOR_WEIGHT) for k, x in START.items()}))
+            return F.struct(((s["good"] + START_GOOD * PRIOR_WEIGHT) / (s["all"] + PRIOR_WEIGHT)).alias("good"), rules.alias("rates"))
+
         start = F.struct(F.lit(0.0).alias("good"), F.lit(0.0).alias("all"), F.array(*[zero] * many).alias("rules"))
-        rate = lambda hit, n: (hit + START_RATE * PRIOR_WEIGHT) / (n + PRIOR_WEIGHT)
-        done = lambda s: F.struct(((s["good"] + START_GOOD * PRIOR_WEIGHT) / (s["all"] + PRIOR_WEIGHT)).alias("good"), F.transform(s["rules"], lambda r: F.struct(rate(r["a1"], r["a"]).alias("a"), rate(r["b0"], r["b"]).alias("b"))).alias("rates"))
         return let(F.aggregate("patterns", start, add), done)
 
-    begin = F.struct(F.lit(START_GOOD).alias("good"), F.array(*[F.struct(F.lit(START_RATE).alias("a"), F.lit(START_RATE).alias("b"))] * many).alias("rates"))
+    begin = F.struct(F.lit(START_GOOD).alias("good"), F.array(*[_rates({k: F.lit(x) for k, x in START.items()})] * many).alias("rates"))
     found = one.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), begin, round_of).alias("x")).first()["x"]
-    return found["good"], [(r["a"], r["b"]) for r in found["rates"]]
+    return found["good"], [r.asDict() for r in found["rates"]]
 
 
 def judge(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -111,7 +118,7 @@ def judge(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     coded = F.array(*[F.coalesce(v, F.lit(-1)) for v in votes()])
     voted = materialize(measure(docs).withColumn("votes", coded), "rules-votes")
     good, rates = estimate(voted, rounds)
-    literal = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in rates])
+    literal = F.array(*[_rates({k: F.lit(x) for k, x in r.items()}) for r in rates])
     out = voted.withColumn("quality", 1 / (1 + F.exp(-_log_odds(F.col("votes"), F.lit(good), literal))))
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))

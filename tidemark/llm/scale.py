@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -73,3 +75,12 @@ def let(value: Column, then) -> Column:
 def crc_of_id(doc_id: Column) -> Column:
     """CRC-32 of the id as text (null as empty), as the contracts' folds take it."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+def on_workers(df: DataFrame) -> DataFrame:
+    """df, after seeing to it that Python workers started from here on can import this package where it is installed by path."""
+    root, env = str(Path(__file__).resolve().parents[2]), df.sparkSession.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    return df
