@@ -107,6 +107,17 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         return mixed(np.add.reduceat(values, before) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def prefix_hashes(data: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the first `size` bytes, lower-cased, of words that are longer."""
+    total = np.zeros(len(start), np.uint64)
+    with np.errstate(over="ignore"):
+        power = np.uint64(size * 2 + 1)
+        for k in range(size):
+            total += (_LOWER[data[start + k]].astype(np.uint64) + np.uint64(1)) * power
+            power *= _BASE
+        return ~mixed(total)
+
+
 def shingles_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `size` words, and the number of the text of each; a text of fewer words is one run, of none none."""
     n = words.counts

@@ -1,9 +1,9 @@
 """Quality rules as weak supervision.
 
-Eight rules look at a document and vote good or bad, or abstain. How often a rule's votes are right, among good and among
-bad documents, is estimated without labels by expectation-maximisation over the counts of vote patterns of all documents
-(its rates of good and bad votes and of abstentions in either class, and the share of good documents; with eight rules
-there are at most 3^8 patterns, however large the table). A document is kept if its posterior probability of being good is at least one half.
+Eight rules look at a document and vote good or bad, or abstain. How often each rule's votes are right is estimated
+without labels by expectation-maximisation over the counts of vote patterns of all documents (with eight rules there are
+at most 3^8 patterns, however large the table). A document is kept if its posterior probability of being good is at least
+one half; an abstention says nothing about it.
 
 Built from DataFrame functions only. Words in repeated 3-word windows are found inside the row: hashes of the windows are
 sorted with their positions, and equal neighbours mark repeats, so a text costs n log n and nothing is shuffled.
@@ -20,12 +20,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.scale import WORD, let, materialize
 
 ROUNDS = 40
-#: Where the rates start, and how many documents' worth of belief in it stays: how often a
-#: rule votes bad (0), good (1) or abstains (x) among good (g) and bad (b) documents.
-START = {"g0": 0.01, "g1": 0.69, "gx": 0.3, "b0": 0.3, "b1": 0.4, "bx": 0.3}
-PRIOR_WEIGHT, START_GOOD = 1.0, 0.8
-#: The vote that each rate is about.
-VOTE = {"0": 0, "1": 1, "x": -1}
+#: Where accuracies start, and how many documents' worth of belief in that stays.
+START_ACCURACY, PRIOR_WEIGHT = 0.9, 10.0
+#: Log-odds of good before any vote. Rules that only ever name faults can't tell it from their own accuracy, so it is given.
+PRIOR_ODDS = 0.0
 MIN_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
 
@@ -55,70 +53,57 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def votes() -> list[Column]:
-    """A vote of each rule: 1 good, 0 bad, null abstains."""
+    """A vote of each rule: 1 good, 0 bad, null abstains. Most rules know one fault and say nothing else."""
     n, per_word = F.col("n_words"), lambda c: F.col(c) / F.greatest(F.col("n_words"), F.lit(1))
     length = F.col("word_chars") / F.greatest(n, F.lit(1))
-
-    def vote(bad: Column, good: Column) -> Column:
-        return F.when(bad, 0).when(good, 1)
-
+    spread = per_word("n_distinct")
+    bad = lambda fault: F.when(fault, 0)
+    prose = (per_word("n_symbols") < 0.1) & (per_word("n_repeat_words") < 0.15) & (n >= 5 * F.col("n_lines"))
     return [
-        vote(per_word("n_symbols") > 0.2, per_word("n_symbols") < 0.02),
-        vote(F.col("n_dup_lines") * 10 > F.col("n_lines") * 3, (F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 2)),
-        vote(per_word("n_repeat_words") > 0.3, per_word("n_repeat_words") < 0.15),
-        vote(F.col("n_capitals") * 2 > F.col("word_chars"), F.col("n_capitals") * 6 < F.col("word_chars")),
-        vote((length < 2) | (length > 14), (length >= 3) & (length <= 10)),
-        vote((n < 3 * F.col("n_lines")) & (F.col("n_lines") >= 5), n >= 8 * F.col("n_lines")),
-        vote(per_word("n_shouts") > 0.3, per_word("n_shouts") < 0.05),
-        vote((n >= 20) & (per_word("n_distinct") < 0.2), (n >= 20) & (n <= 2000) & (per_word("n_distinct") > 0.4)),
+        bad(per_word("n_symbols") > 0.2),
+        bad(F.col("n_dup_lines") * 10 > F.col("n_lines") * 3),
+        bad(per_word("n_repeat_words") > 0.3),
+        bad(F.col("n_capitals") * 2 > F.col("word_chars")),
+        bad((n > 0) & ((length < 2) | (length > 14))),
+        bad((n < 3 * F.col("n_lines")) & (F.col("n_lines") >= 5)),
+        bad(per_word("n_shouts") > 0.3),
+        F.when((n >= 20) & (n <= 2000) & (spread < 0.2), 0).when(prose, 1),
     ]
 
 
-def _log_odds(pattern: Column, good: Column, rates: Column) -> Column:
-    """Log-odds of good: the prior's, and each rule's. rates: of each rule, how often it votes 0, 1 or abstains (x), among good and bad."""
-    part = lambda v, r: F.when(v == 1, F.log(r["g1"] / r["b1"])).when(v == 0, F.log(r["g0"] / r["b0"])).otherwise(F.log(r["gx"] / r["bx"]))
-    return F.log(good / (1 - good)) + F.aggregate(F.zip_with(pattern, rates, part), F.lit(0.0), lambda s, x: s + x)
-
+def _log_odds(pattern: Column, accuracy: Column) -> Column:
+    """Log-odds of good: the prior's, and each vote's by its rule's accuracy; an abstention says nothing."""
+    part = lambda v, a: F.when(v == 1, F.log(a / (1 - a))).when(v == 0, F.log((1 - a) / a)).otherwise(0.0)
+    return F.lit(PRIOR_ODDS) + F.aggregate(F.zip_with(pattern, accuracy, part), F.lit(0.0), lambda s, x: s + x)
 
-def _rates(values: dict[str, Column]) -> Column:
-    return F.struct(*[values[k].alias(k) for k in START])
 
-
-def estimate(voted: DataFrame, rounds: int = ROUNDS) -> tuple[float, list[dict[str, float]]]:
-    """Share of good documents, and the rates of each rule, from a column `votes` (array of 1, 0, -1 for an abstention)."""
+def estimate(voted: DataFrame, rounds: int = ROUNDS) -> list[float]:
+    """Each rule's accuracy, from a column `votes` (array of 1, 0, -1 for an abstention)."""
     many = len(votes())
     patterns = voted.groupBy("votes").agg(F.count("*").cast("double").alias("n"))
     one = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("patterns"))
-    zero = _rates({k: F.lit(0.0) for k in START})
 
-    def round_of(state: Column, _: Column) -> Column:
+    def round_of(accuracy: Column, _: Column) -> Column:
         def add(s: Column, p: Column) -> Column:
             def with_posterior(q: Column) -> Column:
-                share = {"g": p["n"] * q, "b": p["n"] * (1 - q)}
-                rule = lambda r, v: _rates({k: r[k] + F.when(v == VOTE[k[1]], share[k[0]]).otherwise(0.0) for k in START})
-                return F.struct((s["good"] + share["g"]).alias("good"), (s["all"] + p["n"]).alias("all"), F.zip_with(s["rules"], p["votes"], rule).alias("rules"))
-
-            return let(1 / (1 + F.exp(-_log_odds(p["votes"], state["good"], state["rates"]))), with_posterior)
+                right = lambda v: p["n"] * F.when(v == 1, q).when(v == 0, 1 - q).otherwise(0.0)
+                return F.zip_with(s, p["votes"], lambda r, v: F.struct((r["right"] + right(v)).alias("right"), (r["all"] + F.when(v >= 0, p["n"]).otherwise(0.0)).alias("all")))
 
-        def done(s: Column) -> Column:
-            of = {"g": s["good"], "b": s["all"] - s["good"]}
-            rules = F.transform(s["rules"], lambda r: _rates({k: (r[k] + PRIOR_WEIGHT * x) / (of[k[0]] + PRIOR_WEIGHT) for k, x in START.items()}))
-            return F.struct(((s["good"] + START_GOOD * PRIOR_WEIGHT) / (s["all"] + PRIOR_WEIGHT)).alias("good"), rules.alias("rates"))
+            return let(1 / (1 + F.exp(-_log_odds(p["votes"], accuracy))), with_posterior)
 
-        start = F.struct(F.lit(0.0).alias("good"), F.lit(0.0).alias("all"), F.array(*[zero] * many).alias("rules"))
-        return let(F.aggregate("patterns", start, add), done)
+        none = F.array(*[F.struct(F.lit(0.0).alias("right"), F.lit(0.0).alias("all"))] * many)
+        return F.transform(F.aggregate("patterns", none, add), lambda r: (r["right"] + START_ACCURACY * PRIOR_WEIGHT) / (r["all"] + PRIOR_WEIGHT))
 
-    begin = F.struct(F.lit(START_GOOD).alias("good"), F.array(*[_rates({k: F.lit(x) for k, x in START.items()})] * many).alias("rates"))
-    found = one.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), begin, round_of).alias("x")).first()["x"]
-    return found["good"], [r.asDict() for r in found["rates"]]
+    begin = F.array(*[F.lit(START_ACCURACY)] * many)
+    return list(one.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), begin, round_of).alias("x")).first()["x"])
 
 
 def judge(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """What measure gives, then votes, base_failed, quality (posterior probability of good) and kept."""
     coded = F.array(*[F.coalesce(v, F.lit(-1)) for v in votes()])
     voted = materialize(measure(docs).withColumn("votes", coded), "rules-votes")
-    good, rates = estimate(voted, rounds)
-    literal = F.array(*[_rates({k: F.lit(x) for k, x in r.items()}) for r in rates])
-    out = voted.withColumn("quality", 1 / (1 + F.exp(-_log_odds(F.col("votes"), F.lit(good), literal))))
+    accuracy = estimate(voted, rounds)
+    literal = F.array(*[F.lit(x) for x in accuracy])
+    out = voted.withColumn("quality", 1 / (1 + F.exp(-_log_odds(F.col("votes"), literal))))
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
