@@ -6,6 +6,7 @@ contracts), and runs of ASCII letters, digits and non-ASCII bytes, which drop pu
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +18,8 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _WORDLIKE = np.zeros(256, dtype=bool)
 _WORDLIKE[48:58] = _WORDLIKE[65:91] = _WORDLIKE[97:123] = _WORDLIKE[128:] = True
+#: Bytes of text that NumPy handles at once.
+PIECE = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,6 +62,17 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
     return Texts(np.frombuffer(data, np.uint8, int(bounds[-1] - bounds[0]), int(bounds[0])), bounds - bounds[0])
 
 
+def pieces(batches: Iterator[pa.RecordBatch], column: int = -1, size: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about `size` bytes of text (a longer text is a slice of its own), so that arrays over their bytes stay small."""
+    for batch in batches:
+        bounds = texts_of(batch.column(column % batch.num_columns)).bounds
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + size, "right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 @dataclass
 class Words:
     """Of each word: its hash, its text's number, first byte and end; first: where each text's words start (and the end)."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytewords import shingles_of, texts_of, words_of
+from tidemark.llm.bytewords import pieces, shingles_of, texts_of, words_of
 from tidemark.llm.scale import materialize, on_workers
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -40,7 +40,7 @@ def shingle_rows(items: DataFrame) -> DataFrame:
     """item_id, shingle: distinct shingles of every item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             names, text = shingles_of(words_of(texts_of(batch.column(1)), punctuation=False), SHINGLE)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text)), pa.array(names.view(np.int64))], names=["item_id", "shingle"])
 
@@ -111,7 +111,7 @@ def search(docs: DataFrame, items: DataFrame, carry: list[str], threshold: float
 
         def run(batches: Iterator[pa.RecordBatch], held=held, place=place, name=f"_dc_held{block}") -> Iterator[pa.RecordBatch]:
             index = held.value
-            for batch in batches:
+            for batch in pieces(batches, place):
                 text, item, shared = index.held(batch.column(place), threshold)
                 offsets = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
                 found = pa.StructArray.from_arrays([pa.array(index.ids[item]), pa.array(index.sizes[item]), pa.array(shared.astype(np.int64))], names=["item_id", "item_shingles", "shared"])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytewords import texts_of
+from tidemark.llm.bytewords import pieces, texts_of
 from tidemark.llm.scale import crc_of_id, on_workers
 
 ORDER, MAX_DOCS, TEMPER = 3, 20_000, 20.0
@@ -72,7 +72,7 @@ def gram_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
     """lang, gram, n over all rows: sums in each task, then by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             symbols, text = stream(batch.column(1))
             own = grams(symbols, order)
             coded = batch.column(0).dictionary_encode()
@@ -183,7 +183,7 @@ def identify(docs: DataFrame, max_docs: int = MAX_DOCS, order: int = ORDER, keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.value
-        for batch in batches:
+        for batch in pieces(batches):
             column = batch.column(batch.num_columns - 1)
             bits, n = code_lengths(tables, column)
             known = lettered(column) & (n > 0) & bool(tables.langs)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytewords import Texts, pair_counts, shingles_of, sums_by_text, texts_of, words_of
+from tidemark.llm.bytewords import Texts, pair_counts, pieces, shingles_of, sums_by_text, texts_of, words_of
 from tidemark.llm.scale import materialize, on_workers
 from tidemark.llm.toxicity import CALIBRATION_FOLD, MAX_LABELLED, labelled
 
@@ -148,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labell
     sample = labelled(docs, labels, label, max_labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             yield pa.RecordBatch.from_arrays([pa.array(list(statistics(batch.column(0))), pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["stats", "label", "fold"])
 
     rows = materialize(on_workers(sample).select("text", "label", F.col("fold").cast("int").alias("fold")).mapInArrow(run, "stats array<double>, label int, fold int"), "quality-sample")
@@ -183,7 +183,7 @@ def score(docs: DataFrame, labels: DataFrame, carry: dict[str, Column], label: s
     inputs = docs.select(*[c.alias(k) for k, c in carry.items()], F.col("text").alias("_q_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = model.value.score(statistics(batch.column(batch.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names=[*batch.schema.names[:-1], "_q_score"])
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytewords import _LOWER, texts_of, words_of
+from tidemark.llm.bytewords import _LOWER, pieces, texts_of, words_of
 from tidemark.llm.scale import materialize, on_workers
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, text_key (a 64-bit hash of the text), fp (the fingerprint as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fingerprints_of(batch.column(2)).view(np.int64))], names=["doc_id", "text_key", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytewords import pair_counts, prefix_hashes, texts_of, words_of
+from tidemark.llm.bytewords import pair_counts, pieces, prefix_hashes, texts_of, words_of
 from tidemark.llm.scale import crc_of_id, materialize, on_workers
 
 FOLDS, CALIBRATION_FOLD = 5, 4
@@ -87,7 +87,7 @@ def token_counts(rows: DataFrame) -> DataFrame:
     """token, toxic, n, docs: how often the sample's documents of either label use each token, and how many use it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             found = tokens(batch.column(0))
             text = np.concatenate([found.text if has is None else found.text[has] for has, _ in found.kinds])
             of, name, n = pair_counts(text, np.concatenate([hashes for _, hashes in found.kinds]))
@@ -238,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled
     model = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             best, words = best_segments(batch.column(0), model.value)
             yield pa.RecordBatch.from_arrays([pa.array(best), pa.array(words), batch.column(1)], names=["best", "words", "label"])
 
@@ -253,7 +253,7 @@ def score(docs: DataFrame, labels: DataFrame, carry: dict[str, Column], label: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, law = model.value
-        for batch in batches:
+        for batch in pieces(batches):
             best, words = best_segments(batch.column(batch.num_columns - 1), lexicon)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(law.score(best, words)), pa.array(best)], names=[*batch.schema.names[:-1], "_tox_score", "_tox_best"])
 
@@ -267,7 +267,7 @@ def passages(docs: DataFrame, lexicon: Lexicon, law: Law, drift: float = DRIFT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, law = model.value
-        for batch in batches:
+        for batch in pieces(batches):
             found = tokens(batch.column(1))
             text, value = found.text, values_of(found, lexicon)
             first = np.searchsorted(text, np.arange(found.n + 1))
