@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, langid, mixing, quality, rules, sharding, simhash, toxicity
+from tidemark.llm import chat, decontam, langid, lm, mixing, quality, rules, sharding, simhash, toxicity
 
 from tidemark.llm.scale import crc_of_id
 
@@ -52,6 +52,10 @@ def op7_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_windows(said.unionByName(more)))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_held_out(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
@@ -64,7 +68,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_shard, op4_language, op5_simhash, op6_quality, op7_format_chat, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_shard, op4_language, op5_simhash, op6_quality, op7_format_chat, op8_lm_score, op9_toxicity, op10_quality_rules)}
 
 _SHINGLES = r"""
             SELECT {id} AS id, n, CASE WHEN n >= 5 THEN list_distinct(list_transform(range(1, n - 3), lambda i: array_to_string(w[i:i+4], ' '))) WHEN n > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
