@@ -55,7 +55,7 @@ def until_cut_off(plan: DataFrame, key: str, pos: str, hit: str, k: int) -> Data
     run = F.sum(1 - F.col(hit).cast("int")).over(Window.partitionBy(key, "_island").orderBy(pos))
     cut = islands.withColumn("_run", run).withColumn("_stop", ((F.col("_run") >= k) | F.col(hit)).cast("int"))
     earlier = F.max("_stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return cut.where(F.coalesce(earlier, F.lit(0)) == 0).drop("_island", "_run", "_stop")
+    return cut.withColumn("_over", F.coalesce(earlier, F.lit(0))).where("_over = 0").drop("_island", "_run", "_stop", "_over")
 
 
 def apply_rules(programmes: DataFrame, rules: DataFrame) -> DataFrame:

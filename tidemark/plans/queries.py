@@ -126,7 +126,7 @@ def timestamp_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     zone = F.when(F.col("event_id") % 5 == 0, "Z").when(F.col("event_id") % 5 == 1, " -0730").when(F.col("event_id") % 5 == 4, "").otherwise(" +0300")
     t = F.concat(F.substr(F.date_format("ts", "yyyyMMddHHmmss"), F.lit(1), size), zone)
     d = e.select("event_id", t.alias("t"))
-    return d.select("event_id", timeparse.instant(F.col("t")).alias("at"), timeparse.shift(F.col("t"), F.lit(90)).alias("shifted"), timeparse.convert(F.col("t"), "America/Los_Angeles").alias("converted"))
+    return d.select("event_id", timeparse.instant(F.col("t")).alias("instant_at"), timeparse.shift(F.col("t"), F.lit(90)).alias("shifted"), timeparse.convert(F.col("t"), "America/Los_Angeles").alias("converted"))
 
 
 def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
@@ -315,8 +315,8 @@ def queue_completeness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def plan_cutoff(spark: SparkSession, sf: str) -> DataFrame:
-    l = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") > 40).alias("hit"))
-    return enrich.until_cut_off(l, "l_orderkey", "l_linenumber", "hit", 2).select("l_orderkey", "l_linenumber", "hit")
+    l = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("pos"), (F.col("l_quantity") > 40).alias("hit"))
+    return enrich.until_cut_off(l, "l_orderkey", "pos", "hit", 2).select("l_orderkey", "l_linenumber", "hit")
 
 
 def family_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -394,7 +394,7 @@ def guide_stream(spark: SparkSession, sf: str) -> DataFrame:
     p = e.select(F.lit(0).alias("source_index"), F.col("user_id").cast("string").alias("channel"), F.col("ts").cast("timestamp").alias("start_at"), F.col("event_type").alias("title"))
     streams.guide_to_table(p, path, check).awaitTermination()
     back = spark.read.schema("channel string, start_at timestamp, title string, source_index int, start_date date").parquet(path)
-    return back.groupBy("start_date").agg(F.count("*").alias("n"), F.count_distinct("channel").alias("channels"))
+    return back.groupBy(F.col("start_date").cast("string").alias("start_date")).agg(F.count("*").alias("n"), F.count_distinct("channel").alias("channels"))
 
 
 QUERIES = {f.__name__: f for f in (

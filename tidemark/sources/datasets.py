@@ -35,7 +35,7 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
 def read_title_cache(spark: SparkSession, path: str) -> DataFrame:
     """Legacy title cache: {schema, entries: {`norm|year|type|lang`: entry}} or the bare map. Before schema 8 only finds with an id count."""
     entry = "struct<status:string,imdb_id:string,title:string,overview:string,confidence:int,miss_count:int,cached_at:string>"
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     schema = F.coalesce(F.get_json_object("value", "$.schema").try_cast("int"), F.lit(0))
     rows = text.select(schema.alias("schema"), F.explode(F.from_json(F.coalesce(F.get_json_object("value", "$.entries"), F.col("value")), f"map<string,{entry}>")).alias("key", "e"))
     part = F.split("key", r"\|", 4)
@@ -47,7 +47,7 @@ def read_title_cache(spark: SparkSession, path: str) -> DataFrame:
 def read_entity_cache(spark: SparkSession, path: str) -> DataFrame:
     """Legacy entities by id; the source label follows from what they have."""
     entry = "struct<rating:string,votes:string,title:string,overview:string,checked_at:string>"
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     rows = text.select(F.explode(F.from_json(F.coalesce(F.get_json_object("value", "$.entities"), F.col("value")), f"map<string,{entry}>")).alias("id", "e"))
     rows = rows.select(imdb_id(F.col("id")).alias("imdb_id"), "e.*").where("imdb_id != ''").withColumn("votes", votes(F.col("votes")))
     return rows.withColumn("source", F.when(filled(F.col("rating")) != "", "imdb-dataset").otherwise("unknown"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, line_no, line. A playlist is read as one value, so its lines keep their numbers; files are read in parallel."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return whole.select("file", F.posexplode(F.split(F.ltrim(F.col("value"), F.lit("﻿")), r"\r?\n")).alias("line_no", "line"))
 
 

@@ -48,7 +48,7 @@ def read_offsets(spark: SparkSession, path: str) -> DataFrame:
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     """A list of feeds, or an object with `sources` or `items`; several names of a setting are known. source_index is the place in the list."""
     item = "struct<url:string,xmltv:string,epg_url:string,name:string,id:string,enabled:boolean,groups:array<string>,group_scope:array<string>,regions:array<string>,region_scope:array<string>,require_region_for_id:boolean>"
-    text = spark.read.option("wholetext", True).text(path).select(F.trim("value").alias("v"))
+    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
     listed = F.from_json(F.when(F.startswith("v", F.lit("[")), F.concat(F.lit('{"sources":'), F.col("v"), F.lit("}"))).otherwise(F.col("v")), f"struct<sources:array<{item}>,items:array<{item}>>")
     rows = text.select(F.posexplode(F.coalesce(listed["sources"], listed["items"])).alias("source_index", "x"))
     none = F.array().cast("array<string>")
@@ -61,7 +61,7 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
 
 def read_title_aliases(spark: SparkSession, path: str) -> DataFrame:
     """norm, aliases: search hints from {canonical: [aliases]} (or under `aliases`), without those that are equal to it."""
-    text = spark.read.option("wholetext", True).text(path).select(F.trim("value").alias("v"))
+    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
     inner = F.coalesce(F.get_json_object("v", "$.aliases"), F.col("v"))
     rows = text.select(F.explode(F.from_json(inner, "map<string,string>")).alias("canonical", "raw"))
     listed = F.coalesce(F.from_json("raw", "array<string>"), F.array("raw"))
@@ -72,7 +72,7 @@ def read_title_aliases(spark: SparkSession, path: str) -> DataFrame:
 def read_metadata_rules(spark: SparkSession, path: str) -> DataFrame:
     """rule_ord, id, title_base, min_minutes, needles, year, imdb_id, imdb_rating, genres, description of enabled rules."""
     item = "struct<id:string,enabled:boolean,title_base:string,min_duration_minutes:int,channel_name_contains_any:array<string>,year:string,imdb_id:string,imdb_rating:string,genres:array<string>,description:string>"
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     rules = F.coalesce(F.from_json("value", f"struct<rules:array<{item}>>")["rules"], F.from_json("value", f"array<{item}>"))
     rows = text.select(F.posexplode(rules).alias("rule_ord", "x")).where(F.coalesce("x.enabled", F.lit(True)))
     none = F.array().cast("array<string>")
@@ -80,7 +80,7 @@ def read_metadata_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_watchlist(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     names = F.coalesce(F.from_json("value", "struct<channels:array<string>>")["channels"], F.from_json("value", "array<string>"))
     return text.select(F.explode(names).alias("n")).select(F.trim("n").alias("name")).where("name != ''").distinct()
 
