@@ -135,7 +135,7 @@ def fold_tables(lang: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int =
         cost[: len(seen), :, j] = shorter
     missing = row < 0
     row[missing] = len(seen) + np.flatnonzero(missing) % size ** (order - 1)
-    return Tables(langs, number.astype(np.int64), row, cost.reshape(-1, len(langs)), size, order)
+    return Tables(langs, number.astype(np.int64), row, cost.reshape(cost.shape[0] * size, len(langs)), size, order)
 
 
 def code_lengths(tables: Tables, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -1,8 +1,8 @@
 """Toxicity by maximum-scoring segments.
 
 Each token (a lower-cased run of letters and digits, and its stems of 4 to 8 bytes) has the log-odds of standing in toxic
-rather than in clean training documents, with an informative Dirichlet prior: counts of the whole sample, scaled to
-PRIOR_MASS, stand behind both sides, so a rare token is drawn to 0. Only tokens whose use
+rather than in clean training documents, with an informative Dirichlet prior: counts of the whole sample, times
+PRIOR_SHARE, stand behind both sides, so a rare token is drawn to 0. Only tokens whose use
 by toxic documents is significant count. A word scores the highest of its own and its stems' log-odds, less DRIFT, so clean text drifts down. One scan of a document finds every
 maximal segment: all passages whose score can't be raised by growing or shrinking. Those above the significance line are the toxic passages.
 
@@ -33,7 +33,7 @@ from tidemark.llm.scale import crc_of_id, materialize, on_workers
 
 FOLDS, CALIBRATION_FOLD = 5, 4
 MAX_LABELLED = 20_000
-PRIOR_MASS, DRIFT, SIGNIFICANT = 20_000.0, 1.0, 24.0
+PRIOR_SHARE, DRIFT, SIGNIFICANT = 0.005, 1.0, 24.0
 #: Lengths in bytes of the stems of a word that count as tokens too.
 STEMS = range(4, 9)
 SLOTS = 1 << 20
@@ -136,8 +136,8 @@ def lexicon_of(counts: DataFrame, n_docs: tuple[int, int]) -> Lexicon:
     sure = wide.where((2 * (part("docs1", share) + part("docs0", 1 - share)) >= SIGNIFICANT) & (F.col("docs1") > users * share))
     found = sure.select("token", "n0", "n1").toArrow()
     n0, n1 = found.column("n0").to_numpy(), found.column("n1").to_numpy()
-    prior = (n0 + n1) / (totals["n0"] + totals["n1"]) * PRIOR_MASS
-    side = lambda n, total: np.log((n + prior) / (total + PRIOR_MASS - n - prior))
+    prior, mass = (n0 + n1) * PRIOR_SHARE, (totals["n0"] + totals["n1"]) * PRIOR_SHARE
+    side = lambda n, total: np.log((n + prior) / (total + mass - n - prior))
     odds = side(n1, totals["n1"]) - side(n0, totals["n0"])
     token = found.column("token").to_numpy().view(np.uint64)
     use = odds > 0
