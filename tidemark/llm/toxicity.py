@@ -33,7 +33,7 @@ from tidemark.llm.scale import crc_of_id, materialize, on_workers
 
 FOLDS, CALIBRATION_FOLD = 5, 4
 MAX_LABELLED = 20_000
-PRIOR_SHARE, DRIFT, SIGNIFICANT = 0.005, 1.0, 24.0
+PRIOR_SHARE, DRIFT, FALSE_TOKENS = 0.005, 1.0, 0.1
 #: Lengths in bytes of the stems of a word that count as tokens too.
 STEMS = range(4, 9)
 SLOTS = 1 << 20
@@ -127,13 +127,15 @@ def lexicon_of(counts: DataFrame, n_docs: tuple[int, int]) -> Lexicon:
     """Log-odds of every token whose use by toxic documents is significant. n_docs: clean and toxic documents of the sample."""
     of = lambda c, k: F.coalesce(F.sum(F.when(F.col("toxic") == k, F.col(c))), F.lit(0)).cast("double").alias(f"{c}{k}")
     wide = counts.groupBy("token").agg(*[of(c, k) for c in ("n", "docs") for k in (0, 1)])
-    totals = wide.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
+    totals = wide.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("kinds")).first()
     if not totals["n0"] or not totals["n1"]:
         return Lexicon(np.zeros(0, np.uint64), np.zeros(0))
-    # likelihood-ratio statistic of the numbers of toxic and clean documents that use the token
+    # likelihood-ratio statistic of the numbers of toxic and clean documents that use the token, against a line that
+    # FALSE_TOKENS of all tokens would pass by chance
+    line = 2 * np.log(totals["kinds"] / FALSE_TOKENS)
     users, share = F.col("docs0") + F.col("docs1"), n_docs[1] / sum(n_docs)
     part = lambda c, x: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (users * x))).otherwise(0.0)
-    sure = wide.where((2 * (part("docs1", share) + part("docs0", 1 - share)) >= SIGNIFICANT) & (F.col("docs1") > users * share))
+    sure = wide.where((2 * (part("docs1", share) + part("docs0", 1 - share)) >= float(line)) & (F.col("docs1") > users * share))
     found = sure.select("token", "n0", "n1").toArrow()
     n0, n1 = found.column("n0").to_numpy(), found.column("n1").to_numpy()
     prior, mass = (n0 + n1) * PRIOR_SHARE, (totals["n0"] + totals["n1"]) * PRIOR_SHARE
