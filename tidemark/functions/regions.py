@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import filled, name_tokens, normalize_name
+from tidemark.functions.text import filled, name_tokens, normalize_name, once
 
 # The region of each provider group.
 GROUP_REGION = {
@@ -61,17 +61,20 @@ def group_region(group: Column) -> Column:
     return F.coalesce(F.try_element_at(table, filled(group)), F.lit(""))
 
 
+@once
 def is_sensitive(name: Column) -> Column:
     low = F.regexp_replace(F.lower(filled(name)), r"(?U)\s+", " ")
     return F.exists(F.array(*[F.lit(b) for b in SENSITIVE_BRANDS]), lambda b: F.contains(low, b))
 
 
+@once
 def compatible(region: Column, regions: Column) -> Column:
     """A feed's regions hold the channel's; a composite region only matches itself; blank matches nothing."""
     own = F.transform(F.coalesce(regions, F.array().cast("array<string>")), lambda r: F.upper(F.trim(r)))
     return (filled(region) != "") & F.array_contains(own, F.upper(filled(region)))
 
 
+@once
 def id_region(c: Column) -> Column:
     """The one country whose token an id has; empty for none or several."""
     low = F.lower(filled(c))
@@ -79,6 +82,7 @@ def id_region(c: Column) -> Column:
     return F.when(F.size(hits) == 1, F.element_at(hits, 1)).otherwise("")
 
 
+@once
 def family_keys(name: Column, region: Column) -> Column:
     """Keys of a channel in order: its name; without region words at both edges; without a two-word region at one edge."""
     words = F.create_map(*[x for k, v in REGION_WORDS.items() for x in (F.lit(k), F.array(*[F.lit(w) for w in v]))])

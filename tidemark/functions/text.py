@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+
+def once(function):
+    """A column function whose Column arguments are computed once, however often it uses them: nested calls stay small plans."""
+
+    @functools.wraps(function)
+    def bound(*args, **more):
+        own = [k for k, a in enumerate(args) if isinstance(a, Column)]
+        held = F.struct(*[args[k].alias(f"a{k}") for k in own])
+        return F.element_at(F.transform(F.array(held), lambda s: function(*[s[f"a{k}"] if k in own else a for k, a in enumerate(args)], **more)), 1)
+
+    return bound
+
+
 # Tokens that tell of picture quality, and values that switch a rule off.
 QUALITY_TOKENS = ("uhd", "fhd", "hd", "sd", "4k", "8k", "hdr", "hevc", "h265")
 OFF = ("0", "false", "no", "off")

@@ -179,3 +179,28 @@ def rating_needs_retry(status: Column, rating: Column, checked_at: Column, as_of
 def statistics(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Key and value, later ones win. Columns: ord, key, value."""
     return last_wins(stored.unionByName(incoming), ["key"], "ord")
+
+
+def lookup(wanted: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """wanted with the row of its key as `row` (null for none). The table has one row for each key."""
+    rest = F.struct(*[c for c in table.columns if c not in keys]).alias("row")
+    return wanted.join(table.select(*keys, rest), keys, "left")
+
+
+def curated_hints(queries: DataFrame, aliases: DataFrame) -> DataFrame:
+    """query_id, hint: curated search hints of each query title. aliases: norm, aliases."""
+    q = queries.select("query_id", normalize_name(F.col("title")).alias("norm"))
+    return q.join(aliases, "norm").select("query_id", F.explode("aliases").alias("hint"))
+
+
+def legacy_entries(rows: DataFrame, language: str) -> DataFrame:
+    """Store rows in the resolver's shape: the overview in the language if there is one, genres apart as numbers and names, and whether it must be shown anew. rows: title_id, title, overviews map, genres array<string>."""
+    own = F.coalesce(nonempty(F.try_element_at("overviews", F.lit(language))), nonempty(F.element_at(F.concat(F.map_values("overviews"), F.array(F.lit(""))), 1)), F.lit(""))
+    number = lambda g: F.rlike(g, F.lit(r"^\d+$"))
+    return rows.select("title_id", "title", own.alias("overview"), F.transform(F.filter("genres", number), lambda g: g.cast("int")).alias("genre_ids"), F.filter("genres", lambda g: ~number(g)).alias("genre_names"), ((filled(F.col("title")) == "") | (own == "")).alias("needs_display_refresh"))
+
+
+def validated_ids(mapping: DataFrame, feed_channels: DataFrame) -> DataFrame:
+    """output_tvg_id, display_names of valid mapping rows' channels."""
+    ids = mapping.where("valid").select("source_index", F.col("source_id").alias("id"), "output_tvg_id").distinct()
+    return feed_channels.join(ids, ["source_index", "id"]).groupBy("output_tvg_id").agg(F.array_distinct(F.flatten(F.sort_array(F.collect_list("display_names")))).alias("display_names"))
