@@ -6,7 +6,8 @@ channels, this is what trying feed after feed gives. A veto is a candidate witho
 
 channels: channel_index, name, tvg_id, tvg_name, grp. feeds: source_index, name, groups, regions, require_region_for_id.
 feed_names: source_index, id, norm. feed_ids: source_index, id. aliases: ord, name, source, grp, region, target_id, hard_pin.
-Rule tables and feeds are configuration, a few rows each; whether they are broadcast is left to their size.
+Every candidate comes from an equi-join; a feed's scope, regions and pins are then checked on what met. Whether a side is
+broadcast is left to its size.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.regions import compatible, family_keys, group_region, is_sensitive
 from tidemark.functions.text import is_enabled, is_real_id, normalize_name
-from tidemark.operators.common import first_wins, last_wins, pick, unique_only
+from tidemark.operators.common import first_wins, last_wins, unique_only
 
 #: Rank and confidence of each rule.
 METHODS = {"alias": (1, 100), "id": (2, 99), "name-region": (3, 96), "name": (3, 90), "family-region": (4, 92)}
@@ -27,13 +28,12 @@ def prepared(channels: DataFrame) -> DataFrame:
     return channels.withColumns({"region": group_region(F.col("grp")), "sensitive": is_sensitive(F.col("name")), "real_id": is_real_id(F.col("tvg_id"))})
 
 
-def allowed(channels: DataFrame, feeds: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Every channel with every feed open to its group, and where it is pinned only the feeds of its pins."""
+def _open(met: DataFrame, feeds: DataFrame, aliases: DataFrame) -> DataFrame:
+    """What met, with its feed's columns, where the feed's scope admits the channel's group and no pin points elsewhere."""
+    f = feeds.select("source_index", F.col("name").alias("source"), "groups", "regions", "require_region_for_id")
     pins = aliases.where(is_enabled(F.col("hard_pin"), blank=False)).groupBy(F.col("name").alias("pin_name")).agg(F.collect_set("source").alias("pins"))
-    # feeds are a few dozen configured rows: a channel meets those whose scope names its group, or has none
-    scope = feeds.select("source_index", F.col("name").alias("source"), "regions", "require_region_for_id", F.explode_outer(F.when(F.size("groups") > 0, F.col("groups"))).alias("scope"))
-    joined = channels.join(F.broadcast(scope), F.col("scope").isNull() | (F.col("scope") == F.col("grp")))
-    return joined.join(pins, joined["name"] == pins["pin_name"], "left").where(F.col("pins").isNull() | F.array_contains("pins", F.col("source"))).drop("pins", "pin_name", "scope")
+    met = met.join(f, "source_index").where((F.size("groups") == 0) | F.array_contains("groups", F.col("grp")))
+    return met.join(pins, met["name"] == pins["pin_name"], "left").where(F.col("pins").isNull() | F.array_contains("pins", F.col("source"))).drop("pins", "pin_name", "groups")
 
 
 def _candidate(df: DataFrame, method: str | None, order, target="id") -> DataFrame:
@@ -43,35 +43,36 @@ def _candidate(df: DataFrame, method: str | None, order, target="id") -> DataFra
     return df.select("channel_index", "source_index", "source", F.col(target).alias("source_id"), name.alias("method"), confidence.alias("confidence"), rank.alias("rank"), order.cast("long").alias("ord"))
 
 
-def by_alias(pairs: DataFrame, aliases: DataFrame, feed_ids: DataFrame) -> DataFrame:
+def by_alias(channels: DataFrame, feeds: DataFrame, aliases: DataFrame, feed_ids: DataFrame) -> DataFrame:
+    """Aliases of the channel's name whose target a feed has; blank source, group or region in the rule is any."""
     a = aliases.select("ord", F.col("name").alias("a_name"), F.col("source").alias("a_source"), F.col("grp").alias("a_grp"), F.col("region").alias("a_region"), F.col("target_id").alias("id"))
     blank_or = lambda rule, own: (F.col(rule) == "") | (F.col(rule) == F.col(own))
-    met = pairs.join(a, (F.col("name") == F.col("a_name")) & blank_or("a_source", "source") & blank_or("a_grp", "grp") & blank_or("a_region", "region"))
-    return _candidate(met.join(feed_ids, ["source_index", "id"], "left_semi"), "alias", F.col("ord"))
+    met = channels.join(a, (F.col("name") == F.col("a_name")) & blank_or("a_grp", "grp") & blank_or("a_region", "region")).join(feed_ids.distinct(), "id")
+    return _candidate(_open(met, feeds, aliases).where(blank_or("a_source", "source")), "alias", F.col("ord"))
 
 
-def by_id(pairs: DataFrame, feed_ids: DataFrame) -> DataFrame:
+def by_id(channels: DataFrame, feeds: DataFrame, aliases: DataFrame, feed_ids: DataFrame) -> DataFrame:
     """An equal id; without an id (a veto) where the feed asks for a region that the channel doesn't have."""
-    met = pairs.where("real_id").join(feed_ids, [pairs["source_index"] == feed_ids["source_index"], pairs["tvg_id"] == feed_ids["id"]]).drop(feed_ids["source_index"])
+    met = channels.where("real_id").join(feed_ids.distinct(), F.col("tvg_id") == F.col("id"))
     veto = F.col("require_region_for_id") & ~compatible(F.col("region"), F.col("regions"))
-    return _candidate(met.withColumn("id", F.when(~veto, F.col("id"))), "id", F.lit(0))
+    return _candidate(_open(met, feeds, aliases).withColumn("id", F.when(~veto, F.col("id"))), "id", F.lit(0))
 
 
-def by_name(pairs: DataFrame, feed_names: DataFrame) -> DataFrame:
+def by_name(channels: DataFrame, feeds: DataFrame, aliases: DataFrame, feed_names: DataFrame) -> DataFrame:
     """The name, then the provider's name, where one id of the feed has it; sensitive brands need a compatible feed."""
     single = unique_only(feed_names, ["source_index", "norm"], "id")
     names = F.array(normalize_name(F.col("name")), normalize_name(F.col("tvg_name")))
-    tried = pairs.select("*", F.posexplode(names).alias("ord", "norm")).where("norm != ''").join(single, ["source_index", "norm"])
+    tried = channels.select("*", F.posexplode(names).alias("ord", "norm")).where("norm != ''").join(single, "norm")
     fits = compatible(F.col("region"), F.col("regions"))
-    return _candidate(tried.where(~F.col("sensitive") | fits).withColumn("method", F.when(F.col("sensitive"), "name-region").otherwise("name")), None, F.col("ord"))
+    return _candidate(_open(tried, feeds, aliases).where(~F.col("sensitive") | fits).withColumn("method", F.when(F.col("sensitive"), "name-region").otherwise("name")), None, F.col("ord"))
 
 
-def by_family(pairs: DataFrame, feed_names: DataFrame) -> DataFrame:
+def by_family(channels: DataFrame, feeds: DataFrame, aliases: DataFrame, feed_names: DataFrame) -> DataFrame:
     """Sensitive channels in compatible feeds by their further family keys."""
     single = unique_only(feed_names, ["source_index", "norm"], "id")
-    keys = family_keys(F.col("name"), F.col("region"))
-    tried = pairs.where(F.col("sensitive") & compatible(F.col("region"), F.col("regions"))).select("*", F.posexplode(F.slice(keys, F.lit(2), F.greatest(F.size(keys), F.lit(1)))).alias("ord", "norm"))
-    return _candidate(tried.join(single, ["source_index", "norm"]), "family-region", F.col("ord"))
+    keyed = channels.where("sensitive").withColumn("_keys", family_keys(F.col("name"), F.col("region")))
+    tried = keyed.select("*", F.posexplode(F.slice("_keys", F.lit(2), F.greatest(F.size("_keys"), F.lit(1)))).alias("ord", "norm")).drop("_keys").join(single, "norm")
+    return _candidate(_open(tried, feeds, aliases).where(compatible(F.col("region"), F.col("regions"))), "family-region", F.col("ord"))
 
 
 def ranked(candidates: DataFrame) -> DataFrame:
@@ -82,10 +83,10 @@ def ranked(candidates: DataFrame) -> DataFrame:
 
 def resolve(channels: DataFrame, feeds: DataFrame, feed_ids: DataFrame, feed_names: DataFrame, aliases: DataFrame) -> DataFrame:
     """Both passes: channel_index, source_index, source, source_id, method, confidence, pass. Families only for what is left over."""
-    pairs = allowed(prepared(channels), feeds, aliases)
-    first = ranked(by_alias(pairs, aliases, feed_ids).unionByName(by_id(pairs, feed_ids)).unionByName(by_name(pairs, feed_names))).withColumn("pass", F.lit(1))
-    left = pairs.join(first, "channel_index", "left_anti")
-    second = ranked(by_family(left, feed_names)).withColumn("pass", F.lit(2))
+    c = prepared(channels)
+    first = ranked(by_alias(c, feeds, aliases, feed_ids).unionByName(by_id(c, feeds, aliases, feed_ids)).unionByName(by_name(c, feeds, aliases, feed_names))).withColumn("pass", F.lit(1))
+    left = c.join(first, "channel_index", "left_anti")
+    second = ranked(by_family(left, feeds, aliases, feed_names)).withColumn("pass", F.lit(2))
     return first.unionByName(second)
 
 

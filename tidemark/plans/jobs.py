@@ -1,4 +1,7 @@
-"""The whole jobs: build the guide, enrich it, plan a backfill, apply rules by hand. Each is one lazy plan until it writes."""
+"""The whole jobs: build the guide, enrich it, plan a backfill, apply rules by hand.
+
+A build saves corrected programmes, the mapping and the counts, which many results use; all else is lazy.
+"""
 
 from __future__ import annotations
 
@@ -11,11 +14,12 @@ from tidemark.functions.text import filled, normalize_name
 from tidemark.functions.timeparse import convert
 from tidemark.functions.titles import canonical_title, detect_language, effective_type, is_fiction, is_generic, media_type, programme_year, tidy_compact_title
 from tidemark.operators import audit, enrich, guide, resolve, store
+from tidemark.session import saved
 
 
 @dataclass
 class Guide:
-    """What a build makes; nothing has run yet."""
+    """What a build makes."""
 
     mapping: DataFrame
     audited: DataFrame
@@ -32,13 +36,13 @@ def build_guide(channels: DataFrame, feeds: DataFrame, feed_channels: DataFrame,
     """
     named = programmes.join(feeds.select("source_index", F.col("name").alias("source")), "source_index")
     ids = named.select("source", F.col("channel").alias("source_id")).distinct()
-    p = guide.with_windows(guide.corrected(named, guide.clock_offsets(ids, offsets)), now)
+    p = saved(guide.with_windows(guide.corrected(named, guide.clock_offsets(ids, offsets)), now), "programmes")
     live = guide.usable_index(feed_channels, p)
     names = live.select("source_index", "id", F.explode("display_names").alias("n")).select("source_index", "id", normalize_name(F.col("n")).alias("norm")).where("norm != ''").distinct()
     found = resolve.resolve(channels, feeds, live.select("source_index", "id").distinct(), names, aliases)
-    mapping = resolve.mapping_rows(channels, found, id_fixes)
+    mapping = saved(resolve.mapping_rows(channels, found, id_fixes), "mapping")
     first = guide.fan_out(p, mapping.where("pass = 1"))
-    counts = guide.programme_counts(first)
+    counts = saved(guide.programme_counts(first), "counts")
     second = guide.fan_out_needed(p, mapping.where("pass = 2"), counts)
     out = first.unionByName(second)
     audited = audit.assess(mapping, feeds, overrides)
