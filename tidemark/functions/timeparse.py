@@ -19,8 +19,11 @@ def _parsed(c: Column) -> Column:
 
     24:00:00 is the next day's start, second 60 the next minute's.
     """
-    piece = lambda k, name: F.regexp_extract(c, _FORM, k).alias(name)
-    pieces = F.struct(*[piece(k + 1, n) for k, n in enumerate(("day", "hour", "minute", "second", "offset", "z", "tail"))], F.rlike(c, F.lit(_FORM)).alias("ok"))
+    names = ("day", "hour", "minute", "second", "offset", "z", "tail")
+    # one match gives all pieces; what doesn't match has none
+    listed = F.split(F.regexp_replace(c, _FORM, "|".join(f"${k + 1}" for k in range(len(names)))), r"\|", len(names))
+    piece = lambda x, k: F.when(F.size(x) == len(names), F.coalesce(F.get(x, F.lit(k)), F.lit(""))).otherwise("")
+    pieces = _let(listed, lambda x: F.struct(*[piece(x, k).alias(n) for k, n in enumerate(names)], F.rlike(c, F.lit(_FORM)).alias("ok")))
     number = lambda x, start=1: F.coalesce(F.substring(x, start, 2).try_cast("int"), F.lit(0))
 
     def numbers(p: Column) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.regions import compatible, family_keys, group_region, is_sensitive
 from tidemark.functions.text import is_enabled, is_real_id, normalize_name
 from tidemark.operators.common import first_wins, last_wins, unique_only
+from tidemark.session import saved
 
 #: Rank and confidence of each rule.
 METHODS = {"alias": (1, 100), "id": (2, 99), "name-region": (3, 96), "name": (3, 90), "family-region": (4, 92)}
@@ -83,8 +84,10 @@ def ranked(candidates: DataFrame) -> DataFrame:
 
 def resolve(channels: DataFrame, feeds: DataFrame, feed_ids: DataFrame, feed_names: DataFrame, aliases: DataFrame) -> DataFrame:
     """Both passes: channel_index, source_index, source, source_id, method, confidence, pass. Families only for what is left over."""
-    c = prepared(channels)
+    c = saved(prepared(channels), "channels")
     first = ranked(by_alias(c, feeds, aliases, feed_ids).unionByName(by_id(c, feeds, aliases, feed_ids)).unionByName(by_name(c, feeds, aliases, feed_names))).withColumn("pass", F.lit(1))
+    # both passes use it
+    first = saved(first, "first-pass")
     left = c.join(first, "channel_index", "left_anti")
     second = ranked(by_family(left, feeds, aliases, feed_names)).withColumn("pass", F.lit(2))
     return first.unionByName(second)
