@@ -234,6 +234,27 @@ def test_segments_are_maximal():
         assert all(x[1] < y[0] for x, y in zip(sorted(found), sorted(found)[1:], strict=False))
 
 
+def test_segments_are_those_of_the_definition():
+    def split(net, a, b):
+        """The best segment of net[a:b], then those left and right of it."""
+        best = max(((net[i:j].sum(), i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, a, b))
+        return [] if best[0] <= 0 else [*split(net, a, best[1]), best[1:], *split(net, best[2], b)]
+
+    rng = random.Random(6)
+    for _ in range(100):
+        value = np.array([rng.choice([0.0, rng.uniform(0.5, 4)]) for _ in range(rng.randrange(1, 25))])
+        at = np.flatnonzero(value > 0)
+        assert [(a, b + 1) for a, b, _ in toxicity.segments(value[at], at, 1.0)] == split(value - 1.0, 0, len(value))
+
+
+def test_segments_of_a_long_text_take_linear_time():
+    # every word a passage of its own, each lower than all before it
+    at = np.arange(0, 800_000, 4)
+    assert len(toxicity.segments(np.full(len(at), 1.5), at, 1.0)) == len(at)
+    # each a little higher than the last: all are one passage
+    assert len(toxicity.segments(np.full(len(at), 5.0), at, 1.0)) == 1
+
+
 def test_quality(spark, docs):
     rows, labels = [], []
     for k in range(500):

@@ -150,31 +150,26 @@ def lexicon_of(counts: DataFrame, n_docs: tuple[int, int]) -> Lexicon:
 def segments(score: np.ndarray, place: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments of one text: first and last word, and score. score, place: of the words above 0, in order; every word costs drift.
 
-    The linear-time scan keeps candidates with the running totals at their left and right ends; a new one is joined with
-    the last candidate whose left total is lower, if its own right total is higher.
+    The linear-time scan keeps candidates with the running totals at their left and right ends, each chained to the last
+    earlier one whose left total is lower. A new one is joined with that of its own if its right total is higher.
     """
-    found: list[list[float]] = []  # first, last, left total, right total
+    found: list[tuple[int, int, float, float, int]] = []  # first, last, left total, right total, place of the one it is chained to
+    total = 0.0
     for s, at in zip(score.tolist(), place.tolist(), strict=True):
+        left = total - drift * at
+        total += s
         if s <= drift:
             continue
-        gone = sum_before(score, place, at, drift)
-        new = [at, at, gone, gone + s - drift]
-        while True:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= new[2]:
-                k -= 1
-            if k < 0 or found[k][3] >= new[3]:
-                found.append(new)
-                break
-            new = [found[k][0], new[1], found[k][2], new[3]]
-            del found[k:]
-    return [(int(a), int(b), r - left) for a, b, left, r in found]
-
-
-def sum_before(score: np.ndarray, place: np.ndarray, at: int, drift: float) -> float:
-    """Running total of all words before `at`."""
-    k = int(np.searchsorted(place, at))
-    return float(score[:k].sum()) - drift * at
+        first, right = at, total - drift * (at + 1)
+        back = len(found) - 1
+        while back >= 0 and found[back][2] >= left:
+            back = found[back][4]
+        while back >= 0 and found[back][3] < right:
+            first, _, left, _, earlier = found[back]
+            del found[back:]
+            back = earlier
+        found.append((first, at, left, right, back))
+    return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
 def best_segments(column: pa.Array, lexicon: Lexicon, drift: float = DRIFT) -> tuple[np.ndarray, np.ndarray]:
