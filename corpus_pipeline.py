@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, mixing, sharding, simhash, toxicity
+from tidemark.llm import decontam, mixing, nearcopies, sharding, toxicity
 from tidemark.llm.scale import materialize
 
 N_SHARDS = 24
@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id stays."""
-    return simhash.keep_one(docs)
+    """Near copies (five words, similarity 0.8 or more) of a document with a smaller id go."""
+    return nearcopies.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +38,9 @@ def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard(docs, N_SHARDS)
 
 
-STAGES = [("toxicity", drop_toxic), ("simhash_dedup", drop_near_duplicates), ("decontaminate", drop_contaminated), ("mix_sources", mix_sources), ("shard", cut_shards)]
+STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_duplicates), ("decontaminate", drop_contaminated), ("mix_sources", mix_sources), ("shard", cut_shards)]
 
-#: SimHash and the toxicity model can't be said in SQL.
+#: Near copies and the toxicity model can't be said in SQL.
 ORACLE_SQL = None
 
 
