@@ -10,8 +10,8 @@ The trees are folded into two tables: the number of each context of ORDER bytes,
 in every language. So a text costs a few array lookups for each byte. Bytes are letters: A-Z count as a-z, and all ASCII
 bytes that aren't letters are one symbol, of which runs count once. Bytes of the training texts are the alphabet.
 
-Training takes a bounded sample: about MAX_DOCS rows, by a hash of the text, that are in the training fold and have a
-language. Counts are summed in the tasks, then by key.
+Training takes a bounded sample: about MAX_DOCS rows that are in the training fold and have a language. Each language is drawn
+at its own rate, by a hash of doc_id and text: all rows of those that have few, and as many of each other one. Counts are summed in the tasks, then by key.
 
 Cases: null text, or one without a letter: `und`, score 0. No training rows: all `und`. Ties: the first language by name.
 Repeated rows: a row each. Empty table: empty result.
@@ -60,12 +60,28 @@ def grams(symbols: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
+def rates_of(counts: dict[str, int], most: int) -> dict[str, float]:
+    """Each class's share of rows to draw, so that about `most` are drawn: a common number of each, or all of those that have fewer."""
+    level, left = 0.0, float(most)
+    for k, n in enumerate(sorted(counts.values())):
+        level = left / (len(counts) - k)
+        if n > level:
+            break
+        left -= n
+    else:
+        return dict.fromkeys(counts, 1.0)
+    return {name: min(1.0, level / n) for name, n in counts.items()}
+
+
 def training_rows(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """lang, text of about max_docs rows of the training fold."""
+    """lang, text of about max_docs rows of the training fold, dealt over the languages as evenly as their rows allow."""
     fold = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_of_id(F.col("doc_id")) % FOLDS != 0))
-    share = max_docs / max(1, docs.count())
-    chosen = F.shiftrightunsigned(F.xxhash64("text"), 11).cast("double") / float(1 << 53) < share
-    return fold.where(chosen).select("lang", "text")
+    rates = rates_of({r["lang"]: r["count"] for r in fold.groupBy("lang").count().collect()}, max_docs)
+    if not rates:
+        return fold.select("lang", "text")
+    rate = F.element_at(F.create_map(*[F.lit(x) for pair in rates.items() for x in pair]), F.col("lang"))
+    u = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11).cast("double") / float(1 << 53)
+    return fold.where(u < rate).select("lang", "text")
 
 
 def gram_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
