@@ -14,7 +14,8 @@ The index is broadcast if its size is at most INDEX_BYTES, and else the items ar
 over the documents for each; the documents' side never moves.
 
 Cases: null or empty text, or no word: holds nothing, and as an item is held by nothing. Fewer than five words: the whole
-sequence is the one shingle; such an item is held only by texts of the same words. Repeated rows: each counts. Empty
+sequence is the one shingle; such an item is held only by texts of the same words. Repeated documents: each counts.
+An item is an item_id (null too) with a text: different texts under one id are sought apart, and repeated items once. Empty
 tables: no pairs. Further columns: `clean` keeps those of docs.
 """
 
@@ -37,31 +38,31 @@ PERMUTE = 0x5851F42D4C957F2D
 
 
 def shingle_rows(items: DataFrame) -> DataFrame:
-    """item_id, shingle: distinct shingles of every item."""
+    """item (a 64-bit hash of item_id and text), item_id, shingle: distinct shingles of every item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            names, text = shingles_of(words_of(texts_of(batch.column(1)), punctuation=False), SHINGLE)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text)), pa.array(names.view(np.int64))], names=["item_id", "shingle"])
+            names, text = shingles_of(words_of(texts_of(batch.column(2)), punctuation=False), SHINGLE)
+            yield pa.RecordBatch.from_arrays([*[batch.column(k).take(pa.array(text)) for k in (0, 1)], pa.array(names.view(np.int64))], names=["item", "item_id", "shingle"])
 
     kind = items.schema["item_id"].dataType.simpleString()
-    return on_workers(items).select("item_id", "text").mapInArrow(run, f"item_id {kind}, shingle bigint").where("item_id IS NOT NULL").distinct()
+    return on_workers(items).select(F.xxhash64(F.col("item_id").isNull(), "item_id", "text").alias("item"), "item_id", "text").mapInArrow(run, f"item bigint, item_id {kind}, shingle bigint").distinct()
 
 
 def signatures(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """item_id, size, shingle, in_signature: the index, one row for each distinct shingle."""
-    sized = shingle_rows(items).withColumn("size", F.count("*").over(Window.partitionBy("item_id")))
+    """item, item_id, size, shingle, in_signature: the index, one row for each distinct shingle."""
+    sized = shingle_rows(items).withColumn("size", F.count("*").over(Window.partitionBy("item")))
     # by size: as many as may be missing from the largest item of the partition, and one more
     upper = F.pow(F.lit(2), F.ceil(F.log2("size")))
     k = F.least(F.col("size"), F.floor(upper * (1 - threshold) + 1e-9) + 1)
     order = F.xxhash64(F.lit(PERMUTE), F.col("shingle"))
-    return sized.withColumn("in_signature", F.row_number().over(Window.partitionBy("item_id").orderBy(order, "shingle")) <= k)
+    return sized.withColumn("in_signature", F.row_number().over(Window.partitionBy("item").orderBy(order, "shingle")) <= k)
 
 
 class Index:
     """A block of items: all their shingles in order, with their items, and which are signatures."""
 
-    def __init__(self, shingle: np.ndarray, item: np.ndarray, signs: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+    def __init__(self, shingle: np.ndarray, item: np.ndarray, signs: np.ndarray, ids: pa.Array, sizes: np.ndarray) -> None:
         order = np.lexsort((item, shingle))
         self.shingle, self.item, self.signs = shingle[order], item[order], signs[order]
         self.ids, self.sizes = ids, sizes
@@ -96,15 +97,16 @@ class Index:
 def search(docs: DataFrame, items: DataFrame, carry: list[str], threshold: float = THRESHOLD, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The columns of docs named in carry, and `held`: array<struct<item_id, item_shingles, shared>>, by item. No shuffle of docs."""
     index = materialize(signatures(items, threshold), "decontam-index")
-    # a row of the index takes at most 32 bytes in a task
-    blocks = max(1, -(-index.count() * 32 // index_bytes))
-    by_block = index.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int"))
+    # a row of the index takes at most 40 bytes in a task
+    blocks = max(1, -(-index.count() * 40 // index_bytes))
+    by_block = index.withColumn("block", F.pmod(F.col("item"), F.lit(blocks)).cast("int"))
     kind = items.schema["item_id"].dataType.simpleString()
     d = on_workers(docs).select(*[F.col(c) for c in carry], F.col("text").alias("_dc_text"))
     for block in range(blocks):
-        rows = by_block.where(F.col("block") == block).select("item_id", "size", "shingle", "in_signature").toArrow()
-        ids, item = np.unique(rows.column("item_id").to_numpy(), return_inverse=True)
-        sizes = np.zeros(len(ids), np.int64)
+        rows = by_block.where(F.col("block") == block).select("item", "item_id", "size", "shingle", "in_signature").toArrow()
+        named, first, item = np.unique(rows.column("item").to_numpy(), return_index=True, return_inverse=True)
+        ids = rows.column("item_id").combine_chunks().take(pa.array(first))
+        sizes = np.zeros(len(named), np.int64)
         sizes[item] = rows.column("size").to_numpy()
         held = docs.sparkSession.sparkContext.broadcast(Index(rows.column("shingle").to_numpy().view(np.uint64), item, rows.column("in_signature").to_numpy(), ids, sizes))
         place = len(carry)
@@ -114,7 +116,7 @@ def search(docs: DataFrame, items: DataFrame, carry: list[str], threshold: float
             for batch in pieces(batches, place):
                 text, item, shared = index.held(batch.column(place), threshold)
                 offsets = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
-                found = pa.StructArray.from_arrays([pa.array(index.ids[item]), pa.array(index.sizes[item]), pa.array(shared.astype(np.int64))], names=["item_id", "item_shingles", "shared"])
+                found = pa.StructArray.from_arrays([index.ids.take(pa.array(item)), pa.array(index.sizes[item]), pa.array(shared.astype(np.int64))], names=["item_id", "item_shingles", "shared"])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), found)], names=[*batch.schema.names, name])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
@@ -129,10 +131,11 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, contaminated, n_items, items (ids), containment (the highest; 0 for none), one row for each row of docs."""
+    """doc_id, contaminated, n_items (different ids), items (ids), containment (the highest; 0 for none), one row for each row of docs."""
     best = F.array_max(F.transform("held", lambda x: x["shared"] / x["item_shingles"]))
+    items_held = F.array_distinct(F.transform("held", lambda x: x["item_id"]))
     found = search(docs, items, ["doc_id"], threshold)
-    return found.select("doc_id", (F.size("held") > 0).alias("contaminated"), F.size("held").cast("long").alias("n_items"), F.transform("held", lambda x: x["item_id"]).alias("items"), F.coalesce(best, F.lit(0.0)).alias("containment"))
+    return found.select("doc_id", (F.size("held") > 0).alias("contaminated"), F.size(items_held).cast("long").alias("n_items"), items_held.alias("items"), F.coalesce(best, F.lit(0.0)).alias("containment"))
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
