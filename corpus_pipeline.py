@@ -29,8 +29,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source is drawn to its target; whole documents, a row for each time one is drawn."""
-    return mixing.mix(docs, by_shard=False, whole=True).select(*docs.columns)
+    """Each source is drawn to its target; whole documents, a row for each time one is drawn, laid out and shuffled by shard of the mixture."""
+    return mixing.mix(docs, whole=True).select(*docs.columns)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

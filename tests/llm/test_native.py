@@ -6,9 +6,8 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, rules, sharding
+from tidemark.llm import chat, rules, sharding
 
 WORD = r"[^\x20\x09-\x0D]+"
 RANDOM = random.Random(8)
@@ -16,64 +15,6 @@ LONG = " ".join(f"w{k % 97}" for k in range(30_000))
 AWKWARD = [(1, None), (2, ""), (3, " \n\t"), (4, "a b c"), (4, "a b c"), (None, "a b c"), (5, LONG), (6, "é # ü"), (7, "x")]
 
 
-def test_hypergeometric(spark):
-    n, good, draws = 1000, 300, 200
-    k = spark.range(4000).select(mixing.hypergeometric(mixing._uniform(F.col("id")), F.lit(n), F.lit(good), F.lit(draws)).alias("k")).agg(F.avg("k"), F.variance("k"), F.min("k"), F.max("k")).first()
-    assert abs(k[0] - 60) < 0.5 and abs(k[1] - 33.6) < 4 and 0 <= k[2] and k[3] <= 200
-    edges = [(10, 10, 3, 3), (10, 0, 3, 0), (10, 4, 10, 4), (10, 4, 0, 0), (1, 1, 1, 1)]
-    for total, g, d, want in edges:
-        assert spark.range(1).select(mixing.hypergeometric(F.lit(0.7), F.lit(total), F.lit(g), F.lit(d))).first()[0] == want
-
-
-def targets_by_hand(sizes, weights=(5, 2, 1), most=3):
-    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
-    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
-    out, left, free = {}, sum(sizes.values()), set(names)
-    while free:
-        level = left / sum(weight[s] for s in free)
-        over = {s for s in free if level * weight[s] >= most * sizes[s]}
-        if not over:
-            return out | {s: level * weight[s] for s in free}
-        for s in over:
-            out[s] = most * sizes[s]
-            left -= out[s]
-        free -= over
-    return out
-
-
-def test_mixing_targets(docs):
-    rows = [(k, "a " * (k % 40), ["big", "b", "c", None, "é"][min(k % 7, 4)]) for k in range(300)] + [(900, "tiny", "tiny"), (901, None, "void")]
-    out = mixing.plan(docs(rows), block_words=16, n_shards=5).select("doc_id", "source", "_mix.*").collect()
-    sizes = collections.defaultdict(int)
-    for _, t, s in rows:
-        sizes[s] += len((t or "").split())
-    want = targets_by_hand(sizes)
-    assert len(out) == len(rows)
-    taken, shards = collections.defaultdict(int), set()
-    for r in out:
-        assert r.source_size == sizes[r.source] and abs(r.target - want[r.source]) < 1e-6
-        assert sum(d.words for d in r.draws) <= 3 * r.size
-        taken[r.source] += sum(d.words for d in r.draws)
-        shards |= {d.shard for d in r.draws}
-    assert all(abs(taken[s] - want[s]) <= 1 for s in sizes) and shards == set(range(5))
-
-
-def test_mixing_quotas_are_used_up(docs):
-    rows = [(k, "a " * 50, "x" if k % 3 else "y") for k in range(400)]
-    blocks = {(r.source, d.block, d.shard) for r in mixing.plan(docs(rows), block_words=50, n_shards=8).select("source", "_mix.draws").collect() for d in r.draws}
-    assert len({b[:2] for b in blocks}) == len(blocks)
-    per = collections.Counter(b[2] for b in blocks)
-    assert max(per.values()) - min(per.values()) <= 3
-
-
-def test_mixing_awkward_and_again(docs):
-    d = docs([(*r, ["s", None][k % 2]) for k, r in enumerate(AWKWARD)])
-    one, two = (sorted(map(str, mixing.mix(x, whole=True).select("doc_id", "mix_shard", "mix_pass", "mix_words").collect())) for x in (d, d.repartition(7)))
-    assert one == two
-    assert mixing.mix(d).columns == [*d.columns, "mix_shard", "mix_pass", "mix_words"]
-    assert mixing.mix(docs([])).count() == 0
-
-
 def test_sharding(docs):
     rows = [*AWKWARD, *[(100 + k, "copy " * 20) for k in range(300)], *[(1000 + k, f"text {k} " * (k % 30)) for k in range(500)], (5000, "pair of texts"), (5001, "pair of texts")]
     d = docs(rows)

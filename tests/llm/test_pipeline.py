@@ -36,7 +36,7 @@ def test_registered():
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
 
 
-@pytest.mark.parametrize("name", ["op1_mix_sources", "op2_decontaminate"])
+@pytest.mark.parametrize("name", ["op2_decontaminate"])
 def test_sql(spark, name):
     import os
 

@@ -1,29 +1,38 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Every source's documents stand in a fixed random order, which is cut into blocks of words. A source's quota is the exact
-number of blocks that its target takes: whole passes over the source and one partial pass. The tree halves the output
-shards again and again and, at each node, draws without replacement how many of every source's blocks go left, so that
-each shard gets its share of blocks and every source's quota is used up exactly. Blocks are dealt in a permuted order,
-disjointly, and each shard is shuffled by itself.
-
-Built from DataFrame functions only. Two passes over the documents: one for the totals of (source, chunk of the random
-order), one for the prefix sums inside a chunk, so that a source with a third of all rows is still many small groups.
-
-Cases: null text or no word: size 0, drawn with its block, takes nothing. Null source: a source of its own, last. Repeated
-rows: each counts for itself. Empty table: empty result. Further columns are carried along by `mix`.
+Every source's documents are dealt at random into blocks, each a fixed share of the source. A pass over a source is a random
+permutation of its blocks. A source's quota is the exact number of block draws that its target takes: all blocks of its
+whole passes, and of one more pass as many as it takes to reach the target in words. The tree halves the output shards again
+and again and, at each node, draws without replacement how many of every source's blocks go left, so each shard gets its
+share of draws and every quota is used up exactly. A source's draws, pass after pass in permuted order, are then dealt to
+the shards by the numbers at the tree's leaves: disjoint runs of permuted blocks. A document is in the mixture as often as
+its block is in a run; the block that ends the quota is cut, so a source's words meet its target. Each shard is shuffled by
+itself.
+
+Built from DataFrame functions only. The texts are read once for a narrow table of sizes and keys; all else works on that
+table, on one row for each block (at most MOST_BLOCKS a source), and on one row a source. The tree holds all sources in one
+row and takes tables of up to some ten thousand sources.
+
+Cases: null text or no word: size 0, drawn with its block, adds no word; in a source without any word, each document is
+drawn once. Null source: a source of its own, last. Repeated rows: each counts for itself; those that the cut meets are cut
+alike. Empty table: empty result. Further columns are carried along by `mix`.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.scale import before, chunk_of, chunk_offsets, chunks_for, let, materialize, n_words, random_key
+from tidemark.llm.scale import let, materialize, n_words
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3
-#: A prime above any block count; j -> j * PRIME mod n permutes 0..n-1.
-PRIME = 2_147_483_647
+MOST_BLOCKS = 1 << 14
+N_SHARDS, SEED = 16, 11
+#: Words of a part of a shard that a task shuffles.
+PART_WORDS = 1 << 24
 
 
 def _uniform(*cols: Column) -> Column:
@@ -31,61 +40,38 @@ def _uniform(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / float(1 << 53)
 
 
-def hypergeometric(u: Column, total: Column, good: Column, draws: Column) -> Column:
-    """How many of `good` marked items are among `draws` out of `total`, at the uniform number u.
+def hypergeometric(seed: Column, total: Column, good: Column, draws: Column) -> Column:
+    """How many of `good` marked items are among `draws` out of `total`; seed (a 64-bit number) decides.
 
-    The distribution is summed outward from its mode, 14 standard deviations to either side (all of it, in double
-    precision), by the ratio of neighbouring terms; the walk is then repeated up to the share u of the sum.
+    The terms of the distribution are walked outward from its mode, first up and then down, 14 standard deviations to either
+    side (all of it, in double precision), by the ratio of neighbouring terms. Each term takes the place of the pick so far
+    with its share of the sum up to it, so the last pick has the distribution without its sum being known beforehand.
     """
-    zero = F.lit(0).cast("long")
-    asked = F.struct(u.alias("u"), total.cast("long").alias("total"), good.cast("long").alias("good"), draws.cast("long").alias("draws"))
-
-    def bounds(x: Column) -> Column:
-        lo, hi = F.greatest(zero, x["draws"] - x["total"] + x["good"]), F.least(x["draws"], x["good"])
-        mode = F.floor((x["draws"] + 1).cast("double") * (x["good"] + 1) / (x["total"] + 2)).cast("long")
-        var = x["draws"] * (x["good"] / x["total"]) * (1 - x["good"] / x["total"]) * (x["total"] - x["draws"]) / F.greatest(x["total"] - 1, F.lit(1))
-        width = (F.ceil(14 * F.sqrt(F.greatest(F.coalesce(var, F.lit(0.0)), F.lit(0.0)))) + 14).cast("long")
-        return F.struct(x.alias("x"), lo.alias("lo"), hi.alias("hi"), F.least(hi, F.greatest(lo, mode)).alias("mode"), width.alias("width"))
-
-    def drawn(b: Column) -> Column:
-        x, mode = b["x"], b["mode"]
+    zero, long = F.lit(0).cast("long"), lambda c: c.cast("long")
+    total, good, draws = long(total), long(good), long(draws)
+    mode = F.floor((draws + 1).cast("double") * (good + 1) / (total + 2)).cast("long")
+    var = draws * (good / total) * (1 - good / total) * (total - draws) / F.greatest(total - 1, F.lit(1))
+    width = (F.ceil(14 * F.sqrt(F.greatest(F.coalesce(var, F.lit(0.0)), F.lit(0.0)))) + 14).cast("long")
+    asked = F.struct(total.alias("total"), good.alias("good"), draws.alias("draws"), F.greatest(zero, draws - total + good).alias("lo"), F.least(draws, good).alias("hi"), mode.alias("near"), width.alias("width"), seed.alias("seed"))
+
+    def drawn(x: Column) -> Column:
+        mode = F.least(x["hi"], F.greatest(x["lo"], x["near"]))
+        span = lambda to: F.when(to > 0, F.sequence(F.lit(1).cast("long"), to)).otherwise(F.array().cast("array<bigint>"))
+        up, down = F.least(x["hi"] - mode, x["width"]), F.least(mode - x["lo"], x["width"])
         spare = x["total"] - x["good"] - x["draws"]
 
-        def steps(first: Column, last: Column, by: int) -> Column:
-            ok = first <= last if by > 0 else first >= last
-            return F.when(ok, F.sequence(first, last, F.lit(by).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-
-        def up(k: Column) -> Column:  # p(k + 1) / p(k)
-            return (x["good"] - k).cast("double") * (x["draws"] - k) / ((k + 1).cast("double") * (spare + k + 1))
-
-        def down(k: Column) -> Column:  # p(k - 1) / p(k)
-            return k.cast("double") * (spare + k) / ((x["good"] - k + 1).cast("double") * (x["draws"] - k + 1))
-
-        ways = F.array(steps(mode, F.least(b["hi"], mode + b["width"]) - 1, 1), steps(mode, F.greatest(b["lo"], mode - b["width"]) + 1, -1))
-
-        def walk(along: Column, ratio, first: Column, goal: Column) -> Column:
-            """Sums terms along the way; at: the first step with which the sum passes the goal, else -1."""
-
-            def step(s: Column, k: Column) -> Column:
-                p = s["p"] * ratio(k)
-                at = F.when((s["at"] < 0) & (s["sum"] + p > goal), k).otherwise(s["at"])
-                return F.struct(p.alias("p"), (s["sum"] + p).alias("sum"), at.alias("at"))
-
-            return F.aggregate(along, F.struct(F.lit(1.0).alias("p"), first.alias("sum"), F.lit(-1).cast("long").alias("at")), step)
-
-        def found(w: Column) -> Column:
-            above, below = walk(w[0], up, F.lit(0.0), F.lit(float("inf")))["sum"], walk(w[1], down, F.lit(0.0), F.lit(float("inf")))["sum"]
-
-            def at_goal(t: Column) -> Column:
-                risen, fallen = walk(w[0], up, F.lit(1.0), t["goal"])["at"], walk(w[1], down, 1 + t["above"], t["goal"])["at"]
-                return let(F.struct(risen.alias("up"), fallen.alias("down")), lambda r: F.when(t["goal"] < 1, mode).when(r["up"] >= 0, r["up"] + 1).when(r["down"] >= 0, r["down"] - 1).otherwise(mode))
+        def step(s: Column, j: Column) -> Column:
+            k = mode + j
+            rise = (x["good"] - k + 1).cast("double") * (x["draws"] - k + 1) / (k.cast("double") * (spare + k))
+            fall = (k + 1).cast("double") * (spare + k + 1) / ((x["good"] - k).cast("double") * (x["draws"] - k))
+            p = F.when(F.abs(j) == 1, 1.0).otherwise(s["p"]) * F.when(j > 0, rise).otherwise(fall)
+            pick = F.when(_uniform(x["seed"], j) * (s["sum"] + p) < p, k).otherwise(s["pick"])
+            return F.struct(p.alias("p"), (s["sum"] + p).alias("sum"), pick.alias("pick"))
 
-            sums = F.struct(above.alias("above"), below.alias("below"))
-            return let(sums, lambda z: let(F.struct(z["above"].alias("above"), (x["u"] * (1 + z["above"] + z["below"])).alias("goal")), at_goal))
+        ways = F.concat(span(up), F.transform(span(down), lambda j: -j))
+        return F.aggregate(ways, F.struct(F.lit(1.0).alias("p"), F.lit(1.0).alias("sum"), mode.alias("pick")), step)["pick"]
 
-        return let(ways, found)
-
-    return let(asked, lambda x: let(bounds(x), drawn))
+    return let(asked, drawn)
 
 
 def targets(sources: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -115,78 +101,120 @@ def _split_tree(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
     """
     tree = quotas.agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "blocks"))), lambda x: x["blocks"]).alias("q"), F.transform(F.array_sort(F.collect_list(F.struct("idx", "blocks"))), lambda x: x["idx"]).alias("ids"))
     tree = tree.select(F.lit(0).alias("first"), F.lit(n_shards).alias("many"), "q", "ids")
-    levels = max(0, (n_shards - 1).bit_length())
-    for level in range(levels):
-        total = F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x)
-        half = F.floor(F.col("many") / 2).cast("long")
-        tree = tree.select("first", "many", "q", "ids", total.alias("total"), F.when(F.col("many") > 1, F.round(total * half / F.col("many")).cast("long")).otherwise(total).alias("draws"))
-
-        at_level = F.lit(level)
-
-        def deal(s: Column, x: Column) -> Column:
-            u = _uniform(F.lit(seed), at_level, F.col("first"), F.size(s["left"]))  # noqa: B023
-            k = F.when(x == 0, F.lit(0).cast("long")).when(s["open"] == x, s["draws"]).when(s["draws"] == 0, F.lit(0).cast("long")).otherwise(hypergeometric(u, s["open"], x, s["draws"]))
-            return F.struct((s["open"] - x).alias("open"), (s["draws"] - k).alias("draws"), F.concat(s["left"], F.array(k)).alias("left"))
-
-        start = F.struct(F.col("total").alias("open"), F.col("draws").alias("draws"), F.array().cast("array<bigint>").alias("left"))
-        left = F.aggregate("q", start, deal)["left"]
-        tree = tree.select("first", "many", "q", "ids", F.when(F.col("many") > 1, left).otherwise(F.col("q")).alias("left"))
-        kept = F.when(F.col("many") > 1, F.floor(F.col("many") / 2)).otherwise(F.col("many")).cast("int")
-        nodes = F.array(
-            F.struct(F.col("first").alias("first"), kept.alias("many"), F.col("left").alias("q")),
-            F.struct((F.col("first") + kept).alias("first"), (F.col("many") - kept).alias("many"), F.zip_with("q", "left", lambda a, b: a - b).alias("q")),
-        )
-        tree = tree.select("ids", F.explode(F.filter(nodes, lambda x: x["many"] > 0)).alias("x")).select("x.first", "x.many", "x.q", "ids")
+    half = F.floor(F.col("many") / 2).cast("int")
+
+    def deal_left(s: Column, x: Column) -> Column:
+        k = F.when(x == 0, F.lit(0).cast("long")).when(s["open"] == x, s["draws"]).when(s["draws"] == 0, F.lit(0).cast("long"))
+        k = k.otherwise(hypergeometric(F.xxhash64(F.lit(seed), F.col("first"), F.col("many"), F.size(s["left"])), s["open"], x, s["draws"]))
+        return F.struct((s["open"] - x).alias("open"), (s["draws"] - k).alias("draws"), F.concat(s["left"], F.array(k)).alias("left"))
+
+    start = F.struct(F.col("total").alias("open"), F.round(F.col("total") * half / F.col("many")).cast("long").alias("draws"), F.array().cast("array<bigint>").alias("left"))
+    left = F.when(F.col("many") > 1, F.aggregate("q", start, deal_left)["left"]).otherwise(F.col("q"))
+    kept = F.when(F.col("many") > 1, half).otherwise(F.col("many"))
+    nodes = F.array(
+        F.struct(F.col("first").alias("first"), kept.alias("many"), F.col("left").alias("q")),
+        F.struct((F.col("first") + kept).alias("first"), (F.col("many") - kept).alias("many"), F.zip_with("q", "left", lambda a, b: a - b).alias("q")),
+    )
+    nodes, total = F.filter(nodes, lambda x: x["many"] > 0), F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x)
+    for _ in range(max(0, (n_shards - 1).bit_length())):
+        tree = tree.withColumn("total", total).withColumn("left", left).select("ids", F.explode(nodes).alias("x")).select("x.first", "x.many", "x.q", "ids")
     by_shard = tree.select(F.col("first").alias("shard"), F.posexplode(F.arrays_zip("ids", "q")).alias("pos", "x")).select("shard", "x.ids", "x.q")
     return by_shard.groupBy(F.col("ids").alias("idx")).agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "q"))), lambda x: x["q"]).alias("q")).select("idx", F.transform("q", lambda _, i: F.aggregate(F.slice("q", F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, x: a + x)).alias("bounds"))
 
 
-def plan(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS, n_shards: int = 16, block_words: int = 1024, seed: int = 11, whole: bool = False) -> DataFrame:
-    """Each row of docs with `_mix`: struct<size, source_size, target, draws: array<struct<pass, words, block, shard>>>.
+def blocks_for(n_rows: int) -> int:
+    """Into how many blocks each source is dealt: about as many as a block of the whole table has rows."""
+    return max(16, min(MOST_BLOCKS, math.isqrt(n_rows)))
+
+
+def measure(docs: DataFrame, blocks: int, seed: int = SEED) -> DataFrame:
+    """_row (all columns of docs but text), text, source, _mix_size (words), _mix_key (a random number fixed by doc_id and text), _mix_block."""
+    row = F.struct(*[c for c in docs.columns if c != "text"])
+    keyed = docs.select(row.alias("_row"), "text", "source", n_words(F.col("text")).alias("_mix_size"), F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("_mix_key"))
+    return keyed.withColumn("_mix_block", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_mix_key")), F.lit(blocks)).cast("int"))
 
-    docs needs doc_id, text and source. A draw takes the first `words` words of the document; only the document at the end
-    of a source's partial pass is cut, or, with whole=True, taken whole if more than half of it fits and else left out.
+
+def quotas(measured: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS, n_shards: int = N_SHARDS, seed: int = SEED) -> DataFrame:
+    """source, block, source_size, target, cut_key, cut_words, draws: array<struct<pass, number, shard, cut>>, for every block of measured.
+
+    cut says that the draw ends its source's quota: of its block, in the order of the keys, documents before cut_key are
+    taken, and cut_words words of that one.
     """
-    n = docs.count()
-    chunks = chunks_for(n)
-    d = docs.withColumn("_mix_size", n_words(F.col("text"))).withColumn("_mix_key", random_key(F.lit(seed), F.col("doc_id")))
-    d = d.withColumn("_mix_chunk", chunk_of(F.col("_mix_key"), chunks))
-    totals = materialize(d.groupBy(F.col("source").alias("source"), F.col("_mix_chunk").alias("chunk")).agg(F.sum("_mix_size").alias("words")), "mix-chunks")
-    aimed = targets(totals.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     long = lambda c: c.cast("long")
-    aimed = aimed.withColumn("passes", long(F.when(F.col("source_size") > 0, F.least(F.lit(most).cast("double"), F.floor(F.col("target") / F.col("source_size")))).otherwise(0)))
-    aimed = aimed.withColumn("partial", long(F.when(F.col("passes") < most, F.round(F.col("target")) - F.col("passes") * F.col("source_size")).otherwise(0)))
-    aimed = aimed.withColumn("in_pass", long(F.ceil(F.col("source_size") / block_words))).withColumn("blocks", F.col("passes") * F.col("in_pass") + long(F.ceil(F.col("partial") / block_words)))
-    aimed = materialize(aimed, "mix-targets")
-    aimed = materialize(aimed.join(_split_tree(aimed.select("idx", "blocks"), n_shards, seed), "idx"), "mix-quotas")
-    offsets = totals.join(aimed.select("source", "idx"), totals["source"].eqNullSafe(aimed["source"])).select("idx", "chunk", "words")
-    offsets = materialize(chunk_offsets(offsets, ["idx"], ["chunk"], {"words": "offset"}).select(F.col("idx").alias("_mix_idx"), F.col("chunk").alias("_mix_chunk"), "offset"), "mix-offsets")
-    about = aimed.select(F.col("source").alias("_mix_source"), F.col("idx").alias("_mix_idx"), F.struct(*[c for c in aimed.columns if c not in ("source", "idx", "weight")]).alias("_mix_about"))
-    d = d.join(about, d["source"].eqNullSafe(about["_mix_source"])).drop("_mix_source")
-    d = d.withColumn("_mix_before", before(F.col("_mix_size"), ["_mix_idx", "_mix_chunk"], ["_mix_key", "_mix_size"]))
-    d = d.join(offsets, ["_mix_idx", "_mix_chunk"]).withColumn("_mix_before", F.col("_mix_before") + F.col("offset")).drop("offset")
-    about, start, size = F.col("_mix_about"), F.col("_mix_before"), F.col("_mix_size")
-    room = F.greatest(F.lit(0).cast("long"), F.least(size, about["partial"] - start))
-    last = F.when(room * 2 > size, size).otherwise(F.lit(0).cast("long")) if whole else room
-
-    def draw(p: Column) -> Column:
-        words = F.when(p < about["passes"], size).otherwise(last)
-        block = p * about["in_pass"] + F.floor(start / block_words).cast("long")
-        at = F.pmod(block * PRIME, F.greatest(about["blocks"], F.lit(1).cast("long")))
-        return F.struct(p.cast("int").alias("pass"), words.alias("words"), block.alias("block"), F.size(F.filter(about["bounds"], lambda b: b <= at)).alias("shard"))
-
-    draws = F.filter(F.transform(F.sequence(F.lit(0).cast("long"), about["passes"]), draw), lambda x: x["words"] > 0)
-    return d.withColumn("_mix", F.struct(size.alias("size"), about["source_size"].alias("source_size"), about["target"].alias("target"), draws.alias("draws"))).drop("_mix_size", "_mix_key", "_mix_chunk", "_mix_idx", "_mix_before", "_mix_about")
-
-
-def mix(docs: DataFrame, by_shard: bool = True, seed: int = 11, **options) -> DataFrame:
-    """The mixture: one row for each draw, with the columns of docs, then mix_shard, mix_pass and mix_words (words to read).
-
-    by_shard lays the rows out shard by shard, each shuffled by itself; without it, rows come as they are.
+    blocks = materialize(measured.groupBy("source", F.col("_mix_block").alias("block")).agg(F.sum("_mix_size").alias("words")), "mix-blocks")
+    totals = blocks.groupBy("source").agg(F.sum("words").alias("source_size"), F.count("*").alias("n_blocks"))
+    aimed = targets(totals.select("source", "source_size"), weights, most).join(totals.select(F.col("source").alias("of"), "n_blocks"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    whole = F.when(F.col("source_size") > 0, F.least(F.lit(most).cast("double"), F.floor(F.col("target") / F.col("source_size")))).otherwise(1)
+    aimed = aimed.withColumn("passes", long(whole))
+    aimed = materialize(aimed.withColumn("rest", F.when(F.col("passes") < most, F.greatest(F.lit(0).cast("long"), long(F.round(F.col("target"))) - F.col("passes") * F.col("source_size"))).otherwise(0)), "mix-targets")
+    about = aimed.select(F.col("source").alias("of"), "idx", "source_size", "target", "n_blocks", "passes", "rest")
+    named = blocks.join(about, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    permuted = lambda p: Window.partitionBy("idx").orderBy(F.xxhash64(F.lit(seed), p, F.col("block")), "block")
+    place = [long(F.row_number().over(permuted(long(F.lit(p)))) - 1).alias(f"p{p}") for p in range(most)]
+    last = permuted(F.col("passes"))
+    ranked = named.select("*", *place, F.coalesce(F.sum("words").over(last.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    # the draw of a whole pass, and where the block stands in the pass after the whole ones
+    numbers = F.array(*[F.when(F.col("passes") > p, p * F.col("n_blocks") + F.col(f"p{p}")) for p in range(most)])
+    after = F.element_at(F.array(*[F.col(f"p{p}") for p in range(most)], F.lit(0).cast("long")), (F.col("passes") + 1).cast("int"))
+    ranked = materialize(ranked.select("source", "idx", "block", "words", "source_size", "target", "n_blocks", "passes", "rest", "before", numbers.alias("numbers"), (F.col("passes") * F.col("n_blocks") + after).alias("last")), "mix-ranked")
+    asked = ranked.groupBy("idx").agg(long(F.max(F.col("passes") * F.col("n_blocks")) + F.count_if((F.col("rest") > 0) & (F.col("before") < F.col("rest")))).alias("blocks"))
+    tree = materialize(_split_tree(asked, n_shards, seed), "mix-tree")
+    # the block that ends the quota, and where in it
+    ends = ranked.where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))).select(F.col("source").alias("of"), "block", "idx", (F.col("rest") - F.col("before")).alias("room"))
+    inside = measured.join(ends, F.col("source").eqNullSafe(F.col("of")) & (F.col("_mix_block") == F.col("block"))).groupBy("idx", "room", "_mix_key").agg(F.sum("_mix_size").alias("words"), F.count("*").alias("n"))
+    inside = inside.withColumn("before", F.coalesce(F.sum("words").over(Window.partitionBy("idx").orderBy("_mix_key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    met = (F.col("before") <= F.col("room")) & (F.col("before") + F.col("words") > F.col("room"))
+    cuts = inside.where(met).select(F.col("idx").alias("cut_idx"), F.col("_mix_key").alias("cut_key"), F.floor((F.col("room") - F.col("before")) / F.col("n")).cast("long").alias("cut_words"))
+    out = ranked.join(tree, "idx").join(cuts, F.col("idx") == F.col("cut_idx"), "left")
+    ending = F.col("before") + F.col("words") > F.col("rest")
+
+    def draw(p: Column, number: Column, cut: Column) -> Column:
+        return F.struct(p.cast("int").alias("pass"), number.alias("number"), F.size(F.filter("bounds", lambda b: b <= number)).alias("shard"), cut.alias("cut"))
+
+    repeated = F.transform(F.filter(F.transform("numbers", lambda x, p: F.struct(x.alias("x"), p.alias("p"))), lambda s: s["x"].isNotNull()), lambda s: draw(s["p"], s["x"], F.lit(False)))
+    # a draw is in the mixture if the tree has dealt its number to a shard
+    draws = F.filter(F.concat(repeated, F.array(draw(F.col("passes"), F.col("last"), ending))), lambda d: d["shard"] < n_shards)
+    return materialize(out.select("source", "block", "source_size", "target", "cut_key", "cut_words", draws.alias("draws")), "mix-draws")
+
+
+def deal(measured: DataFrame, dealt: DataFrame, whole: bool = False) -> DataFrame:
+    """measured with `_mix`: struct<size, source_size, target, draws: array<struct<pass, words, block, number, shard>>>.
+
+    A draw takes the first `words` words of the document. Only the document at the end of a source's quota is cut, or, with
+    whole=True, taken whole if more than half of it fits and else left out.
+    """
+    to = dealt.withColumnsRenamed({"source": "_mix_of", "block": "_mix_at"})
+    d = measured.join(to, F.col("source").eqNullSafe(F.col("_mix_of")) & (F.col("_mix_block") == F.col("_mix_at")))
+    size, key = F.col("_mix_size"), F.col("_mix_key")
+    part = F.when(F.col("cut_words") * 2 > size, size) if whole else F.when(F.col("cut_words") > 0, F.col("cut_words"))
+    words = F.when(key < F.col("cut_key"), size).when(key == F.col("cut_key"), part)
+    drawn = F.transform("draws", lambda x: F.struct(x["pass"].alias("pass"), F.when(x["cut"], words).otherwise(size).alias("words"), F.col("_mix_at").alias("block"), x["number"].alias("number"), x["shard"].alias("shard")))
+    mix_ = F.struct(size.alias("size"), "source_size", "target", F.filter(drawn, lambda x: x["words"].isNotNull()).alias("draws"))
+    columns = [c for c in measured.columns if c not in ("_mix_size", "_mix_block")]
+    return d.select(*columns, mix_.alias("_mix"))
+
+
+def plan(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS, n_shards: int = N_SHARDS, blocks: int | None = None, seed: int = SEED, whole: bool = False) -> DataFrame:
+    """_row (each row of docs without its text), with `_mix` as `deal` gives it."""
+    narrow = materialize(measure(docs, blocks or blocks_for(docs.count()), seed).drop("text"), "mix-sizes")
+    return deal(narrow, quotas(narrow, weights, most, n_shards, seed), whole).select("_row", "_mix")
+
+
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS, n_shards: int = N_SHARDS, blocks: int | None = None, seed: int = SEED, whole: bool = False, part_words: int = PART_WORDS) -> DataFrame:
+    """The mixture: one row for each draw, with the columns of docs, then mix_shard, mix_part, mix_pass and mix_words (words to read).
+
+    Shards are laid out one by one and each is shuffled by itself. A large shard is dealt at random into parts, which are
+    shuffled in tasks of their own; the number of parts follows the words of the mixture.
     """
-    columns = [c for c in docs.columns if c not in ("mix_shard", "mix_pass", "mix_words")]
-    out = plan(docs, seed=seed, **options).select(*columns, F.explode("_mix.draws").alias("_draw"))
-    out = out.select(*columns, F.col("_draw.shard").alias("mix_shard"), F.col("_draw.pass").alias("mix_pass"), F.col("_draw.words").alias("mix_words"))
-    if not by_shard:
-        return out
-    return out.repartition("mix_shard").sortWithinPartitions("mix_shard", random_key(F.lit(seed), F.col("doc_id"), F.col("mix_pass")))
+    measured = measure(docs, blocks or blocks_for(docs.count()), seed)
+    narrow = materialize(measured.select("source", "_mix_size", "_mix_key", "_mix_block"), "mix-sizes")
+    dealt = quotas(narrow, weights, most, n_shards, seed)
+    words = narrow.agg(F.sum("_mix_size")).first()[0] or 0
+    parts = max(1, -(-words // (n_shards * part_words)))
+    added = ("mix_shard", "mix_part", "mix_pass", "mix_words")
+    columns = [(F.col("text") if c == "text" else F.col("_row").getField(c)).alias(c) for c in docs.columns if c not in added]
+    out = deal(measured, dealt, whole).select("_row", "text", "_mix_key", F.explode("_mix.draws").alias("_draw"))
+    order = F.xxhash64(F.lit(seed + 2), F.col("_mix_key"), F.col("_draw.pass"))
+    out = out.withColumns({"_mix_order": order, "_mix_shard": F.col("_draw.shard"), "_mix_part": F.pmod(order, F.lit(parts)).cast("int")})
+    out = out.repartition("_mix_shard", "_mix_part").sortWithinPartitions("_mix_shard", "_mix_part", "_mix_order")
+    return out.select(*columns, F.col("_mix_shard").alias("mix_shard"), F.col("_mix_part").alias("mix_part"), F.col("_draw.pass").alias("mix_pass"), F.col("_draw.words").alias("mix_words"))

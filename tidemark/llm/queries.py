@@ -14,7 +14,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     x = F.col("_mix")
     taken = F.aggregate(x["draws"], F.lit(0).cast("long"), lambda a, d: a + d["words"])
-    return mixing.plan(docs).select("doc_id", x["size"].alias("size"), x["source_size"].alias("source_size"), x["target"].alias("target"), taken.alias("taken"))
+    shard = F.array_min(F.transform(x["draws"], lambda d: d["shard"]))
+    return mixing.plan(docs).select("_row.doc_id", x["size"].alias("size"), x["source_size"].alias("source_size"), x["target"].alias("target"), taken.alias("taken"), F.size(x["draws"]).alias("n_draws"), shard.alias("first_shard"))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,32 +89,4 @@ ORACLES = {
         SELECT d.doc_id, b.doc_id IS NOT NULL AS contaminated, coalesce(b.n, 0)::BIGINT AS n_items, first_item, coalesce(containment, 0.0)::DOUBLE AS containment
         FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
     """,
-    "op1_mix_sources": r"""
-        WITH sized AS (
-            SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))::BIGINT AS size
-            FROM documents
-        ), totals AS (
-            SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS idx FROM sized GROUP BY source
-        ), weighed AS (
-            SELECT *, CASE idx % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS weight, 3.0::DOUBLE * source_size AS room FROM totals
-        ), levels AS (
-            SELECT *, (sum(source_size) OVER () - coalesce(sum(room) OVER e, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER e, 0)) AS level
-            FROM weighed WINDOW e AS (ORDER BY room / weight, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-        ), cuts AS (
-            SELECT *, bool_and(room <= level * weight) OVER (ORDER BY room / weight, idx ROWS UNBOUNDED PRECEDING) AS cut FROM levels
-        ), aimed AS (
-            SELECT source, source_size, CASE WHEN cut THEN room ELSE weight * (
-                (SELECT sum(source_size) FROM cuts) - (SELECT coalesce(sum(room), 0) FROM cuts WHERE cut)) / (SELECT sum(weight) FROM cuts WHERE NOT cut) END AS target
-            FROM cuts
-        ), passes AS (
-            SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size))::BIGINT ELSE 0 END AS passes FROM aimed
-        ), parts AS (
-            SELECT *, CASE WHEN passes < 3 THEN round(target)::BIGINT - passes * source_size ELSE 0 END AS partial FROM passes
-        ), placed AS (
-            SELECT d.*, p.source_size, p.target, p.passes, p.partial,
-                coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('11' || chr(31) || coalesce(doc_id::VARCHAR, '')), size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
-            FROM sized d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
-        )
-        SELECT doc_id, size, source_size, target, (passes * size + greatest(0, least(size, partial - earlier)))::BIGINT AS taken FROM placed
-    """,
 }
