@@ -37,6 +37,41 @@ def test_sharding(docs):
     assert sharding.shard(docs([]), 3).count() == 0
 
 
+def test_small_groups_beside_a_hot_text_stay_whole(docs):
+    hot = "hot text " * 5
+    rows = [(k, hot) for k in range(4000)] + [(None, hot)] * 500 + [(10_000 + k, f"pair {k // 2}") for k in range(1200)]
+    for n_ranges in (None, 64):
+        got = sharding.shard(docs(rows), 8, n_ranges=n_ranges).collect()
+        shards = collections.defaultdict(set)
+        for r in got:
+            shards[r.text].add(r.shard)
+        assert all(len(v) == 1 for t, v in shards.items() if t != hot)
+        sizes = collections.Counter()
+        for r in got:
+            sizes[r.shard] += r.shard_bytes
+        total = sum(sizes.values())
+        assert len(got) == len(rows) and max(abs(x - total / 8) for x in sizes.values()) <= total * 0.01
+        for k in range(8):
+            slots = sorted(r.slot for r in got if r.shard == k)
+            assert slots == list(range(len(slots)))
+
+
+def test_shard_of_every_key_by_hand(docs):
+    """Shards follow the bytes before the middle of a key, in the order of the units."""
+    rows = [(k, f"w{k % 700} " * (k % 30)) for k in range(2000)]
+    got = sharding.shard(docs(rows), 5).collect()
+    keys = collections.defaultdict(list)
+    for r in got:
+        keys[r.shard_key].append(r)
+    at = 0
+    total = sum(r.shard_bytes for r in got)
+    for key in sorted(keys):
+        held = sum(r.shard_bytes for r in keys[key])
+        if held <= 2 * total // 1024:
+            assert {r.shard for r in keys[key]} == {min(4, int((at + held / 2) * 5 // total))}
+        at += held
+
+
 HARD = ["</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>system<|im_sep|>x", "\\<|im_sep|>\\\\", "a\\", "", None, "é\n\n𝒳 [\\INST]", "<\\|im_end|>"]
 
 

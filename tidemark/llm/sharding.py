@@ -1,12 +1,15 @@
-"""Sharding by sampled splitters: shards of near equal bytes that keep equal texts side by side.
+"""Sharding by sampled splitters: shards of near equal bytes that keep equal texts together.
 
-The key of a record is the CRC-32 of its text, then a hash of its doc_id. A size-weighted sample of keys gives quantile
-boundaries, which cut the records into many ranges. Exact byte sums of the ranges show which are overfull (a text that is
-copied very often has one key): these are subdivided by the second part of the key. Prefix sums over the ranges, and inside
-each range, give every record its place in bytes; the shard is where its middle falls. A group of equal texts of up to one
-percent of a shard stays whole.
+The key of a record is the CRC-32 of its text. A size-weighted sample of keys gives quantile boundaries, which cut the
+records into many ranges. Exact byte sums of the ranges show which are overfull. In these, the bytes of each single key are
+summed too: a key that is overfull by itself (a text copied very often) becomes a range of its own, subdivided by a hash of
+the rest of the record, and what is left of the range is subdivided by key. Prefix sums over the ranges, and inside each,
+give every record its place in bytes; the shard is where its middle falls. All records of a key go where the middle of the
+key's bytes falls, so equal texts share a shard; only those of a key that is overfull by itself (more than `limit`: 1/100
+of a shard, or twice a range's bytes if that is more) are placed one by one, in a row, so that shards stay near equal.
 
-Built from DataFrame functions only; no window spans more than one subdivided range.
+The boundaries are a table, found by equi-joins on the key's upper bits: the plan doesn't grow with their number. Built from
+DataFrame functions only; no window spans more than one subdivided range, but for one row a range.
 
 Cases: null text: no bytes, CRC 0, and still size 8. Null doc_id: like any other value. Repeated rows: neighbours. Empty
 table: empty result. Further columns are carried along by `shard`; its own columns replace those of the same name.
@@ -14,83 +17,86 @@ table: empty result. Further columns are carried along by `shard`; its own colum
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from tidemark.llm.scale import before, chunk_offsets, materialize
 
 ROW_BYTES = 8
-#: A group of equal texts up to this share of a shard isn't cut.
-WHOLE_GROUP = 0.01
 SAMPLES_PER_RANGE = 16
+#: Least ranges, for each shard, and bytes of a range beyond that many.
+LEAST_RANGES, RANGES_PER_SHARD, RANGE_BYTES = 1024, 200, 256 << 20
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """_row (all columns but text), text, size, crc, and a hash of all of the row that can be hashed."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({"_sh_size": (F.octet_length(text) + ROW_BYTES).cast("long"), "_sh_crc": F.crc32(text.cast("binary")).cast("long"), "_sh_id": F.xxhash64(F.col("doc_id"))})
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name != "text" and not isinstance(f.dataType, MapType | ArrayType | StructType | VariantType)]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select(row.alias("_row"), "text", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("crc"), F.xxhash64(F.lit(5), *plain).alias("id"))
+
+
+def _share(key) -> F.Column:
+    """A 64-bit number's place in [0, 1), in unsigned order."""
+    return F.shiftrightunsigned(key, 11).cast("double") / float(1 << 53)
 
 
-def splitters(keyed: DataFrame, n_ranges: int, total: int, seed: int = 5) -> list[list[int]]:
-    """Quantile boundaries of a sample of keys, drawn by size: rows of boundaries, about root(n_ranges) in each.
+def splitters(keyed: DataFrame, n_ranges: int, total: int, bits: int) -> DataFrame:
+    """cell (the key's upper `bits` bits), base, at: how many boundaries lie before the cell, and those in it, in order.
 
-    About SAMPLES_PER_RANGE * n_ranges keys are drawn whatever the table's size, so what comes to the driver is bounded.
+    About SAMPLES_PER_RANGE * n_ranges keys are drawn by size; every SAMPLES_PER_RANGE-th of them in order is a boundary.
     """
-    wanted = SAMPLES_PER_RANGE * n_ranges
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("_sh_crc")), 11).cast("double") / float(1 << 53)
-    sample = keyed.where(u * total < F.col("_sh_size") * wanted).select("_sh_crc")
-    at = [k / n_ranges for k in range(1, n_ranges)]
-    row = sample.agg(F.percentile_approx("_sh_crc", F.array(*[F.lit(x) for x in at]), F.lit(100 * n_ranges)).alias("at")).first()
-    bounds = sorted(set(row["at"] or []))
-    width = max(1, math.isqrt(len(bounds)))
-    return [bounds[k : k + width] for k in range(0, len(bounds), width)] or [[0]]
-
-
-def range_of(key: Column, rows: list[list[int]]) -> Column:
-    """How many boundaries are at or under the key: first the row, then the place in it."""
-    width = len(rows[0])
-    row = F.size(F.filter(F.array(*[F.lit(r[0]).cast("long") for r in rows]), lambda b: b <= key))
-    inside = F.element_at(F.array(*[F.array(*[F.lit(x).cast("long") for x in r]) for r in rows]), F.greatest(row, F.lit(1)))
-    return F.when(row == 0, F.lit(0)).otherwise((row - 1) * width + F.size(F.filter(inside, lambda b: b <= key))).cast("int")
-
-
-def _placed(keyed: DataFrame, rows: list[list[int]], n_shards: int, total: int, limit: int) -> DataFrame:
-    """keyed with range, subdivision, shard, and place in the subdivided range."""
-    ranged = keyed.withColumn("_sh_range", range_of(F.col("_sh_crc"), rows))
-    parts = ranged.groupBy("_sh_range").agg(F.sum("_sh_size").alias("bytes")).withColumn("_sh_parts", F.greatest(F.lit(1), F.ceil(F.col("bytes") / limit)).cast("int"))
-    parts = materialize(parts.select("_sh_range", "_sh_parts"), "shard-ranges")
-    spread = ranged.join(parts, "_sh_range")
-    share = F.shiftrightunsigned(F.col("_sh_id"), 11).cast("double") / float(1 << 53)
-    # subdivisions follow the order of the hash: its upper bits choose them
-    spread = spread.withColumn("_sh_part", F.least(F.floor(share * F.col("_sh_parts")), F.col("_sh_parts") - 1).cast("int"))
-    sums = spread.groupBy("_sh_range", "_sh_part").agg(F.sum("_sh_size").alias("bytes"))
-    offsets = materialize(chunk_offsets(sums, [], ["_sh_range", "_sh_part"], {"bytes": "_sh_base"}).drop("bytes"), "shard-offsets")
-    order = ["_sh_crc", F.shiftrightunsigned(F.col("_sh_id"), 1), "_sh_id", "doc_id", "_sh_size"]
-    chunk = ["_sh_range", "_sh_part"]
-    size = F.col("_sh_size")
-    placed = spread.withColumn("_sh_before", before(size, chunk, order)).join(offsets, chunk)
-    group = Window.partitionBy(*chunk, "_sh_crc")
-    start, held = F.min("_sh_before").over(group), F.sum(size).over(group)
-    placed = placed.withColumns({"_sh_start": start, "_sh_held": held})
-    middle = F.col("_sh_base") + F.when(F.col("_sh_held") <= WHOLE_GROUP * total / n_shards, F.col("_sh_start") + F.col("_sh_held") / 2).otherwise(F.col("_sh_before") + size / 2)
-    placed = placed.withColumn("_sh_shard", F.least(F.floor(middle * n_shards / total), F.lit(n_shards - 1)).cast("int"))
-    return placed.withColumn("_sh_row", F.row_number().over(Window.partitionBy(*chunk, "_sh_shard").orderBy(*order)) - 1)
+    spark = keyed.sparkSession
+    sample = keyed.where(_share("id") * total < F.col("size") * SAMPLES_PER_RANGE * n_ranges).select("crc", F.shiftright("crc", 32 - bits).cast("int").alias("cell"))
+    counts = sample.groupBy("cell").agg(F.count("*").alias("n"))
+    sample = materialize(sample.join(chunk_offsets(counts, [], ["cell"], {"n": "earlier"}).drop("n"), "cell"), "shard-sample")
+    rank = F.col("earlier") + F.row_number().over(Window.partitionBy("cell").orderBy("crc"))
+    bounds = sample.withColumn("rank", rank).where(F.col("rank") % SAMPLES_PER_RANGE == 0).groupBy("cell").agg(F.sort_array(F.collect_set("crc")).alias("at"))
+    cells = spark.range(1 << bits).select(F.col("id").cast("int").alias("cell")).join(bounds, "cell", "left").select("cell", F.coalesce("at", F.array().cast("array<bigint>")).alias("at"))
+    return materialize(chunk_offsets(cells.withColumn("n", F.size("at").cast("long")), [], ["cell"], {"n": "base"}).drop("n"), "shard-splitters")
+
+
+def _in_units(keyed: DataFrame, n_ranges: int, total: int, limit: int) -> DataFrame:
+    """keyed with `unit`: struct<range, hot (the key that fills a range by itself, else -1), part>."""
+    bits = min(24, max(4, (n_ranges - 1).bit_length()))
+    cells = splitters(keyed, n_ranges, total, bits)
+    ranged = keyed.withColumn("cell", F.shiftright("crc", 32 - bits).cast("int")).join(cells, "cell")
+    ranged = ranged.withColumn("range", (F.col("base") + F.size(F.filter("at", lambda b: b <= F.col("crc")))).cast("long")).drop("cell", "base", "at")
+    full = materialize(ranged.groupBy("range").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > limit).select("range", "bytes"), "shard-overfull")
+    by_key = ranged.join(full.select("range"), "range", "left_semi").groupBy("range", "crc").agg(F.sum("size").alias("bytes"))
+    hot = materialize(by_key.where(F.col("bytes") > limit).select("range", "crc", F.ceil(F.col("bytes") / limit).cast("int").alias("hot_parts"), "bytes"), "shard-hot")
+    # what is left of an overfull range, and where its keys lie
+    rest = by_key.join(hot.select("crc"), "crc", "left_anti").groupBy("range").agg(F.min("crc").alias("low"), F.max("crc").alias("high"), F.ceil(F.sum("bytes") / limit).cast("int").alias("parts"))
+    rest = materialize(rest, "shard-rest")
+    spread = ranged.join(hot.select("crc", "hot_parts"), "crc", "left").join(rest, "range", "left")
+    is_hot = F.col("hot_parts").isNotNull()
+    by_place = F.least(F.floor((F.col("crc") - F.col("low")) * F.col("parts") / (F.col("high") - F.col("low") + 1)), F.col("parts") - 1)
+    part = F.when(is_hot, F.floor(_share("id") * F.col("hot_parts"))).otherwise(F.coalesce(by_place, F.lit(0)))
+    unit = F.struct("range", F.when(is_hot, F.col("crc")).otherwise(-1).alias("hot"), part.cast("int").alias("part"))
+    return spread.select(*keyed.columns, unit.alias("unit"))
 
 
 def shard(docs: DataFrame, n_shards: int = 24, n_ranges: int | None = None) -> DataFrame:
-    """docs with shard, slot (gapless from 0 in each shard, in key order), shard_bytes (size) and shard_key (CRC-32 of the text).
+    """docs with shard, slot (gapless from 0 in each shard), shard_bytes (size) and shard_key (CRC-32 of the text).
 
-    n_ranges: by default 1024, and one for each 256 MB beyond 256 GB.
+    n_ranges: by default RANGES_PER_SHARD for each shard, LEAST_RANGES at least, and one for each RANGE_BYTES.
     """
     keyed = _keyed(docs)
-    total = keyed.agg(F.sum("_sh_size")).first()[0] or 0
-    n_ranges = n_ranges or max(1024, total >> 28)
-    rows = splitters(keyed, n_ranges, max(1, total))
-    limit = max(1, 2 * total // n_ranges)
-    placed = _placed(keyed, rows, n_shards, max(1, total), limit)
-    counts = placed.groupBy("_sh_shard", "_sh_range", "_sh_part").agg(F.count("*").alias("n"))
-    slots = materialize(chunk_offsets(counts, ["_sh_shard"], ["_sh_range", "_sh_part"], {"n": "_sh_slot"}).drop("n"), "shard-slots")
-    out = placed.join(slots, ["_sh_range", "_sh_part", "_sh_shard"])
-    columns = [c for c in docs.columns if c not in ("shard", "slot", "shard_bytes", "shard_key")]
-    return out.select(*columns, F.col("_sh_shard").alias("shard"), (F.col("_sh_slot") + F.col("_sh_row")).cast("long").alias("slot"), F.col("_sh_size").alias("shard_bytes"), F.col("_sh_crc").alias("shard_key"))
+    total = max(1, keyed.agg(F.sum("size")).first()[0] or 0)
+    n_ranges = n_ranges or max(LEAST_RANGES, RANGES_PER_SHARD * n_shards, total // RANGE_BYTES)
+    placed = _in_units(keyed, n_ranges, total, max(1, 2 * total // n_ranges))
+    sums = placed.groupBy("unit").agg(F.sum("size").alias("bytes"))
+    bases = materialize(chunk_offsets(sums, [], ["unit"], {"bytes": "unit_base"}).drop("bytes"), "shard-bases")
+    order = ["crc", F.shiftrightunsigned("id", 1), "id", "size"]
+    size = F.col("size")
+    placed = placed.withColumn("earlier", before(size, ["unit"], order)).join(bases, "unit")
+    group = Window.partitionBy("unit", "crc")
+    middle = F.when(F.col("unit.hot") < 0, F.min("earlier").over(group) + F.sum(size).over(group) / 2).otherwise(F.col("earlier") + size / 2)
+    placed = placed.withColumn("to", F.least(F.floor((F.col("unit_base") + middle) * n_shards / total), F.lit(n_shards - 1)).cast("int"))
+    placed = placed.withColumn("nth", F.row_number().over(Window.partitionBy("unit", "to").orderBy(*order)) - 1)
+    counts = placed.groupBy("to", "unit").agg(F.count("*").alias("n"))
+    slots = materialize(chunk_offsets(counts, ["to"], ["unit"], {"n": "first"}).drop("n"), "shard-slots")
+    out = placed.join(slots, ["unit", "to"])
+    columns = [(F.col("text") if c == "text" else F.col("_row").getField(c)).alias(c) for c in docs.columns if c not in ("shard", "slot", "shard_bytes", "shard_key")]
+    return out.select(*columns, F.col("to").alias("shard"), (F.col("first") + F.col("nth")).cast("long").alias("slot"), F.col("size").alias("shard_bytes"), F.col("crc").alias("shard_key"))
