@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import bytewords, decontam, langid, lm, quality, simhash, toxicity
+from tidemark.llm import bytewords, decontam, langid, quality, simhash, toxicity
 
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -282,49 +282,3 @@ def test_normal_equations(spark):
 def test_isotonic():
     fit = quality.isotonic(np.array([3.0, 1, 2, 4]), np.array([0.2, 0.1, 0.6, 0.9]), np.ones(4))
     assert fit.tolist() == pytest.approx([0.4, 0.1, 0.4, 0.9])
-
-
-def test_language_model(docs):
-    rows = [(k, " ".join(f"{'THE' if j % 3 else 'a'} {prose(k * 10 + j, 1, 50)}" for j in range(30))) for k in range(200)] + [(i if i is None else i + 9000, t) for i, t in AWKWARD]
-    got = lm.score_held_out(docs(rows)).collect()
-    assert len(got) == len(rows)
-    tokens = lambda t: [*words(t), ""]
-    out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
-    c = collections.Counter(w for i, t in rows if not out(i) for w in tokens(t))
-    n, v = sum(c.values()), len(c)
-    texts = collections.defaultdict(list)
-    for i, t in rows:
-        texts[i].append(t)
-    for r in got:
-        assert r.held_out == out(r.doc_id) and r.train_tokens == n
-        want = [(len(tokens(t)), sum(c[w] > 0 for w in tokens(t)), sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens(t))) for t in texts[r.doc_id]]
-        assert any(r.n_tokens == a and r.n_known == b and r.base_score == pytest.approx(s) for a, b, s in want)
-        assert r.score < 0 and r.open_score <= r.score + 1e-9
-    held = [r for r in got if r.held_out]
-    assert sum(r.score for r in held) > 1.1 * sum(r.base_score for r in held)
-    assert lm.score_held_out(docs([])).count() == 0
-
-
-def test_rare_words_are_joined(docs, monkeypatch):
-    """With few frequent words the shuffle gives the same counts."""
-    rows = [(k, prose(k, 40)) for k in range(60)]
-    whole = {r.doc_id: r for r in lm.score_held_out(docs(rows)).collect()}
-    monkeypatch.setattr(lm, "FREQUENT", 8)
-    for r in lm.score_held_out(docs(rows)).collect():
-        a = whole[r.doc_id]
-        assert (r.n_known, r.n_tokens) == (a.n_known, a.n_tokens) and r.base_score == pytest.approx(a.base_score) and r.score == pytest.approx(a.score)
-
-
-def test_the_model_sums_to_one(spark):
-    counts = spark.createDataFrame([("ab", 3), ("abc", 1), ("b", 2)], "word string, n bigint").withColumn("tables", F.lit(1.0))
-    spelling = lm.fit_spelling(counts)
-    p = 10.0 ** spelling.logs
-    size = p.shape[1]
-    assert np.allclose(p[:, :-1].sum(axis=1) + p[:, -1] * (256 - (size - 1)), 1, atol=1e-5)
-
-
-def test_seating():
-    uniform = lambda k: np.random.default_rng(k).random(2000)
-    tables = lm.seat(np.full(2000, 5), np.full(2000, 0.5), 0.0, uniform)
-    assert tables.min() >= 1 and tables.max() <= 5
-    assert tables.mean() == pytest.approx(sum(0.5 / (0.5 + k) for k in range(5)), abs=0.1)
