@@ -19,7 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies (five words, similarity 0.8 or more) of a document with a smaller id go."""
+    """Near copies (five words, similarity 0.8 or more) of a document with a smaller id go: SimHash search, verified."""
     return nearcopies.keep_one(docs)
 
 
@@ -38,7 +38,7 @@ def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard(docs, N_SHARDS)
 
 
-STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_duplicates), ("decontaminate", drop_contaminated), ("mix_sources", mix_sources), ("shard", cut_shards)]
+STAGES = [("toxicity", drop_toxic), ("simhash_dedup", drop_near_duplicates), ("decontaminate", drop_contaminated), ("mix_sources", mix_sources), ("shard", cut_shards)]
 
 #: Near copies and the toxicity model can't be said in SQL.
 ORACLE_SQL = None

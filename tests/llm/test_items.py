@@ -20,3 +20,17 @@ def test_texts_under_one_id_are_sought_apart(spark, docs):
     got = {r.doc_id: (r.contaminated, r.n_items, r["items"]) for r in decontam.contaminated(docs(rows), items).collect()}
     assert got == {10: (True, 1, [1]), 11: (True, 2, [1, 2]), 12: (True, 2, [1, 2]), 13: (True, 1, [None]), 14: (False, 0, [])}
     assert [r.doc_id for r in decontam.clean(docs(rows), items).collect()] == [14]
+
+
+def test_signatures_leave_few_candidates(spark, docs):
+    items = spark.createDataFrame([(k, prose(k, 25 + k)) for k in range(40)], "item_id bigint, text string")
+    texts = {k: prose(k, 25 + k).split() for k in range(40)}
+    rows = [(k, f"{prose(500 + k, 80)} {' '.join(texts[k])} {prose(600 + k, 80)}") for k in range(10)]
+    # half an item: below the threshold, and met only where its part holds a hash of the signature
+    rows += [(100 + k, f"{prose(700 + k, 80)} {' '.join(texts[k][: len(texts[k]) // 2])}") for k in range(40)] + [(200 + k, prose(800 + k, 100)) for k in range(50)]
+    x = decontam.funnel(docs(rows), items).first()
+    assert (x.documents, x["items"], x.leaks) == (100, 40, 10) and 10 <= x.candidates <= 50
+    sized = decontam.signatures(items).groupBy("item").agg({"size": "max", "in_signature": "max"}).collect()
+    assert len(sized) == 40
+    for r in decontam.signatures(items).groupBy("item", "size").pivot("in_signature", [True]).count().collect():
+        assert r.size - r["true"] < 0.8 * r.size <= r.size  # what reaches the threshold has a hash of the signature

@@ -83,9 +83,6 @@ def test_simhash(docs):
             k = roots[r.fp % 2**64]
             least[k] = min(least.get(k, r.doc_id), r.doc_id)
     assert all(r.component_id == least.get(roots[r.fp % 2**64]) for r in got)
-    kept = simhash.keep_one(docs(rows))
-    assert kept.columns == docs(rows).columns
-    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == sorted((False, x) for x in least.values())
     assert simhash.near_duplicates(docs([])).count() == 0
 
 
@@ -107,11 +104,22 @@ def test_links_are_whole(spark, blocks, tile):
 def test_near_lanes():
     rng = np.random.default_rng(0)
     fps = np.concatenate([rng.integers(0, 2**63, 100).astype(np.uint64), np.uint64(5) ^ (np.uint64(1) << np.arange(30, dtype=np.uint64))])
-    near = simhash.near_lanes(simhash.bit_planes(fps), fps, 4)
+    near = simhash.near_lanes(simhash.bit_planes(fps[:, None]), fps[:, None], 4)
     bits = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, : len(fps)]
     assert (bits == (np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4)).all()
 
 
+@pytest.mark.parametrize("radius", [0, 7, 8, 33])
+def test_near_lanes_of_wide_fingerprints(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 2**63, (3, 2)).astype(np.uint64)
+    flips = np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 25), replace=False)) for _ in range(400)], np.uint64).reshape(200, 2)
+    fps = np.concatenate([base, base[rng.integers(0, 3, 200)] ^ flips])
+    near = simhash.near_lanes(simhash.bit_planes(fps), fps, radius)
+    bits = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, : len(fps)]
+    assert (bits == (np.bitwise_count(fps[:, None] ^ fps[None, :]).sum(axis=2) <= radius)).all()
+
+
 def shingles(text):
     w = [x.lower() for x in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())]
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
@@ -220,39 +228,59 @@ def test_toxicity(spark, docs):
     assert toxicity.remove(docs(rows), lab.limit(0)).count() == len(rows)
 
 
-def test_segments_are_maximal():
-    rng = random.Random(5)
-    for _ in range(200):
-        n = rng.randrange(1, 25)
-        value = np.array([rng.choice([0.0, 0.0, 2.0, 3.0, 5.0]) for _ in range(n)])
-        at = np.flatnonzero(value > 0)
-        found = toxicity.segments(value[at], at, 1.0)
-        net = value - 1.0
-        best = max((net[a : b + 1].sum() for a in range(n) for b in range(a, n)), default=0)
-        assert max((s for _, _, s in found), default=0) == pytest.approx(max(best, 0))
-        assert all(s == pytest.approx(net[a : b + 1].sum()) for a, b, s in found)
-        assert all(x[1] < y[0] for x, y in zip(sorted(found), sorted(found)[1:], strict=False))
+def split(net, a, b):
+    """The best segment of net[a:b], then those left and right of it."""
+    best = max(((net[i:j].sum(), i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, a, b))
+    return [] if best[0] <= 0 else [*split(net, a, best[1]), best[1:], *split(net, best[2], b)]
 
 
 def test_segments_are_those_of_the_definition():
-    def split(net, a, b):
-        """The best segment of net[a:b], then those left and right of it."""
-        best = max(((net[i:j].sum(), i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, a, b))
-        return [] if best[0] <= 0 else [*split(net, a, best[1]), best[1:], *split(net, best[2], b)]
-
     rng = random.Random(6)
-    for _ in range(100):
-        value = np.array([rng.choice([0.0, rng.uniform(0.5, 4)]) for _ in range(rng.randrange(1, 25))])
-        at = np.flatnonzero(value > 0)
-        assert [(a, b + 1) for a, b, _ in toxicity.segments(value[at], at, 1.0)] == split(value - 1.0, 0, len(value))
+    for _ in range(150):
+        net = np.array([rng.choice([-1.0, -0.3, -2.0, rng.uniform(0.5, 4)]) for _ in range(rng.randrange(1, 25))])
+        found = toxicity.segments(net)
+        assert [(a, b + 1) for a, b, _ in found] == split(net, 0, len(net))
+        assert all(s == pytest.approx(net[a : b + 1].sum()) for a, b, s in found)
 
 
 def test_segments_of_a_long_text_take_linear_time():
     # every word a passage of its own, each lower than all before it
-    at = np.arange(0, 800_000, 4)
-    assert len(toxicity.segments(np.full(len(at), 1.5), at, 1.0)) == len(at)
+    assert len(toxicity.segments(np.tile([0.5, -1.0, -1.0, -1.0], 200_000))) == 200_000
     # each a little higher than the last: all are one passage
-    assert len(toxicity.segments(np.full(len(at), 5.0), at, 1.0)) == 1
+    assert len(toxicity.segments(np.tile([4.0, -1.0, -1.0, -1.0], 200_000))) == 1
+
+
+def test_toxicity_score_by_hand():
+    """The least tail over the r best segments, each with its factor of two."""
+    law = toxicity.Law(0.5, 1.0, 0.8, 0.01)
+    scores, words = {0: [6.0], 1: [2.5, 2.4, 2.6, 2.2], 2: [], 3: [1.0, 7.0]}, np.array([50, 400, 9, 80])
+    found = toxicity.Segments(*[np.array(x) for x in ([k for k, v in scores.items() for _ in v], [0] * 7, [0] * 7)], np.array([s for v in scores.values() for s in v], float), words)
+    got = law.score(found)
+    for k, v in scores.items():
+        z = sorted(((s - 0.5 * math.log(words[k]) - 1.0) / 0.8 for s in v), reverse=True)
+        tails = []
+        for r in range(1, len(z) + 1):
+            t = sum(z[:r])
+            p = 1 - math.exp(-math.exp(-z[0])) if r == 1 else math.exp(-t) * t ** (r - 1) / math.factorial(r) / math.factorial(r - 1) if t > r else 1.0
+            tails.append(p * 2**r)
+        assert got[k] == pytest.approx(0.01 / (0.01 + min(1.0, *tails)) if tails else 0.0)
+
+
+def test_several_weak_passages_count(spark, docs):
+    lexicon = toxicity.Lexicon(*[x[np.argsort(y)] for y in [bytewords.words_of(bytewords.texts_of(pa.array(["bad"]))).hash] for x in (y, np.array([3.0]))])
+    law = toxicity.Law(0.0, 0.5, 0.5, 0.005)
+    one, four = (toxicity.segments_of(pa.array([" ".join(["bad", *["fine"] * 20] * n)]), lexicon) for n in (1, 4))
+    assert len(four.text) == 4 and law.score(four)[0] > law.score(one)[0] and law.score(one)[0] < 0.5 < law.score(four)[0]
+
+
+def test_log_odds_by_hand(spark):
+    counts = spark.createDataFrame([(1, 0, 1, 8), (1, 1, 9, 2), (2, 0, 3, 3), (3, 1, 1, 1)], "token bigint, toxic bigint, n bigint, docs bigint")
+    got = toxicity.lexicon_of(counts, (30, 10))
+    share = {0: 0.75, 1: 0.25}
+    for token, clean, toxic in ((1, 8, 2), (2, 3, 0), (3, 0, 1)):
+        want = math.log((toxic + toxicity.PRIOR * share[1]) / share[1]) - math.log((clean + toxicity.PRIOR * share[0]) / share[0])
+        assert got.of(np.array([token], np.uint64))[0] == pytest.approx(want)
+    assert got.of(np.array([9], np.uint64))[0] == 0
 
 
 def test_quality(spark, docs):

@@ -8,7 +8,8 @@ hashes of its shingles under a permutation, with k one more than the number of s
 that holds the item holds at least one of them, so no leak is lost, and k follows the partition. The signatures' hashes
 with their items are the index. Documents stream past it, whole and without a shuffle: a short item in a document a
 thousand times its size has a Jaccard similarity near 0, so a sketch of the document would miss it, but its shingles meet
-the signature. Only (document, item) pairs that meet are candidates, and they are verified by exact containment.
+the signature. Only signatures are probed. (document, item) pairs that meet are candidates, and each is verified by exact
+containment: the item's shingles are looked up among the document's. Shingles are compared by 64-bit hashes of their words.
 
 The index is broadcast if its size is at most INDEX_BYTES, and else the items are searched in blocks of that size, one pass
 over the documents for each; the documents' side never moves.
@@ -60,42 +61,58 @@ def signatures(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 class Index:
-    """A block of items: all their shingles in order, with their items, and which are signatures."""
+    """A block of items: the hashes of their signatures, in order, with their items; and each item's shingles in a row."""
 
     def __init__(self, shingle: np.ndarray, item: np.ndarray, signs: np.ndarray, ids: pa.Array, sizes: np.ndarray) -> None:
-        order = np.lexsort((item, shingle))
-        self.shingle, self.item, self.signs = shingle[order], item[order], signs[order]
         self.ids, self.sizes = ids, sizes
-        self.keys, self.first = np.unique(self.shingle, return_index=True)
-        self.first = np.append(self.first, len(self.shingle))
+        order = np.argsort(item, kind="stable")
+        self.shingle = shingle[order]
+        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+        sign, of = shingle[signs], item[signs]
+        order = np.argsort(sign, kind="stable")
+        self.item = of[order]
+        self.keys, self.first = np.unique(sign[order], return_index=True)
+        self.first = np.append(self.first, len(sign))
         # a Bloom-like table of one bit for 2^20 slots turns away most shingles before the search
         self.slots = np.zeros(1 << 20, bool)
         self.slots[self.keys & np.uint64((1 << 20) - 1)] = True
 
-    def held(self, texts_column: pa.Array, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Texts, items and how many distinct shingles of the item the text has, for all that reach the threshold."""
-        names, text = shingles_of(words_of(texts_of(texts_column), punctuation=False), SHINGLE)
+    def candidates(self, names: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (text, item) pairs of which the text has a hash of the item's signature."""
         maybe = self.slots[names & np.uint64((1 << 20) - 1)]
         names, text = names[maybe], text[maybe]
         at = np.searchsorted(self.keys, names)
         at[at == len(self.keys)] = 0
         hit = self.keys[at] == names if len(self.keys) else np.zeros(0, bool)
-        pairs = np.unique(np.stack([text[hit], at[hit]]), axis=1) if hit.any() else np.zeros((2, 0), np.int64)
-        many = self.first[pairs[1] + 1] - self.first[pairs[1]]
-        place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.first[pairs[1]], many)
-        text, item, signs = np.repeat(pairs[0], many), self.item[place], self.signs[place]
-        # candidates: a signature hash met; then the exact count of the item's shingles in the text
-        key = text * len(self.ids) + item
-        unique, back = np.unique(key, return_inverse=True)
-        met = np.bincount(back, signs, len(unique)) > 0
-        found = np.bincount(back, minlength=len(unique))
-        text, item = np.divmod(unique, max(1, len(self.ids)))
-        good = met & (found >= threshold * self.sizes[item] - 1e-9)
-        return text[good], item[good], found[good]
+        text, at = text[hit], at[hit]
+        many = self.first[at + 1] - self.first[at]
+        place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.first[at], many)
+        pairs = np.unique(np.repeat(text, many) * len(self.ids) + self.item[place])
+        return np.divmod(pairs, max(1, len(self.ids)))
+
+    def held(self, texts_column: pa.Array, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Texts, items and how many distinct shingles of the item the text has, for all that reach the threshold; and how many candidates each text had."""
+        names, text = shingles_of(words_of(texts_of(texts_column), punctuation=False), SHINGLE)
+        of, item = self.candidates(names, text)
+        n_candidates = np.bincount(of, minlength=len(texts_column))
+        # only texts with a candidate are looked at again
+        some = n_candidates[text] > 0
+        names, text = names[some], text[some]
+        order = np.lexsort((names, text))
+        names, text = names[order], text[order]
+        shared = np.zeros(len(of), np.int64)
+        bounds = np.searchsorted(text, np.arange(len(texts_column) + 1))
+        for k, (t, i) in enumerate(zip(of.tolist(), item.tolist(), strict=True)):
+            own, sought = names[bounds[t] : bounds[t + 1]], self.shingle[self.begin[i] : self.begin[i + 1]]
+            at = np.searchsorted(own, sought)
+            at[at == len(own)] = 0
+            shared[k] = np.count_nonzero(own[at] == sought)
+        good = shared >= threshold * self.sizes[item] - 1e-9
+        return of[good], item[good], shared[good], n_candidates
 
 
 def search(docs: DataFrame, items: DataFrame, carry: list[str], threshold: float = THRESHOLD, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """The columns of docs named in carry, and `held`: array<struct<item_id, item_shingles, shared>>, by item. No shuffle of docs."""
+    """The columns of docs named in carry, and `held`: array<struct<item_id, item_shingles, shared>>, by item, and `candidates`: how many items met it. No shuffle of docs."""
     index = materialize(signatures(items, threshold), "decontam-index")
     # a row of the index takes at most 40 bytes in a task
     blocks = max(1, -(-index.count() * 40 // index_bytes))
@@ -114,14 +131,15 @@ def search(docs: DataFrame, items: DataFrame, carry: list[str], threshold: float
         def run(batches: Iterator[pa.RecordBatch], held=held, place=place, name=f"_dc_held{block}") -> Iterator[pa.RecordBatch]:
             index = held.value
             for batch in pieces(batches, place):
-                text, item, shared = index.held(batch.column(place), threshold)
+                text, item, shared, n_candidates = index.held(batch.column(place), threshold)
                 offsets = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
                 found = pa.StructArray.from_arrays([index.ids.take(pa.array(item)), pa.array(index.sizes[item]), pa.array(shared.astype(np.int64))], names=["item_id", "item_shingles", "shared"])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), found)], names=[*batch.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), found), pa.array(n_candidates)], names=[*batch.schema.names, name, f"{name}_met"])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
-        d = d.mapInArrow(run, f"{fields}, _dc_held{block} array<struct<item_id:{kind},item_shingles:bigint,shared:bigint>>")
-    return d.select(*carry, F.array_sort(F.concat(*[F.col(f"_dc_held{b}") for b in range(blocks)])).alias("held"))
+        d = d.mapInArrow(run, f"{fields}, _dc_held{block} array<struct<item_id:{kind},item_shingles:bigint,shared:bigint>>, _dc_held{block}_met bigint")
+    met = sum((F.col(f"_dc_held{b}_met") for b in range(1, blocks)), F.col("_dc_held0_met"))
+    return d.select(*carry, F.array_sort(F.concat(*[F.col(f"_dc_held{b}") for b in range(blocks)])).alias("held"), met.alias("candidates"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -138,6 +156,13 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     return found.select("doc_id", (F.size("held") > 0).alias("contaminated"), F.size(items_held).cast("long").alias("n_items"), items_held.alias("items"), F.coalesce(best, F.lit(0.0)).alias("containment"))
 
 
+def funnel(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row: documents, items, pairs of them, candidates that signatures leave of these, and leaks that verification leaves."""
+    n_items = items.where(F.col("text").isNotNull()).dropDuplicates(["item_id", "text"]).count()
+    found = search(docs, items, ["doc_id"], threshold).agg(F.count("*").alias("documents"), F.coalesce(F.sum("candidates"), F.lit(0)).alias("candidates"), F.coalesce(F.sum(F.size("held")), F.lit(0)).cast("long").alias("leaks"))
+    return found.select("documents", F.lit(n_items).cast("long").alias("items"), (F.col("documents") * n_items).alias("pairs"), "candidates", "leaks")
+
+
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs without the documents that hold an item."""
     return search(docs, items, docs.columns, threshold).where(F.size("held") == 0).select(*docs.columns)

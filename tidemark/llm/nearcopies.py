@@ -1,17 +1,19 @@
-"""Near copies by exact Jaccard similarity: the rule of the pipeline's stage.
+"""The near-duplicate stage: SimHash search at a wide radius, verified by exact Jaccard similarity.
 
 Two texts are near copies if the sets of their lower-cased shingles of SHINGLE words have a Jaccard similarity of at least
 THRESHOLD. A text goes if it is a near copy of one with a smaller doc_id; of equal texts the smallest doc_id stays. So each
-text that goes has a chain of near copies down to one that stays, and no two that stay share a bucket and are near copies.
+text that goes has a chain of near copies down to one that stays.
 
-Candidates come from MinHash signatures in BANDS bands of ROWS values: texts of similarity s share a bucket with probability
-1 - (1 - s ** ROWS) ** BANDS, which is 0.99993 at 0.8. SimHash can't give them: at 0.8 fingerprints differ in about 10 of 64
-bits, and a radius that holds such pairs (16) leaves buckets of 4 bits, so the work grows with the square of the texts.
+Fingerprints have BITS bits, of the distinct shingles. At similarity s two of them differ in a share acos(2s / (1 + s)) / pi of
+their bits: 19 of 128 at 0.8, with a standard deviation of 4, while unlike texts differ in 64. So the search takes RADIUS
+bits. Fingerprints meet in buckets named by the values of sampled bits, in as many tables as leave less than MISSED of the
+pairs at the threshold unmet; the number of sampled bits follows the number of texts, so buckets stay of one size. In each
+bucket fingerprints are compared bit-sliced, and only a spanning forest of links is kept.
 
-Every candidate is verified by exact similarity. In each bucket the smallest texts are compared with all others, first one
-of them, then eight times as many in each round; near copies leave all buckets, so a group of near copies takes about as
-many comparisons as it has members. Rounds go on until no bucket has a pair that wasn't compared. The pairs of a text that
-has many are dealt over several tasks.
+The links' components hold all near copies that met, and few other texts. In each component the smallest texts are compared
+with all others by exact similarity, first one of them, then eight times as many in each round; near copies leave, so a
+group of near copies takes about as many comparisons as it has members. Rounds go on until no component has a pair that
+wasn't compared. The pairs of a text that has many are dealt over several tasks.
 
 Cases: texts without a word (null, empty, blank) are alike. Fewer than SHINGLE words: the whole sequence is the one shingle.
 Null doc_id: after all others. Repeated rows: one stays. Empty table: empty result. Further columns are kept.
@@ -19,6 +21,8 @@ Null doc_id: after all others. Repeated rows: one stays. Empty table: empty resu
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,34 +32,66 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bytewords import mixed, pair_counts, pieces, shingles_of, texts_of, words_of
 from tidemark.llm.scale import materialize, on_workers
+from tidemark.llm.simhash import compared, components
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 24, 5
+BITS, RADIUS, MISSED = 128, 34, 0.001
+#: Texts of a bucket, if fingerprints are spread.
+BUCKET = 256
 #: Pairs of one text that a task compares together.
 PAIRS = 512
-_SALT = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
 
-def band_values(column: pa.Array) -> np.ndarray:
-    """texts x BANDS: a hash of the band's number and its ROWS least hashes; alike for all texts without a word."""
+def wide_fingerprints(column: pa.Array) -> np.ndarray:
+    """texts x 2 (64 bits each): of the distinct shingles; a bit is 1 if more than half of their hashes have it."""
     texts = texts_of(column)
     names, text = shingles_of(words_of(texts), SHINGLE)
     order = np.argsort(text, kind="stable")
-    names, text = names[order], text[order]
+    text, names, _ = pair_counts(text[order], names[order])
     some, first = np.unique(text, return_index=True)
-    out = np.zeros((texts.n, BANDS), np.uint64)
-    with np.errstate(over="ignore"):
-        for band in range(BANDS):
-            value = np.full(texts.n, band, np.uint64)
-            for k in range(band * ROWS, (band + 1) * ROWS):
-                least = np.zeros(texts.n, np.uint64)
-                if len(some):
-                    least[some] = np.minimum.reduceat((names ^ _SALT[k]) * (_SALT[k] | np.uint64(1)), first)
-                value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + least)
-            out[:, band] = value
+    out = np.zeros((texts.n, BITS // 64), np.uint64)
+    if not len(some):
+        return out
+    sizes = np.diff(np.append(first, len(text)))
+    for part in range(BITS // 64):
+        hashes = mixed(names + np.uint64(part))
+        for k in range(64):
+            ones = np.add.reduceat((hashes >> np.uint64(k)) & np.uint64(1), first)
+            out[some, part] |= (2 * ones > sizes).astype(np.uint64) << np.uint64(k)
     return out
 
 
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, key (a 64-bit hash of the text), f0, f1 (its fingerprint), for each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            fps = wide_fingerprints(batch.column(2)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps[:, 0]), pa.array(fps[:, 1])], names=["doc_id", "key", "f0", "f1"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return on_workers(docs).select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, f"doc_id {kind}, key bigint, f0 bigint, f1 bigint")
+
+
+def tables_for(n: int, threshold: float = THRESHOLD) -> list[list[int]]:
+    """The sampled bits of each table for n texts."""
+    bits = max(6, math.ceil(math.log2(max(1, n) / BUCKET)))
+    agree = (1 - math.acos(2 * threshold / (1 + threshold)) / math.pi) ** bits
+    draw = random.Random(5)
+    return [draw.sample(range(BITS), bits) for _ in range(math.ceil(math.log(MISSED) / math.log(1 - agree)))]
+
+
+def loose_groups(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """key, band (names a component) of the texts that have a link within RADIUS bits. nodes: key, f0, f1."""
+    each = []
+    for k, bits in enumerate(tables_for(nodes.count(), threshold)):
+        masks = [sum(1 << (b & 63) for b in bits if b >> 6 == part) for part in (0, 1)]
+        f0, f1 = (F.col(c).bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m).cast("long")) for c, m in zip(("f0", "f1"), masks, strict=True))
+        each.append(F.struct(F.lit(k).alias("bucket"), F.xxhash64(f0, f1).alias("value")))
+    rows = nodes.select("key", "f0", "f1", F.explode(F.array(*each)).alias("t")).select("t.bucket", "t.value", "f0", "f1", "key")
+    return components(compared(rows, ["f0", "f1"], "key", RADIUS)).select(F.col("node").alias("key"), F.col("root").alias("band"))
+
+
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
     """Exact Jaccard similarity of the shingles of each pair of texts; 1 if neither has any."""
     n = len(left)
@@ -68,19 +104,6 @@ def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
     return np.where(union > 0, shared / np.maximum(union, 1), 1.0)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, key (a 64-bit hash of the text), bands, for each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            bands = band_values(batch.column(2)).view(np.int64)
-            offsets = pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))], names=["doc_id", "key", "bands"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return on_workers(docs).select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, f"doc_id {kind}, key bigint, bands array<bigint>")
-
-
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b: the pairs (keys of texts) that are near copies."""
     ids = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
@@ -106,10 +129,10 @@ def _in_pairs(rows: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs without near copies of texts with a smaller doc_id; of equal texts one row stays."""
     marked = materialize(sketches(docs), "near-sketches")
-    nodes = marked.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("id"), F.first("bands").alias("bands"))
+    nodes = marked.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("id"), F.first("f0").alias("f0"), F.first("f1").alias("f1"))
     nodes = materialize(nodes, "near-nodes")
     place = F.struct("id", "key")
-    rows = materialize(_in_pairs(nodes.select(place.alias("node"), F.explode("bands").alias("band"))), "near-buckets")
+    rows = materialize(nodes.join(loose_groups(nodes, threshold), "key").select(place.alias("node"), "band"), "near-groups")
     tested, gone, heads = None, None, 1
     while not rows.isEmpty():
         ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("node")))

@@ -8,7 +8,7 @@ fingerprints within the radius agree in all but RADIUS of them, so they meet in
 blocks - RADIUS parts and their values. More blocks make more and smaller buckets; the number is chosen by the number of
 fingerprints, and every choice finds all links. Tasks hold their buckets' fingerprints as bit planes: 64 words of one bit
 for each of 64 members. A member is compared with 64 others by one XOR for each plane, and the distances are counted by
-carry-save adders in bit-sliced form; after every eighth plane a block whose members all exceed the radius is left. A
+carry-save adders in bit-sliced form; after 3, 4, 5 and 6 eighths of the planes a block whose members all exceed the radius is left. A
 bucket with more than TILE members is dealt to pairs of tiles, so no task holds more than two tiles of it. Only a spanning
 forest of each comparison's links is kept, so a group of near copies gives as many links as members.
 
@@ -100,51 +100,53 @@ def buckets(distinct: DataFrame, blocks: int, radius: int = RADIUS) -> DataFrame
 
 
 def near_lanes(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
-    """For each query, bits of the members within the radius. planes: 64 x words, queries: fingerprints (uint64).
+    """For each query, bits of the members within the radius. planes: bits x words, queries: fingerprints (n x bits / 64).
 
-    A block is one query and 64 members. Counters c0, c1, c2 and `over` hold every lane's distance so far, bit by bit;
-    `over` is set for 8 and more. Blocks without a lane within the radius are left after 24, 32 and 48 planes.
+    A block is one query and 64 members. Counters and `over` hold every lane's distance so far, bit by bit; `over` is set
+    beyond what the counters hold. Blocks without a lane within the radius are left after 3, 4, 5 and 6 eighths of the planes.
     """
-    n_words = planes.shape[1]
+    n_words, bits = planes.shape[1], len(planes)
     out = np.zeros(len(queries) * n_words, np.uint64)
     query, word = np.divmod(np.arange(len(out)), n_words)
-    c0, c1, c2, over = (np.zeros(len(out), np.uint64) for _ in range(4))
-    zero = np.uint64(0)
-    for k in range(0, 64, 2):
-        a, b = (planes[j][word] ^ (zero - ((queries >> np.uint64(j)) & np.uint64(1)))[query] for j in (k, k + 1))
+    counters = [np.zeros(len(out), np.uint64) for _ in range(max(3, radius.bit_length()))]
+    over, zero = np.zeros(len(out), np.uint64), np.uint64(0)
+    leave = {bits * k // 8 - 2 for k in (3, 4, 5, 6)}
+    for k in range(0, bits, 2):
+        a, b = (planes[j][word] ^ (zero - ((queries[:, j >> 6] >> np.uint64(j & 63)) & np.uint64(1)))[query] for j in (k, k + 1))
         half = a ^ b
-        carry = (a & b) | (half & c0)
-        c0 ^= half
-        up = c1 & carry
-        c1 ^= carry
-        over |= c2 & up
-        c2 ^= up
-        if k in (22, 30, 46):
-            stay = np.flatnonzero(~(over | _beyond(c0, c1, c2, radius)))
+        carry = (a & b) | (half & counters[0])
+        counters[0] ^= half
+        for c in counters[1:]:
+            up = c & carry
+            c ^= carry
+            carry = up
+        over |= carry
+        if k in leave:
+            stay = np.flatnonzero(~(over | _beyond(counters, radius)))
             if not len(stay):
                 return out.reshape(len(queries), n_words)
-            query, word, c0, c1, c2, over = query[stay], word[stay], c0[stay], c1[stay], c2[stay], over[stay]
-    out[query * n_words + word] = ~(over | _beyond(c0, c1, c2, radius))
+            query, word, over, *counters = (x[stay] for x in (query, word, over, *counters))
+    out[query * n_words + word] = ~(over | _beyond(counters, radius))
     return out.reshape(len(queries), n_words)
 
 
-def _beyond(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes whose count in c2 c1 c0 is above the radius (0 to 7)."""
-    above, equal = np.zeros_like(c0), np.full_like(c0, 0xFFFFFFFFFFFFFFFF)
-    for k, c in ((2, c2), (1, c1), (0, c0)):
+def _beyond(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """Lanes whose count in the counters (the lowest bit first) is above the radius."""
+    above, equal = np.zeros_like(counters[0]), np.full_like(counters[0], 0xFFFFFFFFFFFFFFFF)
+    for k in reversed(range(len(counters))):
         if radius >> k & 1:
-            equal &= c
+            equal &= counters[k]
         else:
-            above |= equal & c
-            equal &= ~c
+            above |= equal & counters[k]
+            equal &= ~counters[k]
     return above
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
-    """64 x words: bit i of word w of plane k is bit k of fingerprint 64 w + i; lanes beyond the last one repeat it."""
+    """bits x words: bit i of word w of plane k is bit k of fingerprint 64 w + i; lanes beyond the last one repeat it."""
     words = -(-len(fps) // 64)
-    padded = np.concatenate([fps, np.repeat(fps[-1:], words * 64 - len(fps))])
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    padded = np.concatenate([fps, np.repeat(fps[-1:], words * 64 - len(fps), axis=0)])
+    bits = np.unpackbits(np.ascontiguousarray(padded).view(np.uint8).reshape(len(padded), -1), axis=1, bitorder="little")
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view(np.uint64)
 
 
@@ -176,21 +178,19 @@ def forest(fps: np.ndarray, groups: np.ndarray, radius: int = RADIUS) -> list[tu
     return links
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None, tile: int = TILE) -> DataFrame:
-    """a, b: links that join exactly what all pairs of fingerprints within the radius join."""
-    distinct = distinct.select("fp")
-    blocks = blocks or blocks_for(distinct.count(), radius)
-    rows = buckets(distinct, blocks, radius)
+def compared(rows: DataFrame, prints: list[str], name: str, radius: int, tile: int = TILE) -> DataFrame:
+    """a, b (names): a spanning forest of the links within each bucket of rows (bucket, value, the fingerprint's 64-bit parts, name)."""
+    columns = list(dict.fromkeys([*prints, name]))
     large = materialize(rows.groupBy("bucket", "value").agg(F.count("*").alias("n")).where(F.col("n") > tile).withColumn("tiles", F.ceil(F.col("n") / tile).cast("int")).drop("n"), "simhash-large")
     rows = rows.join(large, ["bucket", "value"], "left")
-    own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
+    own = F.pmod(F.xxhash64(name), F.col("tiles")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, own).alias("i"), F.greatest(t, own).alias("j")))
     single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    rows = rows.select("bucket", "value", F.explode(F.when(F.col("tiles").isNull(), single).otherwise(others)).alias("t"), "fp").select("bucket", "value", "t.i", "t.j", "fp")
+    rows = rows.select("bucket", "value", F.explode(F.when(F.col("tiles").isNull(), single).otherwise(others)).alias("t"), *columns).select("bucket", "value", "t.i", "t.j", *columns)
     rows = rows.repartition("bucket", "value", "i", "j").sortWithinPartitions("bucket", "value", "i", "j")
 
     def compare(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("bucket", "value", "i", "j", "fp")
+        names = ("bucket", "value", "i", "j", *columns)
         rest = [np.zeros(0, np.int64)] * len(names)
         for batch in itertools.chain(part, [None]):
             if batch is not None:
@@ -212,19 +212,27 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None,
                 if starts[k] - cut[-1] > 512 and starts[k - 1] > cut[-1]:
                     cut.append(int(starts[k - 1]))
             cut.append(upto)
-            fps = rest[4].view(np.uint64)
+            fps = np.stack([rest[names.index(c)].view(np.uint64) for c in prints], axis=1)
+            called = rest[names.index(name)]
             found = []
             for a, b in itertools.pairwise(cut):
                 if b - a > 1:
                     found += [(x + a, y + a) for x, y in forest(fps[a:b], group[a:b], radius)]
             if found:
                 pairs = np.array(found)
-                yield pa.RecordBatch.from_arrays([pa.array(rest[4][pairs[:, 0]]), pa.array(rest[4][pairs[:, 1]])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(called[pairs[:, 0]]), pa.array(called[pairs[:, 1]])], names=["a", "b"])
             rest = [x[upto:].copy() for x in rest]
 
     return on_workers(rows).mapInArrow(compare, "a bigint, b bigint")
 
 
+def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None, tile: int = TILE) -> DataFrame:
+    """a, b: links that join exactly what all pairs of fingerprints within the radius join."""
+    distinct = distinct.select("fp")
+    blocks = blocks or blocks_for(distinct.count(), radius)
+    return compared(buckets(distinct, blocks, radius), ["fp"], "fp", radius, tile)
+
+
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """node, root (the smallest node of its component) for all nodes that have a link.
 
@@ -262,12 +270,3 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     named = materialize(named, "simhash-roots")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(named.select("fp", "root").join(ids, "root"), "fp").select("doc_id", "text_key", "fp", "root", "component_id")
-
-
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs without near-duplicates: of each component the row with the smallest doc_id stays (of equal ids one)."""
-    found = near_duplicates(docs, radius)
-    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("k")).select(F.col("k.doc_id").alias("_sim_id"), F.col("k.text_key").alias("_sim_key"), F.lit(True).alias("_sim_kept"))
-    marked = docs.withColumn("_sim_text", F.xxhash64("text"))
-    out = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_sim_id"]) & (marked["_sim_text"] == kept["_sim_key"]), "left_semi")
-    return out.dropDuplicates(["doc_id", "_sim_text"]).drop("_sim_text").select(*docs.columns)

@@ -1,14 +1,17 @@
 """Toxicity by maximum-scoring segments.
 
-Each token (a lower-cased run of letters and digits, and its stems of 4 to 8 bytes) has the log-odds of standing in toxic
-rather than in clean training documents, with an informative Dirichlet prior: counts of the whole sample, times
-PRIOR_SHARE, stand behind both sides, so a rare token is drawn to 0. Only tokens whose use
-by toxic documents is significant count. A word scores the highest of its own and its stems' log-odds, less DRIFT, so clean text drifts down. One scan of a document finds every
-maximal segment: all passages whose score can't be raised by growing or shrinking. Those above the significance line are the toxic passages.
+Each token (a lower-cased run of letters and digits, and its stems of 4 to 8 bytes) has the log-odds of being used by toxic
+rather than clean training documents, with a Dirichlet prior: PRIOR documents that use it at the labels' own share of toxic
+ones stand behind its counts, so a token that few documents use is drawn to 0. A word scores the most decisive of its own and
+its stems' log-odds, for toxic or for clean, less DRIFT, so clean text drifts down. One scan of a document, linear in its
+length, finds every maximal segment: all passages whose score can't be raised by growing or shrinking.
 
 The best segment of a clean text of n words follows an extreme-value law whose location grows with log n. Its location
-and scale are fitted to clean documents of a calibration fold that the log-odds haven't seen; the score of a document is
-the odds, at the labels' own share of toxic documents, that its best segment is not from that law.
+and scale are fitted to clean documents of a calibration fold that the log-odds haven't seen. Under this law the sum of a
+text's r best normalised segments exceeds t with probability exp(-t) t^(r-1) / (r! (r-1)!). A text's evidence is the least of
+these over all r, times 2^r for the choice of r; so one strong passage counts as well as several weaker ones. The score is
+the odds, at the labels' own share of toxic documents, that the segments aren't from that law. A passage is significant if
+it would make a text toxic by itself.
 
 Labelled rows are a bounded sample of about MAX_LABELLED, by a hash of doc_id, so the labels can be broadcast; counts are
 summed in tasks and by key, and the lexicon is bounded by the sample.
@@ -33,12 +36,12 @@ from tidemark.llm.scale import crc_of_id, materialize, on_workers
 
 FOLDS, CALIBRATION_FOLD = 5, 4
 MAX_LABELLED = 20_000
-PRIOR_SHARE, DRIFT, FALSE_TOKENS = 0.005, 1.0, 0.1
+PRIOR, DRIFT = 2.0, 1.0
 #: Lengths in bytes of the stems of a word that count as tokens too.
 STEMS = range(4, 9)
 SLOTS = 1 << 20
 #: Least scale of the law, and how strict it is: clean texts beyond it are at most about this share of the toxic ones.
-LEAST_SCALE, PER_LABEL = 0.25, 0.02
+LEAST_SCALE, PER_LABEL = 0.25, 0.005
 #: A score from which a document is taken to be toxic.
 TOXIC = 0.5
 
@@ -74,17 +77,17 @@ def tokens(column: pa.Array) -> Tokens:
 
 
 def values_of(found: Tokens, lexicon: Lexicon) -> np.ndarray:
-    """The highest log-odds of each word's tokens; 0 if none has any."""
+    """The most decisive log-odds of each word's tokens; 0 if none is known."""
     out = lexicon.of(found.kinds[0][1])
     for has, hashes in found.kinds[1:]:
         odds = lexicon.of(hashes)
-        some = np.flatnonzero(odds)
-        np.maximum.at(out, has[some], odds[some])
+        stronger = np.abs(odds) > np.abs(out[has])
+        out[has[stronger]] = odds[stronger]
     return out
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
-    """token, toxic, n, docs: how often the sample's documents of either label use each token, and how many use it."""
+    """token, toxic, docs: how many of the sample's documents of either label use each token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 0):
@@ -102,7 +105,7 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 @dataclass
 class Lexicon:
-    """Tokens in order of their hash, and their log-odds; only those that aren't 0."""
+    """Tokens in order of their hash, and their log-odds."""
 
     token: np.ndarray
     odds: np.ndarray
@@ -124,43 +127,29 @@ class Lexicon:
 
 
 def lexicon_of(counts: DataFrame, n_docs: tuple[int, int]) -> Lexicon:
-    """Log-odds of every token whose use by toxic documents is significant. n_docs: clean and toxic documents of the sample."""
-    of = lambda c, k: F.coalesce(F.sum(F.when(F.col("toxic") == k, F.col(c))), F.lit(0)).cast("double").alias(f"{c}{k}")
-    wide = counts.groupBy("token").agg(*[of(c, k) for c in ("n", "docs") for k in (0, 1)])
-    totals = wide.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("kinds")).first()
-    if not totals["n0"] or not totals["n1"]:
+    """Log-odds of every token of the sample. n_docs: clean and toxic documents of the sample."""
+    of = lambda k: F.coalesce(F.sum(F.when(F.col("toxic") == k, F.col("docs"))), F.lit(0)).cast("double").alias(f"docs{k}")
+    if not all(n_docs):
         return Lexicon(np.zeros(0, np.uint64), np.zeros(0))
-    # likelihood-ratio statistic of the numbers of toxic and clean documents that use the token, against a line that
-    # FALSE_TOKENS of all tokens would pass by chance
-    line = 2 * np.log(totals["kinds"] / FALSE_TOKENS)
-    users, share = F.col("docs0") + F.col("docs1"), n_docs[1] / sum(n_docs)
-    part = lambda c, x: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (users * x))).otherwise(0.0)
-    sure = wide.where((2 * (part("docs1", share) + part("docs0", 1 - share)) >= float(line)) & (F.col("docs1") > users * share))
-    found = sure.select("token", "n0", "n1").toArrow()
-    n0, n1 = found.column("n0").to_numpy(), found.column("n1").to_numpy()
-    prior, mass = (n0 + n1) * PRIOR_SHARE, (totals["n0"] + totals["n1"]) * PRIOR_SHARE
-    side = lambda n, total: np.log((n + prior) / (total + mass - n - prior))
-    odds = side(n1, totals["n1"]) - side(n0, totals["n0"])
+    found = counts.groupBy("token").agg(of(0), of(1)).toArrow()
+    clean, toxic = (x / sum(n_docs) for x in n_docs)
+    odds = np.log((found.column("docs1").to_numpy() + PRIOR * toxic) / toxic) - np.log((found.column("docs0").to_numpy() + PRIOR * clean) / clean)
     token = found.column("token").to_numpy().view(np.uint64)
-    use = odds > 0
-    order = np.argsort(token[use])
-    return Lexicon(token[use][order], odds[use][order])
+    order = np.argsort(token)
+    return Lexicon(token[order], odds[order])
 
 
-def segments(score: np.ndarray, place: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments of one text: first and last word, and score. score, place: of the words above 0, in order; every word costs drift.
+def segments(value: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments of one text, by the scores of its words: first and last word, and score.
 
     The linear-time scan keeps candidates with the running totals at their left and right ends, each chained to the last
     earlier one whose left total is lower. A new one is joined with that of its own if its right total is higher.
     """
     found: list[tuple[int, int, float, float, int]] = []  # first, last, left total, right total, place of the one it is chained to
-    total = 0.0
-    for s, at in zip(score.tolist(), place.tolist(), strict=True):
-        left = total - drift * at
-        total += s
-        if s <= drift:
-            continue
-        first, right = at, total - drift * (at + 1)
+    at = np.flatnonzero(value > 0)
+    total = np.cumsum(value)
+    for last, left, right in zip(at.tolist(), (total[at] - value[at]).tolist(), total[at].tolist(), strict=True):
+        first = last
         back = len(found) - 1
         while back >= 0 and found[back][2] >= left:
             back = found[back][4]
@@ -168,33 +157,35 @@ def segments(score: np.ndarray, place: np.ndarray, drift: float) -> list[tuple[i
             first, _, left, _, earlier = found[back]
             del found[back:]
             back = earlier
-        found.append((first, at, left, right, back))
+        found.append((first, last, left, right, back))
     return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
-def best_segments(column: pa.Array, lexicon: Lexicon, drift: float = DRIFT) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text: the score of its best segment (0 for none), and its number of words.
+@dataclass
+class Segments:
+    """All maximal segments of a batch: of each its text, first and last word, and score; words: of each text."""
 
-    The best maximal segment is the largest rise of the running total over its lowest point so far.
-    """
+    text: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    score: np.ndarray
+    words: np.ndarray
+
+
+def segments_of(column: pa.Array, lexicon: Lexicon, drift: float = DRIFT) -> Segments:
     found = tokens(column)
-    text, n = found.text, found.n
     value = values_of(found, lexicon) - drift
-    counts = np.bincount(text, minlength=n)
-    if not len(value):
-        return np.zeros(n), counts
-    total = np.cumsum(value)
-    first = np.cumsum(counts) - counts
-    some = counts > 0
-    base = np.zeros(n)
-    base[some] = total[first[some]] - value[first[some]]
-    # texts one below another, so that a lower point of an earlier text is never the lowest
-    span = np.abs(value).sum() + 1
-    sunk = total - base[text] - span * text
-    low = np.minimum.accumulate(np.minimum(sunk - value, -span * text))
-    best = np.zeros(n)
-    np.maximum.at(best, text, sunk - low)
-    return best, counts
+    bounds = np.searchsorted(found.text, np.arange(found.n + 1))
+    rows = [(k, *x) for k in np.unique(found.text[value > 0]).tolist() for x in segments(value[bounds[k] : bounds[k + 1]])]
+    text, first, last, score_ = zip(*rows, strict=True) if rows else ((), (), (), ())
+    return Segments(np.array(text, np.int64), np.array(first, np.int64), np.array(last, np.int64), np.array(score_, float), np.diff(bounds))
+
+
+def best_of(found: Segments) -> np.ndarray:
+    """Of each text: the score of its best segment (0 for none)."""
+    best = np.zeros(len(found.words))
+    np.maximum.at(best, found.text, found.score)
+    return best
 
 
 @dataclass
@@ -206,11 +197,40 @@ class Law:
     scale: float
     odds: float
 
-    def score(self, best: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Posterior that the best segment isn't a clean text's: its tail probability against one that any toxic segment has."""
-        z = (best - self.slope * np.log(np.maximum(words, 1)) - self.base) / self.scale
-        tail = -np.expm1(-np.exp(-np.clip(z, -30, 700)))
-        return np.where(best > 0, self.odds / (self.odds + np.maximum(tail, 1e-300)), 0.0)
+    def normal(self, score_: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Segments' scores as multiples of the scale above the location."""
+        return (score_ - self.slope * np.log(np.maximum(words, 1)) - self.base) / self.scale
+
+    def posterior(self, log_tail: np.ndarray) -> np.ndarray:
+        return self.odds / (self.odds + np.exp(np.maximum(log_tail, -690.0)))
+
+    def score(self, found: Segments) -> np.ndarray:
+        """Of each text: posterior that its segments aren't a clean text's; 0 for no segment."""
+        out = np.zeros(len(found.words))
+        if not len(found.text):
+            return out
+        z = self.normal(found.score, found.words[found.text])
+        order = np.lexsort((-z, found.text))
+        text, z = found.text[order], z[order]
+        first = np.searchsorted(text, np.arange(len(out)))
+        rank = np.arange(len(text)) - first[text] + 1
+        total = np.cumsum(z)
+        total -= (total[first[text]] - z[first[text]])
+        # one segment: the law itself; the r best: the tail of their sum, and a factor of two for each further one
+        one = np.log(-np.expm1(-np.exp(-np.clip(z, -30, 690))))
+        log_factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, rank.max() + 1)))])
+        several = -total + (rank - 1) * np.log(np.maximum(total, 1e-9)) - log_factorial[rank] - log_factorial[rank - 1]
+        tail = np.where(rank == 1, one, np.where(total > rank, several, 0.0)) + rank * np.log(2.0)
+        least = np.zeros(len(out))
+        np.minimum.at(least, text, tail)
+        has = np.zeros(len(out), bool)
+        has[text] = True
+        return np.where(has, self.posterior(least), 0.0)
+
+    def significant(self, found: Segments) -> np.ndarray:
+        """Which segments would make their text toxic by themselves."""
+        z = self.normal(found.score, found.words[found.text])
+        return self.posterior(np.log(-np.expm1(-np.exp(-np.clip(z, -30, 690)))) + np.log(2.0)) >= TOXIC
 
 
 def fit_law(best: np.ndarray, words: np.ndarray, toxic: np.ndarray) -> Law:
@@ -236,48 +256,40 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 0):
-            best, words = best_segments(batch.column(0), model.value)
-            yield pa.RecordBatch.from_arrays([pa.array(best), pa.array(words), batch.column(1)], names=["best", "words", "label"])
+            found = segments_of(batch.column(0), model.value)
+            yield pa.RecordBatch.from_arrays([pa.array(best_of(found)), pa.array(found.words), batch.column(1)], names=["best", "words", "label"])
 
     held = on_workers(rows).where(F.col("fold") == CALIBRATION_FOLD).select("text", "label").mapInArrow(run, "best double, words bigint, label int").toArrow()
     return lexicon, fit_law(*[held.column(k).to_numpy() for k in range(3)])
 
 
 def score(docs: DataFrame, labels: DataFrame, carry: dict[str, Column], label: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """The columns of carry, then tox_score (0 to 1) and tox_best (score of the best passage), for each row of docs."""
+    """The columns of carry, then _tox_score (0 to 1) and _tox_passages (how many significant ones), for each row of docs."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, max_labelled))
     inputs = docs.select(*[c.alias(k) for k, c in carry.items()], F.col("text").alias("_tox_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, law = model.value
         for batch in pieces(batches):
-            best, words = best_segments(batch.column(batch.num_columns - 1), lexicon)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(law.score(best, words)), pa.array(best)], names=[*batch.schema.names[:-1], "_tox_score", "_tox_best"])
+            found = segments_of(batch.column(batch.num_columns - 1), lexicon)
+            many = np.bincount(found.text[law.significant(found)], minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(law.score(found)), pa.array(many)], names=[*batch.schema.names[:-1], "_tox_score", "_tox_passages"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema.fields[:-1])
-    return on_workers(inputs).mapInArrow(run, f"{fields}, _tox_score double, _tox_best double")
+    return on_workers(inputs).mapInArrow(run, f"{fields}, _tox_score double, _tox_passages bigint")
 
 
-def passages(docs: DataFrame, lexicon: Lexicon, law: Law, drift: float = DRIFT) -> DataFrame:
+def passages(docs: DataFrame, lexicon: Lexicon, law: Law) -> DataFrame:
     """doc_id, first_word, last_word, passage_score: every significant toxic passage (words are runs of letters and digits)."""
     model = docs.sparkSession.sparkContext.broadcast((lexicon, law))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, law = model.value
         for batch in pieces(batches):
-            found = tokens(batch.column(1))
-            text, value = found.text, values_of(found, lexicon)
-            first = np.searchsorted(text, np.arange(found.n + 1))
-            rows = []
-            for k in np.unique(text[value > drift]).tolist():
-                own = value[first[k] : first[k + 1]]
-                at = np.flatnonzero(own > 0)
-                own_segments = segments(own[at], at, drift)
-                sure = law.score(np.array([x[2] for x in own_segments]), np.full(len(own_segments), len(own))) >= TOXIC
-                rows += [(k, *x) for x, ok in zip(own_segments, sure, strict=True) if ok]
-            if rows:
-                of, a, b, s = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s)], names=["doc_id", "first_word", "last_word", "passage_score"])
+            found = segments_of(batch.column(1), lexicon)
+            sure = law.significant(found)
+            columns = [batch.column(0).take(pa.array(found.text[sure])), *[pa.array(x[sure]) for x in (found.first, found.last, found.score)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "first_word", "last_word", "passage_score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return on_workers(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, first_word bigint, last_word bigint, passage_score double")
