@@ -35,7 +35,7 @@ from tidemark.llm.scale import materialize, on_workers
 from tidemark.llm.simhash import compared, components
 
 SHINGLE, THRESHOLD = 5, 0.8
-BITS, RADIUS, MISSED = 128, 34, 0.001
+BITS, RADIUS, MISSED = 128, 34, 1e-4
 #: Texts of a bucket, if fingerprints are spread.
 BUCKET = 256
 #: Pairs of one text that a task compares together.
