@@ -104,10 +104,15 @@ def test_snapshot_diff(spark):
 
 
 def test_delivery(spark):
-    d = spark.createDataFrame([(0, "A", "wrong", "g"), (1, "P", "x", "prot")], "ord int, name string, tvg_id string, grp string")
-    e = spark.createDataFrame([(0, "A", "a"), (1, "M", "m")], "ord int, playlist_name string, output_tvg_id string")
-    got = {r.name: r.issues for r in audit.delivery_audit(d, e, ["prot"]).collect()}
-    assert got == {"A": "wrong_tvg_id", "P": "protected_unmatched_has_epg_hint", "M": "missing_from_delivery"}
+    d = spark.createDataFrame([(0, "A", "wrong", None, "g"), (1, "P", "", "hint", "prot"), (2, "Q", "No_EPG_7", None, "g"), (3, "G", "ok", None, "g"), (4, "G", "ok", None, "g")], "ord int, name string, tvg_id string, tvg_name string, grp string")
+    e = spark.createDataFrame([(0, "A", "a"), (1, "M", "m"), (2, "G", "ok")], "ord int, playlist_name string, output_tvg_id string")
+    v = spark.createDataFrame([("ok",), ("m",), ("",)], "output_tvg_id string")
+    got = {(r.name, r.issues, r.validated, r.copies) for r in audit.delivery_audit(d, e, v, ["prot"]).collect()}
+    assert got == {
+        ("A", "wrong_tvg_id;no_validated_programme", False, 1), ("P", "protected_unmatched_has_epg_hint", False, 1), ("Q", "placeholder_tvg_id_left", False, 1), ("G", "ok", True, 2),
+        ("M", "mapped_channel_missing_from_worker", True, 0),
+    }
+    assert {r.issue: r.n for r in audit.issue_counts(audit.delivery_audit(d, e, v, ["prot"])).collect()} == {"wrong_tvg_id": 1, "no_validated_programme": 1, "protected_unmatched_has_epg_hint": 1, "placeholder_tvg_id_left": 1, "mapped_channel_missing_from_worker": 1}
 
 
 def test_watchlist(spark):

@@ -27,17 +27,17 @@ def duck():
 
 
 def names():
-    from tidemark.plans.oracles import ORACLES
+    from tidemark.plans import oracles, store_queries
 
-    return sorted(ORACLES)
+    return sorted(oracles.ORACLES | store_queries.ORACLES)
 
 
 @pytest.mark.parametrize("name", names())
 def test_query(spark, duck, name):
-    from tidemark.plans.oracles import ORACLES
-    from tidemark.plans.queries import QUERIES
+    from tidemark.plans import oracles, queries, store_queries
 
-    same(QUERIES[name](spark, SF).toPandas(), duck.execute(ORACLES[name]).df())
+    plans, sql = queries.QUERIES | store_queries.QUERIES, oracles.ORACLES | store_queries.ORACLES
+    same(plans[name](spark, SF).toPandas(), duck.execute(sql[name]).df())
 
 
 def test_entry(spark):

@@ -71,29 +71,34 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.select("key", F.explode(found).alias("x")).select("key", "x.*")
 
 
-def delivery_audit(delivered: DataFrame, expected: DataFrame, protected_groups: list[str]) -> DataFrame:
+def delivery_audit(delivered: DataFrame, expected: DataFrame, validated: DataFrame, protected_groups: list[str]) -> DataFrame:
     """Every delivered channel and every expected one that is missing, with its issues (`ok` for none).
 
-    delivered: ord, name, tvg_id, grp. expected: ord, playlist_name, output_tvg_id.
+    delivered: ord, name, tvg_id, tvg_name, grp. expected: ord, playlist_name, output_tvg_id (blank: none). validated:
+    output_tvg_id of the channels whose guide was seen to have programmes. A repeated name is counted, not an issue.
     """
-    e = last_wins(expected, ["playlist_name"], "ord").select(F.col("playlist_name").alias("e_name"), F.col("output_tvg_id").alias("expected_id"))
+    good = validated.where(filled(F.col("output_tvg_id")) != "").select(F.col("output_tvg_id").alias("v_id")).distinct()
+    e = last_wins(expected, ["playlist_name"], "ord").select(F.col("playlist_name").alias("e_name"), filled(F.col("output_tvg_id")).alias("expected_id"))
+    e = e.join(good, F.col("expected_id") == F.col("v_id"), "left").select("e_name", "expected_id", F.col("v_id").isNotNull().alias("validated"))
     names = delivered.groupBy("name").agg(F.count("*").alias("copies"))
     d = delivered.join(names, "name").join(e, F.col("name") == F.col("e_name"), "left")
-    protected = F.col("grp").isin(protected_groups) & F.col("expected_id").isNull()
+    actual, wanted = filled(F.col("tvg_id")), filled(F.col("expected_id"))
+    sure = F.coalesce("validated", F.lit(False))
     issue = lambda cond, text: F.when(cond, F.lit(text))
     issues = F.array_compact(F.array(
-        issue(F.col("expected_id").isNotNull() & (F.col("expected_id") != F.col("tvg_id")), "wrong_tvg_id"), issue(F.col("expected_id").isNull() & ~protected, "unmapped"),
-        issue(protected & (filled(F.col("tvg_id")) != ""), "protected_unmatched_has_epg_hint"), issue(F.col("copies") > 1, "duplicate_name"),
+        issue((wanted != "") & (actual != wanted), "wrong_tvg_id"), issue((wanted != "") & ~sure, "no_validated_programme"),
+        issue((wanted == "") & F.col("grp").isin(protected_groups) & ((actual != "") | (filled(F.col("tvg_name")) != "")), "protected_unmatched_has_epg_hint"),
+        issue((wanted == "") & F.startswith(F.lower(actual), F.lit("no_epg")), "placeholder_tvg_id_left"),
     ))
     status = lambda x: F.when(F.size(x) == 0, "ok").otherwise(F.array_join(x, ";"))
-    found = d.select("name", "tvg_id", "expected_id", F.col("copies").cast("long").alias("copies"), status(issues).alias("issues"))
+    found = d.select("name", filled(F.col("grp")).alias("grp"), wanted.alias("expected_id"), actual.alias("tvg_id"), ((wanted != "") & sure).alias("validated"), F.col("copies").cast("long").alias("copies"), status(issues).alias("issues"))
     gone = e.join(delivered.select("name").distinct(), F.col("e_name") == F.col("name"), "left_anti")
-    missing = gone.select(F.col("e_name").alias("name"), F.lit(None).cast("string").alias("tvg_id"), "expected_id", F.lit(0).cast("long").alias("copies"), F.lit("missing_from_delivery").alias("issues"))
+    missing = gone.select(F.col("e_name").alias("name"), F.lit("").alias("grp"), "expected_id", F.lit("").alias("tvg_id"), "validated", F.lit(0).cast("long").alias("copies"), F.lit("mapped_channel_missing_from_worker").alias("issues"))
     return found.unionByName(missing)
 
 
 def issue_counts(audit: DataFrame) -> DataFrame:
-    return audit.select(F.explode(F.split("issues", ";")).alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
+    return audit.where("issues != 'ok'").select(F.explode(F.split("issues", ";")).alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
 
 
 def watchlist(names: DataFrame, mapping: DataFrame, programmes: DataFrame, now: Column, n: int = 8) -> DataFrame:
@@ -104,7 +109,7 @@ def watchlist(names: DataFrame, mapping: DataFrame, programmes: DataFrame, now:
     on = current_programme(p, now).select("channel", F.col("title").alias("on_air"))
     later = next_programmes(p, now, n).groupBy("channel").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "title"))), lambda x: x["title"]).alias("upcoming"))
     out = own.join(on, "channel", "left").join(later, "channel", "left")
-    status = F.when(F.col("channel").isNull(), "not_mapped").when(F.col("on_air").isNull() & F.col("upcoming").isNull(), "no_programmes").when(F.col("on_air").isNull(), "no_current").otherwise("ok")
+    status = F.when(F.col("channel").isNull(), "not_mapped").when(F.col("on_air").isNull() & F.col("upcoming").isNull(), "no_current_or_upcoming_programme").otherwise("ok")
     return out.select("name", "channel", status.alias("status"), "on_air", F.coalesce("upcoming", F.array().cast("array<string>")).alias("upcoming"))
 
 

@@ -100,23 +100,25 @@ def funnel(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-def render(programmes: DataFrame) -> DataFrame:
+def render(programmes: DataFrame, media: Column | None = None) -> DataFrame:
     """Guide rows with found metadata written into them; applying it again changes nothing.
 
     programmes: title, desc, categories, date, rating array<struct<system,value>>, url array<string>, icon, and found:
-    struct<title, year, rating, imdb_id, overview, poster, genre_ids, genres> (null: left as they are).
+    struct<title, year, rating, imdb_id, overview, poster, genre_ids, genres> (null: left as they are). media: movie (by
+    default) or series, for the genres' numbers.
     """
+    media = F.lit("movie") if media is None else media
     f = F.col("found")
     title = compact_title(F.when(filled(f["title"]) != "", f["title"]).otherwise(F.col("title")), f["year"], f["rating"])
     others = F.filter(F.coalesce("rating", F.array().cast("array<struct<system:string,value:string>>")), lambda r: F.lower(r["system"]) != "imdb")
-    own = F.when(filled(f["rating"]) != "", F.array_append(others, F.struct(F.lit("imdb").alias("system"), F.concat(f["rating"], F.lit("/10")).alias("value")))).otherwise(others)
+    own = F.when(filled(f["rating"]) != "", F.array_append(others, F.struct(F.lit("IMDb").alias("system"), F.concat(f["rating"], F.lit("/10")).alias("value")))).otherwise(others)
     link = F.concat(F.lit("https://www.imdb.com/title/"), f["imdb_id"], F.lit("/"))
     urls = F.coalesce("url", F.array().cast("array<string>"))
-    genres = F.array_join(genre_names(f["genre_ids"], f["genres"]), ", ")
+    genres = F.array_join(genre_names(f["genre_ids"], f["genres"], media), ", ")
     text = F.when(filled(f["overview"]) != "", f["overview"]).otherwise(F.col("desc"))
     known = lambda new, old: F.when(f.isNotNull(), new).otherwise(old)
     return programmes.withColumns({
-        "title": known(title, F.col("title")), "rating": known(own, F.col("rating")), "url": known(F.when(filled(f["imdb_id"]) != "", F.array_union(urls, F.array(link))).otherwise(urls), F.col("url")),
+        "title": known(title, F.col("title")), "rating": known(own, F.col("rating")), "url": known(F.when((filled(f["imdb_id"]) != "") & ~F.exists(urls, lambda u: F.rlike(F.lower(u), F.lit("imdb[.]com/title/tt"))), F.array_append(urls, link)).otherwise(urls), F.col("url")),
         "icon": known(F.when(filled(F.col("icon")) != "", F.col("icon")).otherwise(f["poster"]), F.col("icon")), "desc": known(text, F.col("desc")), "genre": known(genres, F.lit(None).cast("string")),
         "date": known(F.lit(None).cast("string"), F.col("date")), "categories": known(F.array().cast("array<string>"), F.col("categories")),
     })

@@ -8,17 +8,19 @@ _PROG = """
 _AT = "TIMESTAMP '2024-01-15 12:00:00'"
 _DELIVERY = """
     d AS (
-        SELECT o_orderkey AS ord, 'c' || o_custkey AS name, CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'bad' ELSE 'id' || o_custkey END AS tvg_id, o_orderpriority AS grp FROM orders
-    ), e AS (SELECT 'c' || c_custkey AS e_name, 'id' || c_custkey AS expected_id FROM customer WHERE c_custkey % 4 <> 0),
-    j AS (SELECT d.*, e.expected_id, count(*) OVER (PARTITION BY name) AS copies FROM d LEFT JOIN e ON d.name = e.e_name),
-    f AS (
-        SELECT name, tvg_id, expected_id, copies,
-            concat_ws(';', CASE WHEN expected_id IS NOT NULL AND expected_id <> tvg_id THEN 'wrong_tvg_id' END, CASE WHEN expected_id IS NULL AND grp <> '1-URGENT' THEN 'unmapped' END,
-                CASE WHEN expected_id IS NULL AND grp = '1-URGENT' AND tvg_id <> '' THEN 'protected_unmatched_has_epg_hint' END, CASE WHEN copies > 1 THEN 'duplicate_name' END) AS issues
-        FROM j
+        SELECT 'c' || o_custkey AS name, CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'NO_EPG_1' ELSE 'id' || o_custkey END AS actual, CASE WHEN o_orderkey % 3 = 0 THEN 'hint' ELSE '' END AS tvg_name, o_orderpriority AS grp FROM orders
+    ), mapping AS (SELECT 'c' || c_custkey AS name, 'id' || c_custkey AS expected FROM customer WHERE c_custkey % 4 <> 0),
+    valid AS (SELECT 'id' || c_custkey AS id FROM customer WHERE c_custkey % 3 <> 0),
+    seen AS (SELECT name, count(*) AS n FROM d GROUP BY name),
+    rows_ AS (
+        SELECT d.*, coalesce(mapping.expected, '') AS expected, coalesce(mapping.expected, '') IN (SELECT id FROM valid) AS ok FROM d LEFT JOIN mapping USING (name)
     ), a AS (
-        SELECT name, tvg_id, expected_id, copies::BIGINT AS copies, CASE WHEN issues = '' THEN 'ok' ELSE issues END AS issues FROM f
-        UNION ALL SELECT e_name, NULL, expected_id, 0::BIGINT, 'missing_from_delivery' FROM e WHERE e_name NOT IN (SELECT name FROM d)
+        SELECT r.name, r.grp, r.expected AS expected_id, r.actual AS tvg_id, r.ok AS validated, seen.n::BIGINT AS copies,
+            coalesce(nullif(concat_ws(';', CASE WHEN expected <> '' AND actual <> expected THEN 'wrong_tvg_id' END, CASE WHEN expected <> '' AND NOT ok THEN 'no_validated_programme' END,
+                CASE WHEN expected = '' AND grp IN ('1-URGENT') AND (actual <> '' OR tvg_name <> '') THEN 'protected_unmatched_has_epg_hint' END,
+                CASE WHEN expected = '' AND starts_with(lower(actual), 'no_epg') THEN 'placeholder_tvg_id_left' END), ''), 'ok') AS issues
+        FROM rows_ r JOIN seen USING (name)
+        UNION ALL SELECT name, '', expected, '', expected IN (SELECT id FROM valid), 0::BIGINT, 'mapped_channel_missing_from_worker' FROM mapping WHERE name NOT IN (SELECT name FROM seen)
     )
 """
 _EVIDENCE = """
@@ -73,7 +75,7 @@ ORACLES = {
         WITH {_PROG}, w AS (SELECT c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN c_custkey::VARCHAR END AS channel FROM customer WHERE c_custkey % 3 = 0),
         o AS (SELECT channel, arg_max(title, start_at) AS on_air FROM secs WHERE start_at <= {_AT} AND (stop_at IS NULL OR stop_at > {_AT}) GROUP BY 1),
         u AS (SELECT channel, string_agg(title, ',' ORDER BY start_at) AS up FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY start_at) AS n FROM secs WHERE start_at > {_AT}) WHERE n <= 3 GROUP BY 1)
-        SELECT name, CASE WHEN w.channel IS NULL THEN 'not_mapped' WHEN on_air IS NULL AND up IS NULL THEN 'no_programmes' WHEN on_air IS NULL THEN 'no_current' ELSE 'ok' END AS status, on_air, coalesce(up, '') AS upcoming
+        SELECT name, CASE WHEN w.channel IS NULL THEN 'not_mapped' WHEN on_air IS NULL AND up IS NULL THEN 'no_current_or_upcoming_programme' ELSE 'ok' END AS status, on_air, coalesce(up, '') AS upcoming
         FROM w LEFT JOIN o ON w.channel = o.channel LEFT JOIN u ON w.channel = u.channel
     """,
     "clock_offset_prefix": """
@@ -100,7 +102,7 @@ ORACLES = {
         UNION ALL SELECT key, 'group', a.grp, b.grp FROM a JOIN b USING (key) WHERE a.grp <> b.grp
     """,
     "delivery_audit": f"WITH {_DELIVERY} SELECT * FROM a",
-    "delivery_issue_counts": f"WITH {_DELIVERY} SELECT issue, count(*) AS n FROM (SELECT unnest(string_split(issues, ';')) AS issue FROM a) GROUP BY 1",
+    "delivery_issue_counts": f"WITH {_DELIVERY} SELECT issue, count(*) AS n FROM (SELECT unnest(string_split(issues, ';')) AS issue FROM a WHERE issues <> 'ok') GROUP BY 1",
     "accuracy_audit": f"""
         WITH {_MAP}, v AS (
             SELECT k, CASE WHEN k % 9 = 0 THEN 'verified|by hand' WHEN method = 'synthetic-x' THEN 'wrong|synthetic schedule is not a verified real broadcast schedule'

@@ -139,9 +139,10 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
 def _delivery(spark: SparkSession, sf: str) -> DataFrame:
     o, c = _table(spark, sf, "orders"), _table(spark, sf, "customer")
     key = F.col("o_custkey").cast("string")
-    delivered = o.select(F.col("o_orderkey").alias("ord"), F.concat(F.lit("c"), key).alias("name"), F.when(F.col("o_orderkey") % 5 == 0, "").when(F.col("o_orderkey") % 5 == 1, "bad").otherwise(F.concat(F.lit("id"), key)).alias("tvg_id"), F.col("o_orderpriority").alias("grp"))
+    delivered = o.select(F.col("o_orderkey").alias("ord"), F.concat(F.lit("c"), key).alias("name"), F.when(F.col("o_orderkey") % 5 == 0, "").when(F.col("o_orderkey") % 5 == 1, "NO_EPG_1").otherwise(F.concat(F.lit("id"), key)).alias("tvg_id"), F.when(F.col("o_orderkey") % 3 == 0, "hint").alias("tvg_name"), F.col("o_orderpriority").alias("grp"))
     expected = c.where(F.col("c_custkey") % 4 != 0).select(F.col("c_custkey").alias("ord"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("playlist_name"), F.concat(F.lit("id"), F.col("c_custkey").cast("string")).alias("output_tvg_id"))
-    return audit.delivery_audit(delivered, expected, ["1-URGENT"])
+    validated = c.where(F.col("c_custkey") % 3 != 0).select(F.concat(F.lit("id"), F.col("c_custkey").cast("string")).alias("output_tvg_id"))
+    return audit.delivery_audit(delivered, expected, validated, ["1-URGENT"])
 
 
 def delivery_audit(spark: SparkSession, sf: str) -> DataFrame:
