@@ -77,8 +77,12 @@ def tables_for(n: int, threshold: float = THRESHOLD) -> list[list[int]]:
     """The sampled bits of each table for n texts."""
     bits = max(6, math.ceil(math.log2(max(1, n) / BUCKET)))
     agree = (1 - math.acos(2 * threshold / (1 + threshold)) / math.pi) ** bits
-    draw = random.Random(5)
-    return [draw.sample(range(BITS), bits) for _ in range(math.ceil(math.log(MISSED) / math.log(1 - agree)))]
+    many, draw, tables = math.ceil(math.log(MISSED) / math.log(1 - agree)), random.Random(5), []
+    while len(tables) < many:
+        # disjoint samples of one permutation: differing bits that spoil one of them are missing from the others
+        order = draw.sample(range(BITS), BITS)
+        tables += [order[k : k + bits] for k in range(0, BITS - bits + 1, bits)]
+    return tables[:many]
 
 
 def loose_groups(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
