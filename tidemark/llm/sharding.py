@@ -48,11 +48,14 @@ def splitters(keyed: DataFrame, n_ranges: int, total: int, bits: int) -> DataFra
     About SAMPLES_PER_RANGE * n_ranges keys are drawn by size; every SAMPLES_PER_RANGE-th of them in order is a boundary.
     """
     spark = keyed.sparkSession
-    sample = keyed.where(_share("id") * total < F.col("size") * SAMPLES_PER_RANGE * n_ranges).select("crc", F.shiftright("crc", 32 - bits).cast("int").alias("cell"))
-    counts = sample.groupBy("cell").agg(F.count("*").alias("n"))
-    sample = materialize(sample.join(chunk_offsets(counts, [], ["cell"], {"n": "earlier"}).drop("n"), "cell"), "shard-sample")
-    rank = F.col("earlier") + F.row_number().over(Window.partitionBy("cell").orderBy("crc"))
-    bounds = sample.withColumn("rank", rank).where(F.col("rank") % SAMPLES_PER_RANGE == 0).groupBy("cell").agg(F.sort_array(F.collect_set("crc")).alias("at"))
+    drawn = keyed.where(_share("id") * total < F.col("size") * SAMPLES_PER_RANGE * n_ranges).groupBy("crc").agg(F.count("*").alias("n"))
+    drawn = materialize(drawn.withColumn("cell", F.shiftright("crc", 32 - bits).cast("int")), "shard-sample")
+    sums = chunk_offsets(drawn.groupBy("cell").agg(F.sum("n").alias("n")), [], ["cell"], {"n": "earlier"}).drop("n")
+    # ranks of a key's first and last draw; a boundary where a multiple lies between them
+    last = F.col("earlier") + F.sum("n").over(Window.partitionBy("cell").orderBy("crc"))
+    ranked = drawn.join(sums, "cell").withColumn("last", last)
+    met = F.floor(F.col("last") / SAMPLES_PER_RANGE) > F.floor((F.col("last") - F.col("n")) / SAMPLES_PER_RANGE)
+    bounds = ranked.where(met).groupBy("cell").agg(F.sort_array(F.collect_list("crc")).alias("at"))
     cells = spark.range(1 << bits).select(F.col("id").cast("int").alias("cell")).join(bounds, "cell", "left").select("cell", F.coalesce("at", F.array().cast("array<bigint>")).alias("at"))
     return materialize(chunk_offsets(cells.withColumn("n", F.size("at").cast("long")), [], ["cell"], {"n": "base"}).drop("n"), "shard-splitters")
 
