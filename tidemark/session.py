@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,14 +17,19 @@ def local_session(cores: int = 8, name: str = "tidemark") -> SparkSession:
     )
 
 
+@cache
+def _own_folder(application: str) -> str:
+    """One temporary folder an application: spark.checkpoint.dir can't be set in a session that runs."""
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir); a temporary folder only where it is unset, and only in local mode."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _own_folder(spark.sparkContext.applicationId)
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
