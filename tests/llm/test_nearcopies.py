@@ -60,3 +60,20 @@ def test_buckets_of_unlike_texts_are_searched_to_the_end(docs, monkeypatch):
 def test_similarities():
     a, b = ["a b c d e f", None, "x y", "A b c d e", ""], ["a b c d e g", " ", "x z", "a b c d e", "q"]
     assert nearcopies.similarities(pa.array(a), pa.array(b)).tolist() == pytest.approx([1 / 3, 1, 0, 1, 0])
+
+
+def test_texts_that_share_a_passage(spark, docs):
+    """A passage of two thirds of each text links them all; near copies among them are found, and parts by rare shingles stay small."""
+    passage = prose(5, 80)
+    rows = [(k, " ".join(passage + prose(100 + k, 40))) for k in range(60)]
+    rows += [(100 + k, " ".join(passage + changed(prose(100 + k, 40), {(3 * k) % 40}))) for k in range(0, 60, 4)] + [(200, None), (201, " ")]
+    alike = {(a, b) for i, (b, y) in enumerate(rows) for a, x in rows[:i] if jaccard(x, y) >= 0.8}
+    assert len(alike) == 16
+    full = docs(rows)
+    node = nearcopies.F.struct(nearcopies.F.struct(nearcopies.F.lit(False).alias("no_id"), "doc_id").alias("id"), nearcopies.F.xxhash64("text").alias("key")).alias("node")
+    bands = {}
+    for r in nearcopies.by_rare_shingles(full, full.select(node)).collect():
+        bands.setdefault(r.band, set()).add(r.node.id.doc_id)
+    assert all(any({a, b} <= x for x in bands.values()) for a, b in alike)
+    assert max(map(len, bands.values())) <= 20
+    assert sorted(r.doc_id for r in nearcopies.keep_one(full).collect()) == sorted({k for k, _ in rows} - {b for _, b in alike})

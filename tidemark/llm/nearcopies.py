@@ -10,10 +10,12 @@ bits. Fingerprints meet in buckets named by the values of sampled bits, in as ma
 pairs at the threshold unmet; the number of sampled bits follows the number of texts, so buckets stay of one size. In each
 bucket fingerprints are compared bit-sliced, and only a spanning forest of links is kept.
 
-The links' components hold all near copies that met, and few other texts. In each component the smallest texts are compared
-with all others by exact similarity, first one of them, then eight times as many in each round; near copies leave, so a
-group of near copies takes about as many comparisons as it has members. Rounds go on until no component has a pair that
-wasn't compared. The pairs of a text that has many are dealt over several tasks.
+The links' components hold all near copies that met. In each component the smallest texts are compared with all others by
+exact similarity, first one of them, then HEADS times as many in each round; near copies leave, so a group of near copies
+takes about as many comparisons as it has members. Texts that share a passage can make a component large without being near
+copies. So what is left after two rounds is parted by its rarest shingles: near copies share one of the first 1 - THRESHOLD
+of their shingles, rarest first (prefix filtering; exact), and a passage that many texts share comes last. Rounds go on in
+these parts until none has a pair that wasn't compared. The pairs of a text that has many are dealt over several tasks.
 
 Cases: texts without a word (null, empty, blank) are alike. Fewer than SHINGLE words: the whole sequence is the one shingle.
 Null doc_id: after all others. Repeated rows: one stays. Empty table: empty result. Further columns are kept.
@@ -40,6 +42,8 @@ BITS, RADIUS, MISSED = 128, 34, 1e-4
 BUCKET = 256
 #: Pairs of one text that a task compares together.
 PAIRS = 512
+#: How many more texts of a part are compared with all others in each round.
+HEADS = 8
 
 
 def wide_fingerprints(column: pa.Array) -> np.ndarray:
@@ -108,11 +112,41 @@ def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
     return np.where(union > 0, shared / np.maximum(union, 1), 1.0)
 
 
+def texts_of_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, text: each text of docs whose key is among keys, once."""
+    return docs.select(F.xxhash64("text").alias("key"), "text").join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+
+
+def by_rare_shingles(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """node, band (a shingle) for the nodes of rows: texts at the threshold or above have a band in common.
+
+    Bands are the first n - ceil(threshold * n) + 1 of a text's n distinct shingles, in order of how few of the texts have
+    them. Texts without a word share one band.
+    """
+    nodes = rows.select("node").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            names, text = shingles_of(words_of(texts_of(batch.column(1))), SHINGLE)
+            text, names, _ = pair_counts(text, names)
+            none = np.setdiff1d(np.arange(batch.num_rows), text)
+            text, names = np.concatenate([text, none]).astype(np.int64), np.concatenate([names, np.zeros(len(none), np.uint64)])
+            for k in range(0, len(text), 1 << 16):
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text[k : k + (1 << 16)])), pa.array(names[k : k + (1 << 16)].view(np.int64))], names=["key", "shingle"])
+
+    texts = texts_of_keys(docs, nodes.select("node.key")).select("key", "text")
+    each = materialize(on_workers(texts).mapInArrow(run, "key bigint, shingle bigint"), "near-shingles")
+    common = each.groupBy("shingle").agg(F.count("*").alias("texts"))
+    own = Window.partitionBy("key")
+    ranked = each.join(common, "shingle").withColumns({"rank": F.row_number().over(own.orderBy("texts", "shingle")), "n": F.count("*").over(own)})
+    first = ranked.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1) & (F.col("texts") > 1)).select("key", F.col("shingle").alias("band"))
+    return nodes.join(first, nodes["node.key"] == first["key"]).select("node", "band")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b: the pairs (keys of texts) that are near copies."""
     ids = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    texts = docs.select(F.xxhash64("text").alias("key"), "text").join(ids, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    texts = materialize(texts, "near-texts")
+    texts = materialize(texts_of_keys(docs, ids), "near-texts")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("parts"))
     left = texts.join(parts, texts["key"] == parts["a"]).select("a", F.col("text").alias("left"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
@@ -137,7 +171,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = materialize(nodes, "near-nodes")
     place = F.struct("id", "key")
     rows = materialize(nodes.join(loose_groups(nodes, threshold), "key").select(place.alias("node"), "band"), "near-groups")
-    tested, gone, heads = None, None, 1
+    tested, gone, heads, parted = None, None, 1, False
     while not rows.isEmpty():
         ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("node")))
         first = ranked.where(F.col("rank") <= heads).select("band", F.col("node").alias("head"))
@@ -148,7 +182,10 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         gone = copies if gone is None else gone.union(copies)
         rest = ranked.where(F.col("rank") > heads).select("band", "node")
         rows = materialize(_in_pairs(rest.join(copies, rest["node.key"] == copies["b"], "left_anti")), "near-buckets")
-        heads *= 8
+        heads *= HEADS
+        if heads > HEADS and not parted:
+            rows = materialize(_in_pairs(by_rare_shingles(docs, rows, threshold)), "near-buckets")
+            heads, parted = 1, True
     kept = nodes.select(F.col("id.doc_id").alias("_near_id"), F.col("key").alias("_near_key"))
     if gone is not None:
         kept = kept.join(gone, kept["_near_key"] == gone["b"], "left_anti")
