@@ -190,14 +190,22 @@ def test_rules_by_hand(spark):
 def test_candidates(spark):
     q = spark.createDataFrame([(1, "Martian", "2015", "movie", "localized+year")], "query_id int, title string, year string, media string, label string")
     cat = lambda y: spark.createDataFrame([(7, 0, "Martian", "Martian", y, "movie")], "id int, pos int, title string, original_title string, year string, media string")
-    block = lambda t: F.lower(F.substring(t, 1, 1))
-    hit = similarity.best_candidates(q, cat("2015"), block).first()
+    hit = similarity.best_candidates(q, cat("2015")).first()
     assert (hit.id, hit.similarity, hit.confidence) == (7, 1.0, 100)
-    assert similarity.best_candidates(q, cat("1998"), block).count() == 0
+    assert similarity.best_candidates(q, cat("1998")).count() == 0
 
 
 def test_guards(one):
     L = F.lit  # noqa: N806
-    assert one(similarity.safe_match(L("т/с Лютый 2. 1 с."), L("Lyutyy"), L("x"), L("translit"), L(0.99), L(99))) is False
-    assert one(similarity.safe_match(L("Кремень. Освобождение"), L("Кремень"), L("Кремень"), L("series-root"), L(1.0), L(98))) is False
+    safe = lambda raw, query, found, label, conf: one(similarity.safe_match(L(raw), L(query), [L(found)], L(label), L(conf)))
+    assert safe("т/с Лютый 2. 1 с.", "Lyutyy", "Lyutyy", "translit+year", 99) is False
+    assert safe("т/с Лютый 2. 1 с.", "Lyutyy 2", "Lyutyy", "translit+year", 99) is True
+    assert safe("т/с Лютый 2. 1 с.", "Lyutyy 2", "Lyutyy", "translit+year", 95) is False and safe("т/с Лютый 2. 1 с.", "Lyutyy 2", "Lyutyy 2", "translit+year", 99) is False
+    assert safe("Динотопия, 2 с", "Dinotopiya", "Dinotopiya", "translit-no-year", 97) is True  # the 2 is an episode
+    assert safe("Люди в черном 3", "Lyudi v chernom", "Lyudi v chernom", "translit-no-year", 99) is False
+    assert safe("Купель дьявола (2024)", "Kupel dyavola", "Kupel dyavola", "translit+year", 98) is True  # years don't count
+    assert safe("Купель дьявола", "Kupel dyavola", "The Bath", "translit+year", 98) is False
+    assert safe("Кремень. Освобождение", "Кремень", "Кремень", "series-root+year", 98) is False
+    assert safe("Кремень. Сезон 2", "Кремень", "Кремень", "series-root+year", 98) is True and safe("Наш спецназ. Юг", "Наш спецназ", "x", "series-root+year", 1) is True
+    assert safe("Кремень. Освобождение", "x", "y", "localized+year", 1) is True
     assert one(similarity.threshold(L("Дом"), L("")), similarity.threshold(L("Дом мечты"), L("")), similarity.threshold(L("Дом"), L("1999"))) == (0.92, 0.82, 0.82)

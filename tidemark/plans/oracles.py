@@ -223,9 +223,8 @@ ORACLES = {
         WITH {_PROG} SELECT channel, count(*) AS n, strftime(min(start_at), '%Y%m%d%H%M%S') || ' +0000' AS first, '<&> ' || max(title) AS desc, 'user ' || channel AS norm FROM secs WHERE stop_at IS NOT NULL GROUP BY channel
     """,
     "title_levenshtein_top1": f"""
-        WITH a AS (SELECT p_partkey AS query_id, p_name[1:length(p_name) - p_partkey % 3] || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'e' END AS t FROM part), c AS (SELECT p_name, min(p_partkey) AS id FROM part GROUP BY 1),
-        m AS (SELECT query_id, t, c.p_name, id FROM a JOIN c ON a.t[1:3] = c.p_name[1:3] QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY id) <= 12),
-        s AS (SELECT query_id, id, a.t = c.p_name AS same, {_LEV} AS sim FROM m a JOIN c USING (p_name, id) WHERE true)
+        WITH n AS (SELECT p_partkey, p_name || ' ' || p_type AS name FROM part), a AS (SELECT p_partkey AS query_id, name[1:length(name) - p_partkey % 3] || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'e' END AS t FROM n),
+        c AS (SELECT name AS p_name, min(p_partkey) AS id FROM n GROUP BY 1), s AS (SELECT query_id, id, lower(a.t) = lower(c.p_name) AS same, {_LEV} AS sim FROM a, c)
         SELECT query_id, id, round(sim, 6)::DOUBLE AS similarity, CASE WHEN same THEN 98 WHEN sim >= 0.95 THEN 95 WHEN sim >= 0.9 THEN 92 WHEN sim >= 0.84 THEN 88 ELSE 84 END::INT AS confidence
         FROM s WHERE sim >= 0.82 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, id) = 1
     """,

@@ -350,28 +350,28 @@ def playlist_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Programmes written as a compressed XML guide and read back, by channel."""
     p = _programmes(spark, sf).where("stop IS NOT NULL").select("channel", "start", "stop", "title", F.concat(F.lit("<&> "), F.col("title")).alias("desc"), F.array("title").alias("categories"))
-    path = scratch(spark, "guide")
+    path = scratch(spark, "guide") + ".xml.gz"
     xmltv.write_guide(p.select(F.col("channel").alias("output_tvg_id"), F.array(F.concat(F.lit("User "), F.col("channel"))).alias("display_names")).distinct(), p, path)
-    back, channels = xmltv.read_programmes(spark, f"{path}/programmes", 0), xmltv.name_rows(xmltv.read_channels(spark, f"{path}/channels", 0))
+    back, channels = xmltv.read_programmes(spark, path, 0), xmltv.name_rows(xmltv.read_channels(spark, path, 0))
     n = back.groupBy("channel").agg(F.count("*").alias("n"), F.min("start").alias("first"), F.max("desc").alias("desc"))
     return n.join(channels.select(F.col("id").alias("channel"), "norm"), "channel")
 
 
 def title_similarity_top1(spark: SparkSession, sf: str) -> DataFrame:
-    """Perturbed titles against a catalogue, blocked on their first three letters."""
-    return _similar(spark, sf, None)
+    """Perturbed titles against the whole catalogue, by matching blocks."""
+    return _similar(spark, sf, similarity.BLOCKS)
 
 
-def _similar(spark: SparkSession, sf: str, score) -> DataFrame:
+def _similar(spark: SparkSession, sf: str, measure: similarity.Measure) -> DataFrame:
     p = _table(spark, sf, "part")
-    n = F.col("p_partkey")
-    q = p.select(n.alias("query_id"), F.concat(F.substr("p_name", F.lit(1), F.length("p_name") - n % 3), F.when(n % 3 == 0, "").otherwise("e")).alias("title"), F.lit("").alias("year"), F.lit("movie").alias("media"), F.lit("localized").alias("label"))
-    c = p.groupBy("p_name").agg(F.min("p_partkey").alias("id")).select("id", F.col("id").alias("pos"), F.col("p_name").alias("title"), F.col("p_name").alias("original_title"), F.lit("").alias("year"), F.lit("movie").alias("media"))
-    return similarity.best_candidates(q, c, lambda t: F.substr(t, F.lit(1), F.lit(3)), first=12, score=score).select("query_id", "id", F.round("similarity", 6).alias("similarity"), "confidence")
+    n, name = F.col("p_partkey"), F.concat_ws(" ", "p_name", "p_type")
+    q = p.select(n.alias("query_id"), F.concat(F.substr(name, F.lit(1), F.length(name) - n % 3), F.when(n % 3 == 0, "").otherwise("e")).alias("title"), F.lit("").alias("year"), F.lit("movie").alias("media"), F.lit("localized").alias("label"))
+    c = p.groupBy(name.alias("title")).agg(F.min("p_partkey").alias("id")).select("id", F.col("id").alias("pos"), "title", F.col("title").alias("original_title"), F.lit("").alias("year"), F.lit("movie").alias("media"))
+    return similarity.best_candidates(q, c, measure=measure).select("query_id", "id", F.round("similarity", 6).alias("similarity"), "confidence")
 
 
 def title_levenshtein_top1(spark: SparkSession, sf: str) -> DataFrame:
-    return _similar(spark, sf, lambda a, b: F.when(a == b, 1.0).otherwise(1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))))
+    return _similar(spark, sf, similarity.EDITS)
 
 
 def synthetic_schedule(spark: SparkSession, sf: str) -> DataFrame:
@@ -383,7 +383,7 @@ def alias_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Events as a stream of alias evidence, merged batch by batch."""
     path, check = scratch(spark, "alias-state"), scratch(spark, "alias-checkpoint")
     e = spark.readStream.schema(_table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*")
-    ev = e.select(F.struct("ts", "event_id").alias("ord"), F.col("user_id").cast("string").alias("alias"), F.lit("").alias("year"), F.lit("m").alias("media"), F.col("event_type").alias("identity"), F.col("value").cast("int").alias("confidence"), F.lit(0).alias("verified"), F.lit("s").alias("source"))
+    ev = e.select((F.unix_micros(F.col("ts").cast("timestamp")) * 1024 + F.col("event_id") % 1024).alias("ord"), F.col("user_id").cast("string").alias("alias"), F.lit("").alias("year"), F.lit("m").alias("media"), F.col("event_type").alias("identity"), F.col("value").cast("int").alias("confidence"), F.lit(0).alias("verified"), F.lit("s").alias("source"))
     streams.learn_aliases(ev, path, check).awaitTermination()
     return streams.current_aliases(spark, path).select("alias", "identity", "evidence_count", "confidence")
 

@@ -1,11 +1,22 @@
-"""XMLTV guides: channels and programmes from XML, and back to XML. `.gz` files are read by their suffix, other compressed ones are routed by their first bytes."""
+"""XMLTV guides: channels and programmes from XML, and back to XML.
+
+Landed files are read as bytes: the first two say whether a file is compressed, whatever its name, and a task inflates it as
+it goes. An element is kept as the text it is (`raw`), with what this package knows of it parsed beside it, so children that
+nobody here knows of go through to the sink. Guides with `.gz` names can also be read by Spark's own XML reader.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import normalize_name
+from tidemark.sources import guide_file
 
 CHANNEL = "_id string, `display-name` array<string>"
 PROGRAMME = (
@@ -19,10 +30,10 @@ def read_channels(spark: SparkSession, path: str, source_index: int) -> DataFram
     return raw.select(F.lit(source_index).alias("source_index"), F.trim("_id").alias("id"), F.coalesce("display-name", F.array().cast("array<string>")).alias("display_names")).where("id != ''")
 
 
-def programme_columns(raw: DataFrame) -> DataFrame:
+def programme_columns(raw: DataFrame, *more: str) -> DataFrame:
     first = F.element_at(F.concat(F.coalesce("title", F.array().cast("array<struct<_VALUE:string,_lang:string>>")), F.array(F.struct(F.lit("").alias("_VALUE"), F.lit("").alias("_lang")))), 1)
     return raw.select(
-        F.trim("_channel").alias("channel"), F.col("_start").alias("start"), F.col("_stop").alias("stop"), F.trim(F.coalesce(first["_VALUE"], F.lit(""))).alias("title"), F.coalesce(first["_lang"], F.lit("")).alias("lang"),
+        *more, F.trim("_channel").alias("channel"), F.col("_start").alias("start"), F.col("_stop").alias("stop"), F.trim(F.coalesce(first["_VALUE"], F.lit(""))).alias("title"), F.coalesce(first["_lang"], F.lit("")).alias("lang"),
         "desc", F.coalesce("category", F.array().cast("array<string>")).alias("categories"), "date", F.transform("rating", lambda r: F.struct(r["_system"].alias("system"), r["value"].alias("value"))).alias("rating"), "url", F.col("icon._src").alias("icon"), F.col("episode-num").isNotNull().alias("has_episode"),
     )
 
@@ -42,14 +53,116 @@ def name_rows(channels: DataFrame) -> DataFrame:
     return channels.select("source_index", "id", F.explode("display_names").alias("n")).select("source_index", "id", normalize_name(F.col("n")).alias("norm")).where("norm != ''").distinct()
 
 
+#: Bytes that are inflated at once.
+PIECE = 1 << 20
+
+
+def _inflated(content: bytes) -> Iterator[bytes]:
+    """The text of a file by pieces; several compressed members after each other are one text. What is cut off or broken ends it."""
+    if content[:2] != b"\x1f\x8b":
+        for at in range(0, len(content), PIECE):
+            yield content[at : at + PIECE]
+        return
+    while content[:2] == b"\x1f\x8b":
+        member, at = zlib.decompressobj(31), 0
+        while not member.eof and (at < len(content) or member.unconsumed_tail):
+            rest = member.unconsumed_tail
+            if not rest:
+                rest, at = content[at : at + PIECE], at + PIECE
+            try:
+                yield member.decompress(rest, PIECE)
+            except zlib.error:
+                return
+        content = member.unused_data + content[at:]
+
+
+def _cutter():
+    """The elements of whole files as rows. Made in a function, so that it travels to the workers with the query."""
+    element = re.compile(rb"<!--.*?-->|<(channel|programme)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?</\1\s*>)", re.S)
+    inflated = _inflated
+
+    def cut(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held, nth = b"", 0
+                kinds, numbers, texts = [], [], []
+                for piece in inflated(content.as_py() or b""):
+                    held += piece
+                    done = 0
+                    for m in element.finditer(held):
+                        done = m.end()
+                        if m[1]:
+                            kinds.append(m[1].decode())
+                            numbers.append(nth)
+                            texts.append(m[0].decode("utf-8", "replace"))
+                            nth += 1
+                    # what may still become an element starts at the first opening that is left
+                    opening = re.search(rb"<(?:channel|programme)\b|<!--", held[done:])
+                    held = held[done + opening.start() :] if opening else held[max(done, len(held) - 16) :]
+                    if texts:
+                        yield pa.RecordBatch.from_arrays([pa.array([path] * len(texts)), pa.array(kinds), pa.array(numbers, pa.int64()), pa.array(texts)], ["path", "kind", "nth", "raw"])
+                        kinds, numbers, texts = [], [], []
+
+    return cut
+
+
+def read_elements(spark: SparkSession, path: str) -> DataFrame:
+    """path, kind (channel or programme), nth (place in the file), raw, of all landed files, compressed or not."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(_cutter(), "path string, kind string, nth bigint, raw string")
+
+
+def channels_of(elements: DataFrame, source_index: Column) -> DataFrame:
+    """source_index, id, display_names, raw."""
+    e = elements.where("kind = 'channel'").select("*", F.from_xml("raw", CHANNEL, {"rowTag": "channel"}).alias("x"))
+    names = F.coalesce(F.col("x.display-name"), F.array().cast("array<string>"))
+    return e.select(source_index.alias("source_index"), F.trim("x._id").alias("id"), names.alias("display_names"), "nth", "raw").where("id != ''")
+
+
+def programmes_of(elements: DataFrame, source_index: Column) -> DataFrame:
+    """source_index, what is known of a programme (as read_programmes), nth and raw."""
+    e = elements.where("kind = 'programme'").select(source_index.alias("source_index"), "nth", "raw", F.from_xml("raw", PROGRAMME, {"rowTag": "programme"}).alias("x"))
+    return programme_columns(e.select("source_index", "nth", "raw", "x.*"), "source_index", "nth", "raw")
+
+
+def with_attribute(raw: Column, name: str, value: Column) -> Column:
+    """The element with another value of an attribute that it has; as it is if the value is null."""
+    opening = rf"(?s)^(<[^>]*?\s{name}\s*=\s*)(?:\"[^\"]*\"|'[^']*')"
+    text = F.replace(F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+    safe = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    return F.coalesce(F.regexp_replace(raw, F.lit(opening), F.concat(F.lit('$1"'), safe, F.lit('"'))), raw)
+
+
+def retimed(programmes: DataFrame, start: Column, stop: Column, channel: Column | None = None) -> DataFrame:
+    """The programmes at other times (and on another channel), in their columns and in raw; all else in raw stays."""
+    raw = with_attribute(with_attribute(F.col("raw"), "start", start), "stop", stop)
+    raw = raw if channel is None else with_attribute(raw, "channel", channel)
+    return programmes.withColumns({"raw": raw, "start": start, "stop": stop, **({} if channel is None else {"channel": channel})})
+
+
 def split_by_magic(spark: SparkSession, path: str) -> DataFrame:
     """path, is_gzip of every landed file, by its first two bytes."""
     return spark.read.format("binaryFile").load(path).select("path", (F.hex(F.substring("content", 1, 2)) == "1F8B").alias("is_gzip"))
 
 
+def guide_elements(channels: DataFrame, programmes: DataFrame) -> DataFrame:
+    """Both tables as elements for guide_file: kind, id, part, ord, xml. `raw` stands where it is given.
+
+    channels: output_tvg_id, display_names[, raw]. programmes: channel, start, stop, title, desc, categories[, raw].
+    """
+    def text(df: DataFrame, tag: str, fields: Column) -> Column:
+        made = F.to_xml(fields, {"rowTag": tag, "declaration": ""})
+        return F.coalesce("raw", made) if "raw" in df.columns else made
+
+    c = text(channels, "channel", F.struct(F.col("output_tvg_id").alias("_id"), F.col("display_names").alias("display-name")))
+    p = text(programmes, "programme", F.struct(F.col("channel").alias("_channel"), F.col("start").alias("_start"), F.col("stop").alias("_stop"), "title", "desc", F.col("categories").alias("category")))
+    first = channels.select(F.lit(0).alias("kind"), F.col("output_tvg_id").alias("id"), F.lit("").alias("part"), F.lit("").alias("at"), c.alias("xml"))
+    return first.unionByName(programmes.select(F.lit(1).alias("kind"), F.col("channel").alias("id"), F.substring("start", 1, 6).alias("part"), F.col("start").alias("at"), p.alias("xml")))
+
+
 def write_guide(channels: DataFrame, programmes: DataFrame, path: str) -> None:
-    """Two folders of XML, one for each row tag. channels: output_tvg_id, display_names. programmes: channel, start, stop, title, desc, categories."""
-    c = channels.select(F.col("output_tvg_id").alias("_id"), F.col("display_names").alias("display-name"))
-    p = programmes.select(F.col("channel").alias("_channel"), F.col("start").alias("_start"), F.col("stop").alias("_stop"), "title", "desc", F.col("categories").alias("category"))
-    for name, tag, df in (("channels", "channel", c), ("programmes", "programme", p)):
-        df.write.format("xml").mode("overwrite").option("rootTag", "tv").option("rowTag", tag).option("compression", "gzip").save(f"{path}/{name}")
+    """One compressed guide: channels by id, then programmes by channel and start; equal tables give equal bytes (see guide_file)."""
+    key = ["kind", "id", "part"]
+    spark = channels.sparkSession
+    spark.dataSource.register(guide_file.guide_format())
+    guide_elements(channels, programmes).repartition(*key).sortWithinPartitions(*key, "at", "xml").write.format(guide_file.NAME).mode("overwrite").save(path)

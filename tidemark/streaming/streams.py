@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 LATE = "5 days"
 EVIDENCE = "ord bigint, alias string, year string, media string, identity string, confidence int, verified int, source string"
@@ -21,45 +22,78 @@ def guide_to_table(programmes: DataFrame, path: str, checkpoint: str) -> Streami
     return out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("source_index", "start_date").trigger(availableNow=True).start()
 
 
-def merge_evidence(state: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The learned table after a batch of evidence, and the batch's conflicts.
-
-    state: alias, year, media, identity, evidence_count, confidence, verified, source. The stored identity of a key stays;
-    a new key takes the batch's first.
-    """
-    key = ["alias", "year", "media"]
-    known = state.select(*key, F.col("identity").alias("known"))
-    firsts = batch.groupBy(*key).agg(F.min_by("identity", "ord").alias("first"))
-    judged = batch.join(firsts, key).join(known, key, "left").withColumn("stands", F.coalesce("known", "first"))
-    agree = judged.where("identity = stands").groupBy(*key).agg(F.first("stands").alias("identity"), F.count("*").alias("evidence_count"), F.max("confidence").alias("confidence"), F.max("verified").alias("verified"), F.max_by("source", "ord").alias("source"))
-    both = state.select(*key, "identity", "evidence_count", "confidence", "verified", "source", F.lit(0).alias("new")).unionByName(agree.withColumn("new", F.lit(1)))
-    merged = both.groupBy(*key).agg(F.first("identity").alias("identity"), F.sum("evidence_count").alias("evidence_count"), F.max("confidence").alias("confidence"), F.max("verified").alias("verified"), F.max_by("source", "new").alias("source"))
-    return merged, judged.where("identity != stands").select("ord", *key, F.col("stands").alias("known_identity"), "identity")
+STATE = "identity string, evidence_count bigint, confidence int, verified int, source string"
+#: What a batch appends: for each key that it touched the learned row as it stands, and each row that disagreed.
+CHANGES = f"kind string, alias string, year string, media string, {STATE}, ord bigint, known_identity string"
+KEYS = ["alias", "year", "media"]
 
 
-def learn_aliases(evidence: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Alias evidence as a stream into versions of the learned table and a log of conflicts.
+def _learner():
+    """The state of one (alias, year, media) and how evidence changes it.
 
-    A batch reads the version before its own and writes one of its own id, so a batch that is run again overwrites itself.
+    Defined inside a function, so that it travels to the workers with the query.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = current_aliases(spark, path, before=batch_id)
-        merged, conflicts = merge_evidence(state, batch)
-        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-        conflicts.write.mode("overwrite").parquet(f"{path}-conflicts/batch={batch_id}")
-
-    return evidence.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-STATE = "alias string, year string, media string, identity string, evidence_count bigint, confidence int, verified int, source string"
+    class Learner(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.learned = handle.getValueState("learned", STATE)
+
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+            batch = pd.concat(list(rows)).sort_values("ord", kind="stable")
+            if self.learned.exists():
+                identity, count, confidence, verified, source = self.learned.get()
+            else:
+                identity, count, confidence, verified, source = batch["identity"].iloc[0], 0, 0, 0, ""
+            agree = batch["identity"] == identity
+            same, other = batch[agree], batch[~agree]
+            if len(same):
+                count += len(same)
+                confidence = max(confidence, int(same["confidence"].max()))
+                verified = max(verified, int(same["verified"].max()))
+                source = next((x for x in reversed(same["source"].tolist()) if x), source)
+                self.learned.update((identity, count, confidence, verified, source))
+            learned = pd.DataFrame({"kind": ["learned"], "identity": identity, "evidence_count": count, "confidence": confidence, "verified": verified, "source": source, "ord": int(batch["ord"].iloc[-1]), "known_identity": identity})[: len(same)]
+            clash = other[["identity", "confidence", "verified", "source", "ord"]].assign(kind="conflict", evidence_count=1, known_identity=identity)
+            out = pd.concat([learned, clash]) if len(learned) and len(clash) else learned if len(learned) else clash
+            for name, value in zip(KEYS, key, strict=True):
+                out[name] = value
+            yield out[[c.split()[0] for c in CHANGES.split(", ")]]
+
+        def close(self) -> None:
+            pass
+
+    return Learner()
+
+
+def alias_changes(evidence: DataFrame) -> DataFrame:
+    """A stream of alias evidence (EVIDENCE) as the changes (CHANGES) that it makes; a batch reads and writes the state of its own keys only.
+
+    The first identity that arrives for a key stays, also against a row with a smaller ord that comes later. Evidence that
+    agrees counts, raises confidence and verified, and its last source that isn't empty stays; evidence that disagrees changes
+    nothing and is a conflict. Needs the RocksDB state store.
+    """
+    whole = evidence.select("ord", *[F.coalesce(c, F.lit("")).alias(c) for c in KEYS], "identity", F.coalesce("confidence", F.lit(0)).alias("confidence"), F.coalesce("verified", F.lit(0)).alias("verified"), F.coalesce("source", F.lit("")).alias("source"))
+    return whole.where(F.trim("identity") != "").groupBy(*KEYS).transformWithStateInPandas(_learner(), outputStructType=CHANGES, outputMode="append", timeMode="none")
 
 
-def current_aliases(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The last version of the learned table (before a batch id)."""
-    files = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = files.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(files) if f.getPath().getName().startswith("version=")] if fs.exists(files) else []
-    found = [v for v in found if before is None or v < before]
-    return spark.read.schema(STATE).parquet(f"{path}/version={max(found)}") if found else spark.createDataFrame([], STATE)
+def learn_aliases(evidence: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Alias evidence as a stream into a table of changes; a run that starts again goes on from the checkpoint."""
+    spark, key = evidence.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return alias_changes(evidence).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, before)
+
+
+def current_aliases(spark: SparkSession, path: str) -> DataFrame:
+    """The learned table: of each key the change with the most evidence, which is its last."""
+    learned = spark.read.schema(CHANGES).parquet(path).where("kind = 'learned'")
+    names = [c.split()[0] for c in STATE.split(", ")]
+    return learned.groupBy(*KEYS).agg(F.max_by(F.struct(*names), "evidence_count").alias("_row")).select(*KEYS, "_row.*")
+
+
+def alias_conflicts(spark: SparkSession, path: str) -> DataFrame:
+    """ord, the key, known_identity and the identity that was turned down."""
+    return spark.read.schema(CHANGES).parquet(path).where("kind = 'conflict'").select("ord", *KEYS, "known_identity", "identity")
