@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import filled, normalize_name
-from tidemark.functions.titles import MOVIE_PREFIX, SERIES_PREFIX, compact_title, genre_names, rule_title
+from tidemark.functions.text import filled, nonempty, normalize_name
+from tidemark.functions.titles import MOVIE_PREFIX, SERIES_PREFIX, choose_description, compact_title, genre_names, rule_title
 from tidemark.operators.common import first_wins, last_wins, pick
 
 
@@ -50,9 +50,9 @@ def budgeted(pending: DataFrame, budget: int, order: list) -> DataFrame:
 
 def until_cut_off(plan: DataFrame, key: str, pos: str, hit: str, k: int) -> DataFrame:
     """Steps of a plan up to the first hit or the k-th empty step in a row."""
-    w = Window.partitionBy(key).orderBy(pos)
+    w = Window.partitionBy(key).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     islands = plan.withColumn("_island", F.sum(F.col(hit).cast("int")).over(w))
-    run = F.sum(1 - F.col(hit).cast("int")).over(Window.partitionBy(key, "_island").orderBy(pos))
+    run = F.sum(1 - F.col(hit).cast("int")).over(Window.partitionBy(key, "_island").orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cut = islands.withColumn("_run", run).withColumn("_stop", ((F.col("_run") >= k) | F.col(hit)).cast("int"))
     earlier = F.max("_stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
     return cut.withColumn("_over", F.coalesce(earlier, F.lit(0))).where("_over = 0").drop("_island", "_run", "_stop", "_over")
@@ -73,12 +73,6 @@ def apply_rules(programmes: DataFrame, rules: DataFrame) -> DataFrame:
     return programmes.join(first.select("ord", "rule_id"), "ord", "left")
 
 
-def resolved_once(programmes: DataFrame, key: list[str], resolve) -> DataFrame:
-    """resolve() runs on the distinct keys; its result is joined back to all programmes."""
-    found = resolve(programmes.select(*key).dropDuplicates(key))
-    return programmes.join(found, key, "left")
-
-
 def with_seed(entities: DataFrame, seed: DataFrame, rated: list[str], described: list[str]) -> DataFrame:
     """Entities by imdb_id: the seed's rating columns override, its descriptive columns fill blanks only."""
     s = seed.select("imdb_id", *[F.col(c).alias(f"_s_{c}") for c in (*rated, *described)])
@@ -96,31 +90,48 @@ def report_rows(report: DataFrame) -> DataFrame:
     return out.orderBy("ord")
 
 
-def funnel(outcomes: DataFrame) -> DataFrame:
-    return outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
+def written_with_counts(df: DataFrame, path: str, counters: dict[str, Column]) -> dict[str, int]:
+    """Writes df as Parquet and counts the rows for which each counter holds, in the same pass over them."""
+    seen = Observation()
+    df.observe(seen, *[F.count_if(c).alias(name) for name, c in counters.items()]).write.mode("overwrite").parquet(path)
+    return {name: seen.get[name] for name in counters}
+
+
+_RATINGS = "array<struct<system:string,value:string>>"
+_IMAGES = "array<struct<type:string,src:string>>"
 
 
-def render(programmes: DataFrame, media: Column | None = None) -> DataFrame:
+def render(programmes: DataFrame) -> DataFrame:
     """Guide rows with found metadata written into them; applying it again changes nothing.
 
-    programmes: title, desc, categories, date, rating array<struct<system,value>>, url array<string>, icon, and found:
-    struct<title, year, rating, imdb_id, overview, poster, genre_ids, genres> (null: left as they are). media: movie (by
-    default) or series, for the genres' numbers.
+    programmes: title, desc, categories, date, rating (array of system, value), url (array), icon, image (array of type, src;
+    may be missing), media (may be missing: movie), and found: struct<title, year, rating, imdb_id, overview, poster, backdrop,
+    genre_ids, genres> (null: left as they are). Date and categories go. An imdb rating is put right in its place, or added;
+    the provider's own description stays unless it is a stub; genres are numbered by the row's own type.
     """
-    media = F.lit("movie") if media is None else media
-    f = F.col("found")
-    title = compact_title(F.when(filled(f["title"]) != "", f["title"]).otherwise(F.col("title")), f["year"], f["rating"])
-    others = F.filter(F.coalesce("rating", F.array().cast("array<struct<system:string,value:string>>")), lambda r: F.lower(r["system"]) != "imdb")
-    own = F.when(filled(f["rating"]) != "", F.array_append(others, F.struct(F.lit("IMDb").alias("system"), F.concat(f["rating"], F.lit("/10")).alias("value")))).otherwise(others)
-    link = F.concat(F.lit("https://www.imdb.com/title/"), f["imdb_id"], F.lit("/"))
+    media = F.coalesce("media", F.lit("movie")) if "media" in programmes.columns else F.lit("movie")
+    fields = programmes.schema["found"].dataType.names
+    f, empty = F.col("found"), F.lit("")
+    text = lambda name: filled(f[name]) if name in fields else empty
+    title = compact_title(F.when(text("title") != "", text("title")).otherwise(F.col("title")), f["year"], f["rating"])
+    old = F.coalesce("rating", F.array().cast(_RATINGS))
+    is_imdb = lambda r: F.lower(F.trim(r["system"])) == "imdb"
+    value = F.concat(text("rating"), F.lit("/10"))
+    first = F.array_position(F.transform(old, is_imdb), True)
+    corrected = F.transform(old, lambda r, i: F.struct(r["system"].alias("system"), F.when(i + 1 == first, value).otherwise(r["value"]).alias("value")))
+    rating = F.when(text("rating") == "", old).when(first > 0, corrected).otherwise(F.array_append(old, F.struct(F.lit("IMDb").alias("system"), value.alias("value"))))
     urls = F.coalesce("url", F.array().cast("array<string>"))
+    linked = F.exists(urls, lambda u: F.contains(F.lower(u), F.lit("imdb.com/title/")))
+    url = F.when((text("imdb_id") != "") & ~linked, F.array_append(urls, F.concat(F.lit("https://www.imdb.com/title/"), F.lower(text("imdb_id")), F.lit("/")))).otherwise(urls)
+    images = F.coalesce(F.col("image") if "image" in programmes.columns else F.lit(None).cast(_IMAGES), F.array().cast(_IMAGES))
+    offered = F.array_compact(F.array(*[F.when(text(of) != "", F.struct(F.lit(kind).alias("type"), text(of).alias("src"))) for kind, of in (("poster", "poster"), ("backdrop", "backdrop"))]))
     genres = F.array_join(genre_names(f["genre_ids"], f["genres"], media), ", ")
-    text = F.when(filled(f["overview"]) != "", f["overview"]).otherwise(F.col("desc"))
-    known = lambda new, old: F.when(f.isNotNull(), new).otherwise(old)
+    known = lambda new, was: F.when(f.isNotNull(), new).otherwise(was)
+    was_image = F.col("image") if "image" in programmes.columns else F.lit(None).cast(_IMAGES)
     return programmes.withColumns({
-        "title": known(title, F.col("title")), "rating": known(own, F.col("rating")), "url": known(F.when((filled(f["imdb_id"]) != "") & ~F.exists(urls, lambda u: F.rlike(F.lower(u), F.lit("imdb[.]com/title/tt"))), F.array_append(urls, link)).otherwise(urls), F.col("url")),
-        "icon": known(F.when(filled(F.col("icon")) != "", F.col("icon")).otherwise(f["poster"]), F.col("icon")), "desc": known(text, F.col("desc")), "genre": known(genres, F.lit(None).cast("string")),
-        "date": known(F.lit(None).cast("string"), F.col("date")), "categories": known(F.array().cast("array<string>"), F.col("categories")),
+        "title": known(title, F.col("title")), "rating": known(rating, F.col("rating")), "url": known(url, F.col("url")), "image": known(F.array_union(images, offered), was_image),
+        "icon": known(F.when(filled(F.col("icon")) != "", F.col("icon")).otherwise(nonempty(text("poster"))), F.col("icon")), "desc": known(choose_description(F.col("desc"), text("overview")), F.col("desc")),
+        "genre": known(genres, F.lit(None).cast("string")), "date": known(F.lit(None).cast("string"), F.col("date")), "categories": known(F.array().cast("array<string>"), F.col("categories")),
     })
 
 
@@ -136,15 +147,7 @@ def render_rule(programmes: DataFrame, rules: DataFrame) -> DataFrame:
     }).drop("r")
 
 
-def queue_order(df: DataFrame) -> DataFrame:
-    return df.orderBy("priority", "grp", "title", "year")
-
-
 def first_pending(states: DataFrame, n: int) -> DataFrame:
     """The next n keys to look up: incomplete ones first; complete and freshly failed ones not at all."""
     rank = pending_rank(F.col("state"))
     return budgeted(states.withColumn("rank", rank).where("rank < 9"), n, ["rank", "priority", "grp", "title", "year"])
-
-
-def top_per_key(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
-    return pick(df, keys, order, n)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import timeparse
-from tidemark.operators import people
+from tidemark.operators import lookup, people, running, similarity
 from tidemark.plans.oracles import _PROG
 from tidemark.plans.queries import _programmes
 from tidemark.plans.store_queries import _table, _text
@@ -119,4 +119,78 @@ ORACLES["guide_passthrough"] = f"""
     SELECT 'u' || channel AS channel, count(*) AS n, min(a) AS first, max(b) AS last, sum(event_id)::BIGINT AS odd, max(title) AS title FROM t GROUP BY 1
 """
 
-QUERIES = {f.__name__: f for f in (people_upsert, people_of_arrivals, alias_stream_runs, alias_stream_conflicts, guide_passthrough)}
+
+def _searched(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Part names as titles to search for, in six kinds: as they are, with a subtitle or number, in parts, unknown, misspelt, and of entries without an imdb id."""
+    p = _table(spark, sf, "part").withColumn("name", F.concat_ws(" ", "p_name", "p_type"))
+    k = F.col("p_partkey")
+    kind, none = k % 6, F.lit(None).cast("array<string>")
+    title = F.when(kind == 1, F.concat("name", F.when(k % 4 < 2, ". Part").otherwise(". 3"))).when(kind == 3, F.concat(F.lit("zzzz qqqq jjjj"), F.col("p_size").cast("string"), F.lit(". "), "name")).when(kind == 4, F.concat(F.substr("name", F.lit(1), F.length("name") - 1), F.lit("q"))).otherwise(F.col("name"))
+    raw = F.when(kind.isin(2, 3), F.concat(title, F.lit(", 2 с"))).otherwise(title)
+    wanted = p.select(k.cast("bigint").alias("query_id"), title.alias("title"), raw.alias("raw"), F.when(k % 5 < 2, "2001").otherwise("").alias("year"), F.when(kind.isin(1, 3), "series").otherwise("movie").alias("media"), F.lit("en-US").alias("language"), none.alias("hints"), (k % 4).alias("priority"))
+    c, n = p.groupBy("name").agg(F.min("p_partkey").alias("id")), F.col("id")
+    catalogue = c.select("id", n.alias("pos"), F.col("name").alias("title"), F.lit("").alias("original_title"), F.when(n % 5 == 0, "2001").when(n % 5 == 1, "1990").otherwise("").alias("year"), F.when(n % 3 == 0, "series").otherwise("movie").alias("media"), F.when(n % 4 == 0, "").otherwise(_text("TT", n + 1_000_000)).alias("imdb_id"))
+    return wanted, catalogue
+
+
+def title_search(spark: SparkSession, sf: str) -> DataFrame:
+    wanted, catalogue = _searched(spark, sf)
+    return lookup.search(wanted, catalogue, similarity.EDITS).select("query_id", "status", "attempts", "requests", "id", "imdb_id", "label", "query", F.round("similarity", 6).alias("similarity"), "confidence")
+
+
+def title_search_within(spark: SparkSession, sf: str) -> DataFrame:
+    wanted, catalogue = _searched(spark, sf)
+    return lookup.search_within(wanted, catalogue, ["priority"], 1300, 3000, similarity.EDITS).select("query_id", "status", "attempts", "requests", "id")
+
+
+_SEARCH_SQL = """
+    WITH n AS (SELECT p_partkey AS k, p_size, p_name || ' ' || p_type AS name FROM part),
+    w AS (
+        SELECT k, CASE k % 6 WHEN 1 THEN name || CASE WHEN k % 4 < 2 THEN '. Part' ELSE '. 3' END WHEN 3 THEN 'zzzz qqqq jjjj' || p_size || '. ' || name WHEN 4 THEN name[1:length(name) - 1] || 'q' ELSE name END AS title,
+            CASE WHEN k % 5 < 2 THEN '2001' ELSE '' END AS year, CASE WHEN k % 6 IN (1, 3) THEN 'series' ELSE 'movie' END AS media, k % 6 IN (2, 3) AS parts
+        FROM n
+    ), c AS (
+        SELECT min(k) AS id, name, CASE min(k) % 5 WHEN 0 THEN '2001' WHEN 1 THEN '1990' ELSE '' END AS c_year, CASE WHEN min(k) % 3 = 0 THEN 'series' ELSE 'movie' END AS c_media, CASE WHEN min(k) % 4 = 0 THEN '' ELSE 'tt' || min(k) + 1000000 END AS imdb_id
+        FROM n GROUP BY name
+    ), steps AS (
+        SELECT k, 0 AS pos, title AS q, year AS y, media AS m, 'localized+year' AS label FROM w UNION ALL SELECT k, 1, title, '', media, 'localized-no-year' FROM w WHERE year <> ''
+        UNION ALL SELECT k, 2, split_part(title, '. ', 1), year, 'series', 'series-root+year' FROM w WHERE media = 'series' UNION ALL SELECT k, 3, split_part(title, '. ', 1), '', 'series', 'series-root-no-year' FROM w WHERE media = 'series' AND year <> ''
+        UNION ALL SELECT k, 4, title, year, CASE media WHEN 'movie' THEN 'series' ELSE 'movie' END, 'cross-type+year' FROM w WHERE parts UNION ALL SELECT k, 5, title, '', CASE media WHEN 'movie' THEN 'series' ELSE 'movie' END, 'cross-type-no-year' FROM w WHERE parts AND year <> ''
+    ), asked AS (SELECT DISTINCT q, y, m FROM steps),
+    scored AS (SELECT *, CASE WHEN q = name THEN 1.0 ELSE 1 - levenshtein(q, name) / greatest(length(q), length(name))::DOUBLE END AS sim, y <> '' AND c_year <> '' AND abs(try_cast(y AS INT) - try_cast(c_year AS INT)) <= 1 AS fits FROM asked JOIN c ON m = c_media),
+    best AS (SELECT * FROM scored WHERE sim >= 0.82 AND (y = '' OR c_year = '' OR fits) QUALIFY row_number() OVER (PARTITION BY q, y, m ORDER BY sim + CASE WHEN fits THEN 0.08 ELSE 0 END DESC, id) = 1),
+    plan AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY pos) AS pos, s.q, label, id, imdb_id, sim, fits, lower(s.q) = lower(name) AS exact, coalesce(imdb_id <> '', false) AS hit FROM steps s LEFT JOIN best b ON s.q = b.q AND s.y = b.y AND s.m = b.m),
+    island AS (SELECT *, count(id) OVER (PARTITION BY k ORDER BY pos) AS finds FROM plan),
+    ending AS (SELECT *, hit OR sum((id IS NULL)::INT) OVER (PARTITION BY k, finds ORDER BY pos) >= 4 AS ends FROM island),
+    made AS (SELECT * FROM ending QUALIFY NOT coalesce(bool_or(ends) OVER (PARTITION BY k ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false)),
+    one AS (SELECT k, count(*) AS attempts, count(*) + count(id) AS requests, arg_min((q, label, id, imdb_id, sim, fits, exact), (NOT hit, pos)) FILTER (id IS NOT NULL) AS x FROM made GROUP BY k),
+    found AS (
+        SELECT k AS query_id, CASE WHEN x IS NULL THEN 'not_found' WHEN x[4] = '' THEN 'no_imdb_id' WHEN x[2] LIKE 'series-root%' AND title NOT LIKE '%. 3' THEN 'unverified' ELSE 'found' END AS status, attempts, requests, x[3] AS id, x[4] AS imdb_id, x[2] AS label, x[1] AS query, x[5]::DOUBLE AS similarity,
+            (CASE WHEN x[7] AND x[6] THEN 100 WHEN x[7] THEN 98 WHEN x[5] >= 0.95 AND x[6] THEN 97 WHEN x[5] >= 0.95 THEN 95 WHEN x[5] >= 0.9 THEN 92 WHEN x[5] >= 0.84 THEN 88 WHEN x IS NULL THEN NULL ELSE 84 END - CASE WHEN x[2] LIKE 'cross%' THEN 3 ELSE 0 END)::INT AS confidence
+        FROM one JOIN w USING (k)
+    )
+"""
+ORACLES["title_search"] = f"{_SEARCH_SQL} SELECT query_id, status, attempts, requests, id, imdb_id, label, query, round(similarity, 6) AS similarity, confidence FROM found"
+ORACLES["title_search_within"] = f"""{_SEARCH_SQL}, spent AS (
+        SELECT *, row_number() OVER w - 1 AS titles, coalesce(sum(requests) OVER (ORDER BY query_id % 4, query_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far FROM found WINDOW w AS (ORDER BY query_id % 4, query_id)
+    ), said AS (SELECT *, CASE WHEN titles >= 1300 OR so_far >= 3000 THEN 'not_attempted' WHEN so_far + requests > 3000 THEN 'budget_exhausted' ELSE status END AS outcome FROM spent)
+    SELECT query_id, outcome AS status, CASE WHEN outcome = status THEN attempts END AS attempts, CASE WHEN outcome = status THEN requests END AS requests, CASE WHEN outcome = status THEN id END AS id FROM said
+"""
+
+
+def running_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items in the order of their orders: what was spent before each, and where two budgets end."""
+    li = _table(spark, sf, "lineitem").select(F.col("l_shipdate").alias("day"), "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") != 5, F.col("l_quantity").cast("bigint")).alias("cost"))
+    order = ["day", "l_orderkey", "l_linenumber"]
+    sums = running.running_sums(li, order, {"rows": F.lit(1), "spent": F.col("cost")})
+    cut = running.within_budgets(sums, order, F.col("cost"), 20_000, 300_000)
+    return cut.groupBy(F.col("day").cast("date").alias("day"), F.col("spent").alias("state")).agg(F.count("*").alias("n"), F.min("rows").alias("rows"), F.sum("cost").alias("cost"))
+
+
+ORACLES["running_budget"] = """
+    WITH c AS (SELECT l_shipdate, l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 5 THEN trunc(l_quantity)::BIGINT END AS cost FROM lineitem),
+    r AS (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1 AS rows, coalesce(sum(cost) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c)
+    SELECT l_shipdate::DATE AS day, CASE WHEN rows >= 20000 OR before >= 300000 THEN 'not_attempted' WHEN before + coalesce(cost, 0) <= 300000 THEN 'done' ELSE 'exhausted' END AS state, count(*) AS n, min(rows) AS rows, sum(cost)::BIGINT AS cost FROM r GROUP BY 1, 2
+"""
+
+QUERIES = {f.__name__: f for f in (people_upsert, people_of_arrivals, alias_stream_runs, alias_stream_conflicts, guide_passthrough, title_search, title_search_within, running_budget)}

@@ -10,10 +10,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import filled, normalize_name
+from tidemark.functions.text import filled, nonempty, normalize_name
 from tidemark.functions.timeparse import convert
-from tidemark.functions.titles import canonical_title, detect_language, effective_type, is_fiction, is_generic, media_type, programme_year, tidy_compact_title
-from tidemark.operators import audit, enrich, guide, resolve, store
+from tidemark.functions.titles import canonical_title, detect_language, effective_type, existing_imdb, is_fiction, is_generic, media_type, programme_year, search_title, tidy_compact_title
+from tidemark.operators import audit, enrich, guide, lookup, resolve, similarity, store
 from tidemark.session import saved
 
 
@@ -74,7 +74,80 @@ def enrich_guide(programmes: DataFrame, queries: DataFrame, aliases: DataFrame,
     known = store.resolve_knowledge(keys.select("query_id", F.col("key_title").alias("title"), "year", "media"), aliases, titles)
     by_key = keys.join(known, "query_id").join(details, "title_id").select(*key, "found")
     by_row = queries.select("ord", *key).join(by_key, key).select("ord", "found")
-    return enrich.render(programmes.join(by_row, "ord", "left")).drop("found")
+    media = queries.select("ord", "media") if "media" not in programmes.columns else None
+    shown = programmes.join(by_row, "ord", "left")
+    return enrich.render(shown.join(media, "ord", "left") if media is not None else shown).drop("found", *([] if media is None else ["media"]))
+
+
+@dataclass
+class Enrichment:
+    """What an enrichment run leaves: counters, the written guide's path, and one report row for each title that was wanted."""
+
+    counters: dict[str, int]
+    path: str
+    report: DataFrame
+
+
+def outcomes(programmes: DataFrame, groups: DataFrame, movie_groups: list[str]) -> DataFrame:
+    """Programmes of known channels with `outcome` (existing, wanted, or why not) and, where wanted, the key to look up.
+
+    programmes: ord, channel, title, desc, lang, categories, has_episode, date, rating, url. groups: output_tvg_id, grp. The
+    checks hold in this order: untitled, existing, generic, non_fiction, untyped, short, language.
+    """
+    p = programmes.join(groups.select(F.col("output_tvg_id").alias("channel"), F.coalesce("grp", F.lit("")).alias("grp")), "channel")
+    movie, title = F.col("grp").isin(movie_groups), F.col("title")
+    p = p.withColumns({"own": existing_imdb(F.col("desc"), F.col("url"), F.col("rating")), "typed": media_type(title, F.col("categories"), F.col("has_episode"), movie), "language": detect_language(title, F.col("lang")), "priority": enrich.priority(title, movie)})
+    p = p.withColumn("media", effective_type(title, F.col("typed"))).withColumns({"year": programme_year(F.col("date"), title, F.col("media")), "key_title": canonical_title(title, F.col("media"))})
+    outcome = (
+        F.when(filled(title) == "", "untitled").when((F.col("own.rating") != "") | (F.col("own.imdb_id") != ""), "existing").when(is_generic(title), "generic").when(~is_fiction(title, F.col("categories"), movie), "non_fiction")
+        .when(F.col("typed") == "", "untyped").when(F.length(normalize_name(title)) < 3, "short").when(~F.col("language").isin("ru", "en"), "language").otherwise("wanted")
+    )
+    collapsed = normalize_name(F.col("key_title")) != normalize_name(search_title(title))
+    return p.withColumns({"outcome": outcome, "collapsed": collapsed, "reclassified": F.col("typed") != F.col("media")}).withColumn("norm", normalize_name(F.col("key_title")))
+
+
+def enrichment_run(programmes: DataFrame, groups: DataFrame, movie_groups: list[str], aliases: DataFrame, titles: DataFrame, entities: DataFrame, seeds: DataFrame, catalogue: DataFrame, path: str, titles_budget: int, requests_budget: int, measure: similarity.Measure = similarity.BLOCKS) -> Enrichment:
+    """A guide enriched and written, each distinct key resolved once: from the store, else by searching as far as the budgets go.
+
+    titles: also imdb_id. entities: imdb_id, title, year, rating, votes, overview, poster, backdrop, genre_ids, genres. seeds: the
+    same columns, as they came last: their ratings override, the rest fills blanks. catalogue: as lookup.search takes it.
+    """
+    key = ["norm", "year", "media", "language"]
+    rows = saved(outcomes(programmes, groups, movie_groups), "outcomes")
+    first = F.min_by(F.struct("priority", "channel", "ord", "key_title", "title"), F.struct("priority", "channel", "ord"))
+    keys = rows.where("outcome = 'wanted'").groupBy(*key).agg(first.alias("x")).select(*key, F.col("x.ord").alias("query_id"), "x.priority", "x.channel", "x.key_title", F.col("x.title").alias("raw"))
+    keys = saved(keys, "keys")
+    asked = keys.select("query_id", F.col("key_title").alias("title"), "raw", "year", "media", F.when(F.col("language") == "ru", "ru-RU").otherwise("en-US").alias("language"), F.lit(None).cast("array<string>").alias("hints"), "priority", "channel")
+    known = store.resolve_knowledge(asked.select("query_id", "title", "year", "media"), aliases, titles).join(titles.select("title_id", "imdb_id"), "title_id")
+    known = saved(known.select("query_id", F.lit("knowledge").alias("origin"), F.lit("found").alias("status"), "imdb_id", "confidence"), "known")
+    rest = asked.join(known.select("query_id"), "query_id", "left_anti")
+    searched = lookup.search_within(rest, catalogue, ["priority", "channel"], titles_budget, requests_budget, measure)
+    entries = saved(known.unionByName(searched.select("query_id", F.lit("search").alias("origin"), "status", F.when(F.col("status") == "found", F.col("imdb_id")).alias("imdb_id"), "confidence")), "entries")
+    rated, described = ["rating", "votes"], ["title", "year", "overview", "poster", "backdrop"]
+    full = enrich.with_seed(entities, seeds, rated, described)
+    found = full.select("imdb_id", F.struct(*[c for c in full.columns]).alias("found"))
+    per_key = keys.join(entries, "query_id").select(*key, "query_id", "origin", "status", F.col("imdb_id").alias("found_id"))
+    of_row = rows.withColumns({c: F.when(F.col("outcome") == "wanted", F.col(c)) for c in ("norm",)}).join(per_key, key, "left")
+    of_row = of_row.withColumn("imdb_id", F.coalesce("found_id", F.when(F.col("outcome") == "existing", nonempty(F.col("own.imdb_id")))))
+    # what a programme has itself is shown under its own title, with its own rating if it has one
+    own = F.col("outcome") == "existing"
+    shown = of_row.join(found, "imdb_id", "left").withColumn("found", F.when(F.col("found").isNull() & ~(own & (F.col("own.rating") != "")), F.lit(None)).otherwise(F.struct(*[
+        (F.when(own, F.col("title")).otherwise(F.col("found.title")) if c == "title" else F.when(own & (F.col("own.rating") != ""), F.col("own.rating")).otherwise(F.col("found.rating")) if c == "rating" else F.coalesce("found.year", "year") if c == "year" else F.col("imdb_id") if c == "imdb_id" else F.col(f"found.{c}")).alias(c)
+        for c in full.columns
+    ])))
+    is_first, wanted = F.col("ord") == F.col("query_id"), F.col("outcome") == "wanted"
+    done = lambda s: wanted & is_first & (F.col("origin") == "search") & (F.col("status") == s)
+    counters = {
+        "programmes_considered": F.lit(True), "programmes_with_existing_imdb": own, "generic_schedule_blocks_skipped": F.col("outcome") == "generic", "non_fiction_skipped": F.col("outcome") == "non_fiction",
+        "not_movie_or_series": F.col("outcome") == "untyped", "title_too_short": F.col("outcome") == "short", "non_ru_en_titles_skipped": F.col("outcome") == "language", "uk_titles_skipped": (F.col("outcome") == "language") & (F.col("language") == "uk"),
+        "episode_titles_collapsed": wanted & F.col("collapsed"), "multipart_movies_reclassified": wanted & F.col("reclassified"), "in_run_memo_hits": wanted & ~is_first, "knowledge_hits": wanted & is_first & (F.col("origin") == "knowledge"),
+        **{f"lookup_{s}": done(s) for s in ("found", "unverified", "no_imdb_id", "not_found", "budget_exhausted", "not_attempted")},
+        "programmes_enriched": F.col("has_found"), "programmes_with_rating": F.col("has_found") & (filled(F.col("found.rating")) != ""), "programmes_with_overview": F.col("has_found") & (filled(F.col("found.overview")) != ""),
+    }
+    out = enrich.render(shown.withColumn("has_found", F.col("found").isNotNull()))
+    counted = enrich.written_with_counts(out, path, {k: F.coalesce(c, F.lit(False)) for k, c in counters.items()})
+    report = enrich.report_rows(keys.join(entries, "query_id").select(F.col("query_id").alias("ord"), F.col("key_title").alias("title"), "year", "media", "status", "origin", "imdb_id", "confidence"))
+    return Enrichment(counted, path, report)
 
 
 def backfill_plan(queries: DataFrame, states: DataFrame, budget: int) -> DataFrame:
