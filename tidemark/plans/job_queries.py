@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import timeparse
 from tidemark.operators import lookup, people, running, similarity
+from tidemark.plans import jobs
 from tidemark.plans.oracles import _PROG
 from tidemark.plans.queries import _programmes
 from tidemark.plans.store_queries import _table, _text
@@ -193,4 +194,77 @@ ORACLES["running_budget"] = """
     SELECT l_shipdate::DATE AS day, CASE WHEN rows >= 20000 OR before >= 300000 THEN 'not_attempted' WHEN before + coalesce(cost, 0) <= 300000 THEN 'done' ELSE 'exhausted' END AS state, count(*) AS n, min(rows) AS rows, sum(cost)::BIGINT AS cost FROM r GROUP BY 1, 2
 """
 
-QUERIES = {f.__name__: f for f in (people_upsert, people_of_arrivals, alias_stream_runs, alias_stream_conflicts, guide_passthrough, title_search, title_search_within, running_budget)}
+
+_ENTITY = "imdb_id string, title string, year string, rating string, votes string, overview string, poster string, backdrop string, genre_ids array<int>, genres array<string>"
+
+
+def _enriched(spark: SparkSession, sf: str) -> jobs.Enrichment:
+    """Part names as a schedule of ten kinds, enriched from a store that knows a third of them and a catalogue, within budgets."""
+    p = _table(spark, sf, "part").withColumn("name", F.concat_ws(" ", "p_name", "p_type"))
+    k = F.col("p_partkey").cast("bigint")
+    kinds = ["", F.concat(F.lit("х/ф "), "name"), "В приближении: кино", "д/ф Море", F.concat(F.lit("х/ф "), "name"), F.concat(F.lit("т/с "), "name", F.lit(" (Episode "), (k % 97).cast("string"), F.lit(")")), F.concat(F.lit("х/ф "), "name", F.lit(" 2 с")), "х/ф П'ятий елемент", "ab", F.col("name")]
+    title = F.element_at(F.array(*[F.lit(x) if isinstance(x, str) else x for x in kinds]), (k % 10 + 1).cast("int"))
+    none = F.array().cast("array<string>")
+    programmes = p.select(
+        k.alias("ord"), _text("c", k % 20).alias("channel"), title.alias("title"), F.when(k % 10 == 1, "IMDb 7.5 tt0000001").otherwise("").alias("desc"), F.lit("").alias("lang"), F.when(k % 10 == 8, F.array(F.lit("movie"))).otherwise(none).alias("categories"), F.lit(False).alias("has_episode"),
+        F.lit("").alias("date"), F.lit(None).cast("array<struct<system:string,value:string>>").alias("rating"), F.lit(None).cast("array<string>").alias("url"), F.lit("").alias("icon"),
+    )
+    groups = programmes.select(F.col("channel").alias("output_tvg_id")).distinct().where("output_tvg_id <> 'c19'").withColumn("grp", F.lit(""))
+    names, n = p.groupBy("name").agg(F.min("p_partkey").cast("bigint").alias("id")), F.col("id")
+    imdb = _text("tt", n + 1_000_000)
+    titles = names.where(n % 3 == 0).select(n.alias("title_id"), F.lower("name").alias("norm"), F.lit("").alias("year"), F.when(n % 2 == 1, "movie").otherwise("series").alias("media"), imdb.alias("imdb_id"))
+    blank = F.lit("")
+    entity = lambda rating, overview, year: [imdb.alias("imdb_id"), F.col("name").alias("title"), year.alias("year"), rating.alias("rating"), F.lit("10").alias("votes"), overview.alias("overview"), blank.alias("poster"), blank.alias("backdrop"), F.array(F.lit(18)).alias("genre_ids"), none.alias("genres")]
+    entities = names.select(*entity(F.when(n % 7 == 0, "").otherwise("6.5"), F.when(n % 2 == 0, "Overview").otherwise(""), F.when(n % 5 == 0, "2001").otherwise("")))
+    seeds = names.where(n % 3 == 0).select(*entity(F.lit("7.0"), F.when(n % 4 == 1, "Seed").otherwise(""), blank))
+    both = names.withColumn("media", F.explode(F.array(F.lit("movie"), F.lit("series"))))
+    catalogue = both.select((n * 2 + (F.col("media") == "series").cast("int")).alias("id"), n.alias("pos"), F.col("name").alias("title"), blank.alias("original_title"), blank.alias("year"), "media", F.when(n % 4 == 0, "").otherwise(imdb).alias("imdb_id"))
+    aliases = titles.select(F.col("norm").alias("alias"), "year", "media", "title_id", F.lit(99).alias("confidence")).limit(0)
+    return jobs.enrichment_run(programmes, groups, [], aliases, titles, entities, seeds, catalogue, scratch(spark, "enriched"), 100, 150, similarity.EDITS)
+
+
+def enrichment_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    """The counters of an enrichment run, as they were counted while it wrote its guide."""
+    return spark.createDataFrame(list(_enriched(spark, sf).counters.items()), "counter string, n bigint")
+
+
+def enrichment_guide(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(_enriched(spark, sf).path).select("ord", "title", "outcome", "desc", "genre")
+
+
+def enrichment_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _enriched(spark, sf).report.select("ord", "title", "media", "status", "origin", "imdb_id")
+
+
+_ENRICH_SQL = """
+    WITH n AS (SELECT p_partkey AS k, p_name || ' ' || p_type AS name FROM part), ids AS (SELECT name, min(k) AS id FROM n GROUP BY 1),
+    p AS (
+        SELECT k, id, name, k % 10 AS kind, 'c' || k % 20 AS channel, CASE k % 10 WHEN 4 THEN 'movie' WHEN 5 THEN 'series' WHEN 6 THEN 'series' END AS media, CASE WHEN k % 10 = 5 THEN 2 ELSE 1 END AS priority,
+            CASE k % 10 WHEN 0 THEN 'untitled' WHEN 1 THEN 'existing' WHEN 2 THEN 'generic' WHEN 3 THEN 'non_fiction' WHEN 7 THEN 'language' WHEN 8 THEN 'short' WHEN 9 THEN 'non_fiction' ELSE 'wanted' END AS outcome,
+            CASE k % 10 WHEN 0 THEN '' WHEN 1 THEN 'х/ф ' || name WHEN 2 THEN 'В приближении: кино' WHEN 3 THEN 'д/ф Море' WHEN 4 THEN 'х/ф ' || name WHEN 5 THEN 'т/с ' || name || ' (Episode ' || k % 97 || ')' WHEN 6 THEN 'х/ф ' || name || ' 2 с' WHEN 7 THEN 'х/ф П''ятий елемент' WHEN 8 THEN 'ab' ELSE name END AS title
+        FROM n JOIN ids USING (name) WHERE k % 20 <> 19
+    ), keys AS (SELECT name, media, any_value(id) AS id, arg_min(k, (priority, channel, k)) AS first, arg_min(kind, (priority, channel, k)) AS kind, arg_min(priority, (priority, channel, k)) AS priority, arg_min(channel, (priority, channel, k)) AS channel FROM p WHERE outcome = 'wanted' GROUP BY 1, 2),
+    asked AS (SELECT *, id % 3 = 0 AND media = CASE WHEN id % 2 = 1 THEN 'movie' ELSE 'series' END AS known, CASE WHEN id % 4 <> 0 THEN 2 WHEN kind = 6 THEN 4 ELSE 2 END AS requests FROM keys),
+    spent AS (SELECT *, row_number() OVER w - 1 AS titles, coalesce(sum(requests) OVER (ORDER BY priority, channel, first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far FROM asked WHERE NOT known WINDOW w AS (ORDER BY priority, channel, first)),
+    entries AS (
+        SELECT name, media, first, 'knowledge' AS origin, 'found' AS status FROM asked WHERE known
+        UNION ALL SELECT name, media, first, 'search', CASE WHEN titles >= 100 OR so_far >= 150 THEN 'not_attempted' WHEN so_far + requests > 150 THEN 'budget_exhausted' WHEN id % 4 = 0 THEN 'no_imdb_id' ELSE 'found' END FROM spent
+    ), r AS (
+        SELECT p.*, origin, status, first, coalesce(k = first, false) AS is_first, coalesce(status = 'found', false) AS resolved, outcome = 'existing' OR coalesce(status = 'found', false) AS shown,
+            CASE WHEN outcome = 'existing' THEN '7.5' WHEN id % 3 = 0 THEN '7.0' WHEN id % 7 = 0 THEN '' ELSE '6.5' END AS rating, CASE WHEN outcome = 'existing' THEN '' WHEN id % 2 = 0 THEN 'Overview' WHEN id % 3 = 0 AND id % 4 = 1 THEN 'Seed' ELSE '' END AS overview,
+            CASE WHEN id % 5 = 0 AND outcome <> 'existing' THEN ' (2001)' ELSE '' END AS year
+        FROM p LEFT JOIN entries USING (name, media)
+    )
+"""
+_COUNTERS = {
+    "programmes_considered": "true", "programmes_with_existing_imdb": "outcome = 'existing'", "generic_schedule_blocks_skipped": "outcome = 'generic'", "non_fiction_skipped": "outcome = 'non_fiction'", "not_movie_or_series": "false", "title_too_short": "outcome = 'short'",
+    "non_ru_en_titles_skipped": "outcome = 'language'", "uk_titles_skipped": "outcome = 'language'", "episode_titles_collapsed": "kind = 5", "multipart_movies_reclassified": "kind = 6", "in_run_memo_hits": "outcome = 'wanted' AND NOT is_first", "knowledge_hits": "is_first AND origin = 'knowledge'",
+    **{f"lookup_{x}": f"is_first AND origin = 'search' AND status = '{x}'" for x in ("found", "unverified", "no_imdb_id", "not_found", "budget_exhausted", "not_attempted")},
+    "programmes_enriched": "shown", "programmes_with_rating": "shown AND rating <> ''", "programmes_with_overview": "shown AND overview <> ''",
+}
+ORACLES["enrichment_funnel"] = f"{_ENRICH_SQL} " + " UNION ALL ".join(f"SELECT '{name}' AS counter, count(*) FILTER ({test}) AS n FROM r" for name, test in _COUNTERS.items())
+ORACLES["enrichment_guide"] = f"""{_ENRICH_SQL} SELECT k AS ord, CASE WHEN shown THEN name || year || CASE WHEN rating <> '' THEN ' · IMDb ' || rating ELSE '' END ELSE title END AS title, outcome,
+    CASE WHEN shown AND outcome = 'wanted' THEN overview WHEN outcome = 'existing' THEN 'IMDb 7.5 tt0000001' ELSE '' END AS desc, CASE WHEN outcome = 'existing' THEN '' WHEN shown THEN 'драма' END AS genre FROM r"""
+ORACLES["enrichment_report"] = f"{_ENRICH_SQL} SELECT e.first AS ord, e.name AS title, e.media, status, origin, CASE WHEN status = 'found' THEN 'tt' || id + 1000000 END AS imdb_id FROM entries e JOIN ids USING (name)"
+
+QUERIES = {f.__name__: f for f in (people_upsert, people_of_arrivals, alias_stream_runs, alias_stream_conflicts, guide_passthrough, title_search, title_search_within, running_budget, enrichment_funnel, enrichment_guide, enrichment_report)}
