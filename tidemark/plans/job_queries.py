@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import timeparse
 from tidemark.operators import lookup, people, running, similarity
 from tidemark.plans import jobs
-from tidemark.plans.oracles import _PROG
-from tidemark.plans.queries import _programmes
+from tidemark.plans.oracles import _AT, _PROG
+from tidemark.plans.queries import _now, _programmes
 from tidemark.plans.store_queries import _table, _text
 from tidemark.session import scratch
 from tidemark.sources import xmltv
@@ -267,4 +267,77 @@ ORACLES["enrichment_guide"] = f"""{_ENRICH_SQL} SELECT k AS ord, CASE WHEN shown
     CASE WHEN shown AND outcome = 'wanted' THEN overview WHEN outcome = 'existing' THEN 'IMDb 7.5 tt0000001' ELSE '' END AS desc, CASE WHEN outcome = 'existing' THEN '' WHEN shown THEN 'драма' END AS genre FROM r"""
 ORACLES["enrichment_report"] = f"{_ENRICH_SQL} SELECT e.first AS ord, e.name AS title, e.media, status, origin, CASE WHEN status = 'found' THEN 'tt' || id + 1000000 END AS imdb_id FROM entries e JOIN ids USING (name)"
 
-QUERIES = {f.__name__: f for f in (people_upsert, people_of_arrivals, alias_stream_runs, alias_stream_conflicts, guide_passthrough, title_search, title_search_within, running_budget, enrichment_funnel, enrichment_guide, enrichment_report)}
+
+def _build_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Customers as channels of four kinds (by id, by family in the second pass, of another country, by name); users as the ids of two feeds, one of them Romanian."""
+    k = F.col("c_custkey")
+    n, kind = (k % 200).cast("string"), k % 4
+    name = F.when(kind == 0, _text("Plain ", k)).when(kind == 3, _text("Named ", n)).otherwise(_text("Discovery ", n, " RO"))
+    channels = _table(spark, sf, "customer").select(
+        k.cast("bigint").alias("channel_index"), name.alias("name"), F.when(kind == 0, _text("u", n)).when(kind == 3, _text("no_epg_", k)).otherwise("").alias("tvg_id"), F.lit("").alias("tvg_name"),
+        F.when(kind == 1, "Румыния").when(kind == 2, "Италия").otherwise(_text("G", k % 3)).alias("grp"), _text("http://example.test/", k).alias("url"),
+    )
+    feeds = spark.createDataFrame([(0, "feed0", [], [], False), (1, "feed1", [], ["RO"], False)], "source_index int, name string, groups array<string>, regions array<string>, require_region_for_id boolean")
+    p = _programmes(spark, sf)
+    u = F.col("channel").cast("int")
+    own = p.select("channel", F.lit(0).alias("source_index"), _text("u", F.col("channel")).alias("id"), F.array(_text("Nobody ", F.col("channel"))).alias("display_names"))
+    romanian = p.where(u % 3 != 0).select("channel", F.lit(1).alias("source_index"), _text("r", F.col("channel")).alias("id"), F.array(_text("Discovery ", F.col("channel")), _text("Named ", F.col("channel"))).alias("display_names"))
+    feed_channels = own.unionByName(romanian).drop("channel").distinct()
+    programmes = p.select(F.explode(F.array(F.struct(F.lit(0).alias("source_index"), _text("u", F.col("channel")).alias("id")), F.struct(F.lit(1).alias("source_index"), _text("r", F.col("channel")).alias("id")))).alias("x"), "start", "stop", "title").select("x.source_index", F.col("x.id").alias("channel"), "start", "stop", "title")
+    programmes = programmes.join(feed_channels.select("source_index", F.col("id").alias("channel")), ["source_index", "channel"])
+    empty = lambda s: spark.createDataFrame([], s)
+    overrides = channels.where("channel_index % 100 = 3").select(F.col("name").alias("playlist_name")).distinct().select("playlist_name", F.lit("*").alias("source_id"), F.lit("wrong").alias("status"), F.lit("heard").alias("reason"), F.lit("").alias("evidence_url"))
+    return {
+        "channels": channels, "feeds": feeds, "feed_channels": feed_channels, "programmes": programmes, "aliases": empty("ord bigint, name string, source string, grp string, region string, target_id string, hard_pin string"),
+        "id_fixes": empty("enabled string, playlist_name string, new_tvg_id string, ord bigint"), "offsets": empty("source string, source_id string, offset_minutes int"), "overrides": overrides, "now": _now(),
+    }
+
+
+def guide_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """The mapping that a build publishes, both passes, without what was quarantined or brings no usable programme."""
+    made = jobs.build_guide(**_build_inputs(spark, sf))
+    return made.mapping.select("channel_index", "output_tvg_id", "source", "method", "confidence", "pass", "programmes", "usable")
+
+
+def _built(spark: SparkSession, sf: str) -> tuple[jobs.Build, str]:
+    """Two runs of a build: the second playlist has other channels, and some at other addresses."""
+    given, folder = _build_inputs(spark, sf), scratch(spark, "build")
+    channels, k = given.pop("channels"), F.col("channel_index")
+    jobs.build_run(channels.where(k % 5 != 0), **given, folder=folder, run_id="2024-01-14")
+    url = F.when(k % 11 == 0, F.concat("url", F.lit("b"))).otherwise(F.col("url"))
+    return jobs.build_run(channels.where(k % 7 != 0).withColumn("url", url), **given, folder=folder, run_id="2024-01-15"), folder
+
+
+def build_status(spark: SparkSession, sf: str) -> DataFrame:
+    """The second run's counts, what changed in the playlist, what each source brought over both runs, and what the published guide holds."""
+    made, folder = _built(spark, sf)
+    counts = made.status.select(F.explode(F.create_map(*[x for c in ("channels", "matched", "unresolved", "programmes") for x in (F.lit(c), F.col(c))])).alias("name", "n"))
+    changes = made.changes.groupBy(F.concat(F.lit("changed: "), "change").alias("name")).agg(F.count("*").alias("n"))
+    ranking = made.ranking.select(F.concat(F.lit("added: "), "source").alias("name"), F.col("total_added").cast("bigint").alias("n"))
+    elements = xmltv.read_elements(spark, f"{folder}/guide.xml.gz").groupBy(F.concat(F.lit("guide: "), "kind").alias("name")).agg(F.count("*").alias("n"))
+    return counts.unionByName(changes).unionByName(ranking).unionByName(elements)
+
+
+_BUILD_SQL = f"""
+    WITH {_PROG}, kept AS (SELECT channel AS u, (stop_at IS NULL OR stop_at >= {_AT} - INTERVAL 6 HOUR) AND start_at <= {_AT} + INTERVAL 48 HOUR AS usable FROM secs WHERE start_at::DATE BETWEEN DATE '2024-01-10' AND DATE '2024-02-05'),
+    live AS (SELECT u, count(*) AS programmes, count(*) FILTER (usable) AS usable FROM kept GROUP BY 1),
+    c AS (
+        SELECT c_custkey AS k, (c_custkey % 200)::VARCHAR AS n, c_custkey % 4 AS kind, CASE c_custkey % 4 WHEN 0 THEN 'Plain ' || c_custkey WHEN 3 THEN 'Named ' || c_custkey % 200 ELSE 'Discovery ' || c_custkey % 200 || ' RO' END AS name,
+            CASE c_custkey % 4 WHEN 0 THEN 'u' || c_custkey % 200 WHEN 3 THEN 'no_epg_' || c_custkey ELSE '' END AS tvg_id FROM customer
+    ), m AS (
+        SELECT k, name, CASE WHEN kind = 0 THEN 'u' ELSE 'r' END || n AS output_tvg_id, CASE WHEN kind = 0 THEN 'feed0' ELSE 'feed1' END AS source, CASE kind WHEN 0 THEN 'id' WHEN 1 THEN 'family-region' ELSE 'name' END AS method, CASE kind WHEN 0 THEN 99 WHEN 1 THEN 92 ELSE 90 END::INT AS confidence, CASE WHEN kind = 1 THEN 2 ELSE 1 END::INT AS pass, programmes, usable
+        FROM c JOIN live ON n = u WHERE usable > 0 AND (kind = 0 OR kind IN (1, 3) AND n::INT % 3 <> 0)
+    )
+"""
+ORACLES["guide_mapping"] = f"{_BUILD_SQL} SELECT k AS channel_index, output_tvg_id, source, method, confidence, pass, programmes, usable FROM m WHERE name NOT IN (SELECT name FROM c WHERE k % 100 = 3)"
+ORACLES["build_status"] = f"""{_BUILD_SQL}, all2 AS (SELECT * FROM m WHERE k % 7 <> 0), valid2 AS (SELECT * FROM all2 WHERE name NOT IN (SELECT name FROM c WHERE k % 100 = 3)), valid1 AS (SELECT * FROM m WHERE k % 5 <> 0 AND name NOT IN (SELECT name FROM c WHERE k % 100 = 3)),
+    s AS (SELECT k, CASE WHEN tvg_id <> '' THEN tvg_id ELSE name END AS key, name, CASE kind WHEN 1 THEN 'Румыния' WHEN 2 THEN 'Италия' ELSE 'G' || k % 3 END AS grp, 'http://example.test/' || k AS url FROM c),
+    a AS (SELECT key, arg_max((name, grp, url), k) AS x FROM s WHERE k % 5 <> 0 GROUP BY 1), b AS (SELECT key, arg_max((name, grp, url || CASE WHEN k % 11 = 0 THEN 'b' ELSE '' END), k) AS y FROM s WHERE k % 7 <> 0 GROUP BY 1),
+    d AS (SELECT unnest([CASE WHEN x IS NULL THEN 'added' END, CASE WHEN y IS NULL THEN 'removed' END, CASE WHEN x[1] <> y[1] THEN 'renamed' END, CASE WHEN x[2] <> y[2] THEN 'group' END, CASE WHEN x[3] <> y[3] THEN 'url' END]) AS change FROM a FULL JOIN b USING (key)),
+    g AS (SELECT DISTINCT output_tvg_id, programmes FROM all2), t AS (SELECT count(*) FROM s WHERE k % 7 <> 0)
+    SELECT 'channels' AS name, (FROM t) AS n UNION ALL SELECT 'matched', count(*) FROM valid2 UNION ALL SELECT 'unresolved', (FROM t) - count(*) FROM valid2 UNION ALL SELECT 'programmes', sum(programmes)::BIGINT FROM g
+    UNION ALL SELECT 'changed: ' || change, count(*) FROM d WHERE change IS NOT NULL GROUP BY 1 UNION ALL SELECT 'added: ' || source, count(*) FROM (SELECT source FROM valid1 UNION ALL SELECT source FROM valid2) GROUP BY 1
+    UNION ALL SELECT 'guide: channel', count(*) FROM g UNION ALL SELECT 'guide: programme', sum(programmes)::BIGINT FROM g
+"""
+
+QUERIES = {f.__name__: f for f in (people_upsert, people_of_arrivals, alias_stream_runs, alias_stream_conflicts, guide_passthrough, title_search, title_search_within, running_budget, enrichment_funnel, enrichment_guide, enrichment_report, guide_mapping, build_status)}

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import filled, nonempty, normalize_name
@@ -15,6 +16,7 @@ from tidemark.functions.timeparse import convert
 from tidemark.functions.titles import canonical_title, detect_language, effective_type, existing_imdb, is_fiction, is_generic, media_type, programme_year, search_title, tidy_compact_title
 from tidemark.operators import audit, enrich, guide, lookup, resolve, similarity, store
 from tidemark.session import saved
+from tidemark.sources import datasets, xmltv
 
 
 @dataclass
@@ -49,10 +51,68 @@ def build_guide(channels: DataFrame, feeds: DataFrame, feed_channels: DataFrame,
     kept = guide.without_quarantined(mapping, audited.where("quarantine"))
     valid = guide.validated(kept, guide.programme_counts(out)).where("valid")
     # quarantined rows leave the mapping; what they brought stays in the guide
-    shown = out.withColumns({"channel": F.col("output_tvg_id"), "start": convert(F.col("start"), zone), "stop": convert(F.col("stop"), zone)}).drop("output_tvg_id")
+    times = convert(F.col("start"), zone), convert(F.col("stop"), zone)
+    moved = xmltv.retimed(out, *times, F.col("output_tvg_id")) if "raw" in out.columns else out.withColumns({"channel": F.col("output_tvg_id"), "start": times[0], "stop": times[1]})
+    shown = moved.drop("output_tvg_id")
     return Guide(valid, audited, guide.channel_elements(mapping, feed_channels), shown, guide.coverage(channels, valid), resolve.unresolved(channels, valid))
 
 
+SNAPSHOT = "ord bigint, name string, tvg_id string, grp string, url string, run_id string"
+HISTORY = "source string, matched bigint, family_recovered bigint, confidence double, run_id string"
+STATUS = "channels bigint, matched bigint, unresolved bigint, programmes bigint, run_id string"
+#: Gates: a count that was as high may not fall under this share of it.
+CHANNELS_GATE, PROGRAMMES_GATE = (100, 0.85), (1000, 0.60)
+
+
+def before_run(spark: SparkSession, path: str, schema: str, run_id: str) -> DataFrame:
+    """The rows of the last run before this one; none if there is none. Run ids ascend with time."""
+    try:
+        runs = spark.read.schema(schema).parquet(path).where(F.col("run_id") < run_id)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    last = runs.agg(F.max("run_id")).first()[0]
+    return runs.where(F.col("run_id") == F.lit(last))
+
+
+@dataclass
+class Build:
+    """What a build run publishes, besides its files."""
+
+    guide: Guide
+    status: DataFrame
+    changes: DataFrame
+    ranking: DataFrame
+
+
+def build_run(channels: DataFrame, feeds: DataFrame, feed_channels: DataFrame, programmes: DataFrame, aliases: DataFrame, id_fixes: DataFrame, offsets: DataFrame, overrides: DataFrame, now: Column, folder: str, run_id: str, zone: str = "UTC", programmes_share: float = PROGRAMMES_GATE[1]) -> Build:
+    """One build from inputs to the published guide: guide.xml.gz, and by run snapshots, history, status and mapping under `folder`.
+
+    Stops before anything is written where the playlist is empty or collapsed, where no programme is left, or where programmes
+    fell too far. The guide takes the old one's place in one move; the run's rows come after it, so a run that fails is run again.
+    channels: also url. programmes: source_index, channel, start, stop, title[, desc, categories, raw].
+    """
+    spark = channels.sparkSession
+    snapshot = saved(channels.select(F.col("channel_index").alias("ord"), "name", "tvg_id", "grp", "url"), "snapshot")
+    earlier = before_run(spark, f"{folder}/snapshots", SNAPSHOT, run_id)
+    n_channels = snapshot.count()
+    guide.gate_drop(earlier.count(), n_channels, *CHANNELS_GATE, "channels")
+    made = build_guide(channels, feeds, feed_channels, programmes, aliases, id_fixes, offsets, overrides, now, zone)
+    made.programmes = saved(made.programmes, "guide-programmes")
+    made.mapping = saved(made.mapping, "guide-mapping")
+    n_programmes = made.programmes.count()
+    last = before_run(spark, f"{folder}/status", STATUS, run_id).first()
+    guide.gate_drop(last.programmes if last else 0, n_programmes, PROGRAMMES_GATE[0], programmes_share, "programmes")
+    blanks = {"desc": F.lit(None).cast("string"), "categories": F.array().cast("array<string>")}
+    xmltv.write_guide(made.channels, made.programmes.withColumns({c: v for c, v in blanks.items() if c not in made.programmes.columns}), f"{folder}/guide.xml.gz")
+    n_matched = made.mapping.count()
+    status = spark.createDataFrame([(n_channels, n_matched, n_channels - n_matched, n_programmes)], "channels bigint, matched bigint, unresolved bigint, programmes bigint")
+    changes = saved(audit.snapshot_diff(earlier, snapshot), "changes")
+    for name, rows in (("snapshots", snapshot), ("history", guide.source_report(made.mapping)), ("mapping", made.mapping), ("status", status)):
+        datasets.append_run(rows, f"{folder}/{name}", run_id)
+    ranking = audit.history_ranking(spark.read.schema(HISTORY).parquet(f"{folder}/history").select("run_id", "source", F.col("matched").alias("added")))
+    return Build(made, status, changes, ranking)
+
+
 def title_queries(programmes: DataFrame, groups: DataFrame, movie_groups: list[str]) -> DataFrame:
     """Programmes that may stand for a work, with their title key. programmes: ord, channel, title, lang, categories, has_episode, date. groups: output_tvg_id, grp."""
     g = groups.select(F.col("output_tvg_id").alias("channel"), "grp")
