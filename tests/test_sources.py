@@ -9,10 +9,10 @@ from tidemark.sources import datasets, playlist, rules, xmltv
 
 def test_m3u(spark, tmp_path):
     (tmp_path / "p.m3u").write_text(
-        '﻿#EXTM3U\n#EXTINF:-1 tvg-id="lost",Lost\n#EXTINF:-1 tvg-id="bar" group-title="Wrong",Bar\n#EXTGRP:News\nhttp://example.test/bar.m3u8\n\n#EXTINF:0 tvg-name="Fallback" group-title="G",\nhttp://example.test/2\nhttp://example.test/stray\n'
+        '﻿#EXTM3U\n#EXTINF:-1 tvg-id="lost",Lost\n#EXTINF:-1 tvg-id="bar" group-title="Wrong",Bar\n#EXTGRP:News\nhttp://example.test/bar.m3u8\n\n#EXTINF:0 tvg-name="Fallback" group-title="G",\nhttp://example.test/2\nhttp://example.test/stray\n#EXTINF:0 tvg-name="Only"\nhttp://example.test/3\n#EXTINF:0 tvg-name="A, B",C\nhttp://example.test/4\n'
     )
     rows = playlist.parse_m3u(playlist.read_lines(spark, str(tmp_path / "p.m3u"))).orderBy("channel_index").collect()
-    assert [(r.channel_index, r.name, r.tvg_id, r.grp, r.stream_url) for r in rows] == [(0, "Bar", "bar", "News", "http://example.test/bar.m3u8"), (1, "Fallback", "", "G", "http://example.test/2")]
+    assert [(r.channel_index, r.name, r.tvg_id, r.grp, r.stream_url) for r in rows] == [(0, "Bar", "bar", "News", "http://example.test/bar.m3u8"), (1, "", "", "G", "http://example.test/2"), (2, "Only", "", "", "http://example.test/3"), (3, 'B",C', "", "", "http://example.test/4")]
 
 
 def test_xmltv(spark, tmp_path):

@@ -113,6 +113,27 @@ def watchlist(names: DataFrame, mapping: DataFrame, programmes: DataFrame, now:
     return out.select("name", "channel", status.alias("status"), "on_air", F.coalesce("upcoming", F.array().cast("array<string>")).alias("upcoming"))
 
 
+def channel_diagnostics(names: DataFrame, mapping: DataFrame, programmes: DataFrame, now: Column, n: int = 8) -> DataFrame:
+    """Of each watched name: whether and how it is mapped, how many programmes its channel has and can be read, what is on and the next n.
+
+    mapping: ord, playlist_name, output_tvg_id, grp, region, source, source_id, method (the last row of a name counts).
+    programmes: channel, start, stop, title, desc, categories, start_at, stop_at (null where start or stop can't be read).
+    """
+    fields = ["output_tvg_id", "grp", "region", "source", "source_id", "method"]
+    own = names.select("name").distinct().join(last_wins(mapping, ["playlist_name"], "ord").select(F.col("playlist_name").alias("name"), *fields), "name", "left")
+    p = programmes.join(own.select(F.col("output_tvg_id").alias("channel")).distinct(), "channel", "left_semi")
+    shown = F.struct("start", "stop", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("desc", F.lit("")).alias("desc"), F.filter(F.coalesce("categories", F.array().cast("array<string>")), lambda c: filled(c) != "").alias("categories"))
+    p = p.select("channel", "start_at", "stop_at", shown.alias("shown"))
+    counts = p.groupBy("channel").agg(F.count(F.lit(1)).alias("programme_count"), F.count("start_at").alias("parseable_programme_count"))
+    on = current_programme(p, now).select("channel", F.col("shown").alias("current_programme"))
+    later = next_programmes(p, now, n).groupBy("channel").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "shown"))), lambda x: x["shown"]).alias("upcoming_programmes"))  # n rows at most
+    out = own.withColumn("channel", F.col("output_tvg_id")).join(counts, "channel", "left").join(on, "channel", "left").join(later, "channel", "left")
+    matched = F.col("output_tvg_id").isNotNull()
+    status = F.when(~matched, "not_mapped").when(F.col("current_programme").isNull() & F.col("upcoming_programmes").isNull(), "no_current_or_upcoming_programme").otherwise("ok")
+    zero = lambda c: F.when(matched, F.coalesce(c, F.lit(0).cast("bigint"))).alias(c)
+    return out.select("name", matched.alias("matched"), status.alias("status"), *fields, zero("programme_count"), zero("parseable_programme_count"), "current_programme", "upcoming_programmes")
+
+
 def family_of(name: Column) -> Column:
     text = filled(name)
     tokens = F.regexp_extract_all(text, F.lit(r"([A-Za-zА-Яа-яЁё0-9+_-]+)"), F.lit(1))
@@ -125,19 +146,34 @@ def family_of(name: Column) -> Column:
 
 
 def family_report(unmatched: DataFrame) -> DataFrame:
-    """Of each family: channels, those with dummy ids, groups with counts (most common first), names in order. unmatched: ord, name, grp, dummy."""
-    f = unmatched.withColumn("family", family_of(F.col("name")))
+    """Of each family: channels, those with dummy ids, and groups with counts (most common first, then first seen). unmatched: ord, name, grp, dummy.
+
+    family_members has the channels themselves, a row each.
+    """
+    f = family_members(unmatched)
     groups = f.groupBy("family", "grp").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
     listed = groups.groupBy("family").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "first", "grp"))), lambda x: F.concat(x["grp"], F.lit(":"), (-x["n"]).cast("string"))).alias("groups"))
-    whole = f.groupBy("family").agg(F.count("*").alias("n"), F.count_if("dummy").alias("dummy_ids"), F.transform(F.sort_array(F.collect_list(F.struct("ord", "name"))), lambda x: x["name"]).alias("channels"))
+    whole = f.groupBy("family").agg(F.count("*").alias("n"), F.count_if("dummy").alias("dummy_ids"), F.min_by("name", "ord").alias("first_channel"))
     return whole.join(listed, "family").orderBy(F.desc("n"), F.lower("family"))
 
 
-def regional_queue(unmatched: DataFrame, regions: list[str], groups: list[str]) -> DataFrame:
-    """Channels of some regions, or with Cyrillic but no Ukrainian letters in topical groups, with the reason. unmatched: name, grp, region."""
-    cyrillic = F.rlike("name", F.lit("[А-Яа-яЁё]")) & ~F.rlike("name", F.lit("[іїєґІЇЄҐ]"))
-    reason = F.when(F.col("region").isin(regions), "provider-region").when(F.col("grp").isin(groups) & cyrillic, "cyrillic-topical-group")
-    return unmatched.withColumn("reason", reason).where("reason IS NOT NULL")
+def family_members(unmatched: DataFrame) -> DataFrame:
+    """unmatched with the family of each channel."""
+    return unmatched.withColumn("family", family_of(F.col("name")))
+
+
+def regional_queue(unmatched: DataFrame, regions: list[str], region_groups: list[str], topic_groups: list[str], unsafe_families: list[str]) -> DataFrame:
+    """Channels to recover for some regions, with the reason, their family and whether that may go by itself after a review.
+
+    unmatched: name, tvg_id, grp, region. By region or a region's group; or Cyrillic without Ukrainian letters in a topical
+    group. Families that are made up and placeholder ids are not recovered automatically.
+    """
+    cyrillic = F.rlike("name", F.lit("[А-Яа-яЁё]")) & ~F.rlike("name", F.lit("[ІіЇїЄєҐґ]"))
+    grp, region = filled(F.col("grp")), filled(F.col("region"))
+    reason = F.when(region.isin(regions) | grp.isin(region_groups), "provider-region").when(grp.isin(topic_groups) & cyrillic, "cyrillic-topical-group")
+    family = family_of(F.col("name"))
+    unsafe = family.isin(unsafe_families) | F.startswith(F.lower(filled(F.col("tvg_id"))), F.lit("no_epg"))
+    return unmatched.withColumns({"reason": F.when(filled(F.col("name")) != "", reason), "family": family, "automatic_recovery_allowed": F.when(unsafe, "no").otherwise("review")}).where("reason IS NOT NULL")
 
 
 def history_ranking(runs: DataFrame, last: int = 180) -> DataFrame:

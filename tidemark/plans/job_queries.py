@@ -198,8 +198,8 @@ ORACLES["running_budget"] = """
 _ENTITY = "imdb_id string, title string, year string, rating string, votes string, overview string, poster string, backdrop string, genre_ids array<int>, genres array<string>"
 
 
-def _enriched(spark: SparkSession, sf: str) -> jobs.Enrichment:
-    """Part names as a schedule of ten kinds, enriched from a store that knows a third of them and a catalogue, within budgets."""
+def _store_and_schedule(spark: SparkSession, sf: str) -> tuple[DataFrame, ...]:
+    """Part names as a schedule of ten kinds, a store that knows a third of them, and a catalogue of all."""
     p = _table(spark, sf, "part").withColumn("name", F.concat_ws(" ", "p_name", "p_type"))
     k = F.col("p_partkey").cast("bigint")
     kinds = ["", F.concat(F.lit("х/ф "), "name"), "В приближении: кино", "д/ф Море", F.concat(F.lit("х/ф "), "name"), F.concat(F.lit("т/с "), "name", F.lit(" (Episode "), (k % 97).cast("string"), F.lit(")")), F.concat(F.lit("х/ф "), "name", F.lit(" 2 с")), "х/ф П'ятий елемент", "ab", F.col("name")]
@@ -220,7 +220,12 @@ def _enriched(spark: SparkSession, sf: str) -> jobs.Enrichment:
     both = names.withColumn("media", F.explode(F.array(F.lit("movie"), F.lit("series"))))
     catalogue = both.select((n * 2 + (F.col("media") == "series").cast("int")).alias("id"), n.alias("pos"), F.col("name").alias("title"), blank.alias("original_title"), blank.alias("year"), "media", F.when(n % 4 == 0, "").otherwise(imdb).alias("imdb_id"))
     aliases = titles.select(F.col("norm").alias("alias"), "year", "media", "title_id", F.lit(99).alias("confidence")).limit(0)
-    return jobs.enrichment_run(programmes, groups, [], aliases, titles, entities, seeds, catalogue, scratch(spark, "enriched"), 100, 150, similarity.EDITS)
+    return programmes, groups, aliases, titles, entities, seeds, catalogue
+
+
+def _enriched(spark: SparkSession, sf: str) -> jobs.Enrichment:
+    programmes, groups, *held = _store_and_schedule(spark, sf)
+    return jobs.enrichment_run(programmes, groups, [], *held, scratch(spark, "enriched"), 100, 150, similarity.EDITS)
 
 
 def enrichment_funnel(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import filled, nonempty, normalize_name
 from tidemark.functions.timeparse import convert
 from tidemark.functions.titles import canonical_title, detect_language, effective_type, existing_imdb, is_fiction, is_generic, media_type, programme_year, search_title, tidy_compact_title
-from tidemark.operators import audit, enrich, guide, lookup, resolve, similarity, store
+from tidemark.operators import audit, enrich, guide, lookup, people, resolve, similarity, store
+from tidemark.operators.common import pick
 from tidemark.session import saved
 from tidemark.sources import datasets, xmltv
 
@@ -210,6 +211,20 @@ def enrichment_run(programmes: DataFrame, groups: DataFrame, movie_groups: list[
     return Enrichment(counted, path, report)
 
 
+def reapply(spark: SparkSession, guide_path: str, groups: DataFrame, movie_groups: list[str], aliases: DataFrame, titles: DataFrame, entities: DataFrame, seeds: DataFrame, work: str) -> Enrichment:
+    """What the store knows by now, written into a guide that is published already; nothing is searched. The guide is replaced in one move."""
+    elements = saved(xmltv.read_elements(spark, guide_path), "guide-elements")
+    programmes = xmltv.programmes_of(elements, F.lit(0)).withColumnRenamed("nth", "ord")
+    nothing = spark.createDataFrame([], "id bigint, pos bigint, title string, original_title string, year string, media string, imdb_id string")
+    run = enrichment_run(programmes, groups, movie_groups, aliases, titles, entities, seeds, nothing, work, 0, 0)
+    touched = xmltv.rendered(spark.read.parquet(work))
+    others = programmes.join(groups.select(F.col("output_tvg_id").alias("channel")), "channel", "left_anti")
+    columns = ["channel", "start", "stop", "title", "desc", "categories", "raw"]
+    channels = xmltv.channels_of(elements, F.lit(0)).select(F.col("id").alias("output_tvg_id"), "display_names", "raw")
+    xmltv.write_guide(channels, touched.select(*columns).unionByName(others.select(*columns)), guide_path)
+    return run
+
+
 def backfill_plan(queries: DataFrame, states: DataFrame, budget: int) -> DataFrame:
     """The next keys to look up. states: norm, year, media, language, state."""
     q = enrich.queue(queries.withColumn("title", F.col("key_title")).select("ord", "channel", "priority", "title", "year", "media", "language", "grp"))
@@ -222,6 +237,22 @@ def verified_fixes(programmes: DataFrame, rules: DataFrame) -> DataFrame:
     return out.withColumn("title", tidy_compact_title(F.col("title")))
 
 
+def load_credits(people_stored: DataFrame, credits_stored: DataFrame, payload: DataFrame, cast: int = 8) -> tuple[DataFrame, DataFrame]:
+    """People and credits after payloads of directors and the first `cast` actors of each title.
+
+    payload: ord, title_id, tmdb_id, name, role, character, job, billing (rows without a name are left out). Credits:
+    title_id, person_id, role, character, job, billing, ord.
+    """
+    named = payload.where(filled(F.col("name")) != "")
+    actors = pick(named.where("role = 'actor'"), ["title_id"], [F.coalesce("billing", F.lit(999_999)), "ord"], cast)
+    wanted = saved(named.where("role = 'director'").unionByName(actors), "credits")
+    after, of = people.upsert_people(people_stored, wanted.select("ord", F.lit("credits").alias("path"), "tmdb_id", F.lit("").alias("imdb_id"), "name", F.lit("{}").alias("extra")))
+    rows = wanted.join(of, "ord").select("title_id", F.col("person_id").cast("string").alias("person_key"), "role", "character", "job", "billing", "ord")
+    held = credits_stored.withColumn("person_key", F.col("person_id").cast("string")).select(*rows.columns)
+    merged = store.merge_credits(held, rows, "ord")
+    return after, merged.withColumn("person_id", F.col("person_key").cast("bigint")).drop("person_key")
+
+
 def with_credits(programmes: DataFrame, credits: DataFrame, top: int = 8) -> DataFrame:
     """Programmes (with title_id) with directors, then actors and their roles."""
     return programmes.join(store.cast_and_directors(credits, top), "title_id", "left")

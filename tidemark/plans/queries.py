@@ -324,7 +324,7 @@ def family_report(spark: SparkSession, sf: str) -> DataFrame:
     p = _table(spark, sf, "part")
     head = F.element_at(F.array(*[F.lit(x) for x in ("Magic ", "BCU Media ", "HD ", "", "CPS ")]), (F.col("p_partkey") % 5 + 1).cast("int"))
     d = p.select(F.col("p_partkey").alias("ord"), F.concat(head, F.col("p_name")).alias("name"), F.col("p_brand").alias("grp"), (F.col("p_size") < 10).alias("dummy"))
-    return audit.family_report(d).select("family", "n", "dummy_ids", F.array_join("groups", ",").alias("groups"), F.element_at("channels", 1).alias("first_channel"))
+    return audit.family_report(d).select("family", "n", "dummy_ids", F.array_join("groups", ",").alias("groups"), "first_channel")
 
 
 def history_ranking(spark: SparkSession, sf: str) -> DataFrame:

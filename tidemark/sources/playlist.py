@@ -16,7 +16,8 @@ def parse_m3u(lines: DataFrame) -> DataFrame:
     """file, channel_index, name, tvg_id, tvg_name, grp, extinf, stream_url.
 
     `#EXTINF` opens a record, and drops one that has no address yet; `#EXTGRP:` overrides the group; the first line that
-    isn't blank or a comment closes it. The name is what follows the first comma, else the provider's name.
+    isn't blank or a comment closes it. The name is what follows the first comma, also in quotes and also if that is
+    nothing; a line without a comma has the provider's name.
     """
     w = Window.partitionBy("file").orderBy("line_no")
     line = F.trim("line")
@@ -33,8 +34,8 @@ def parse_m3u(lines: DataFrame) -> DataFrame:
     blocks = blocks.where("stream_url IS NOT NULL")
     pairs = F.zip_with(F.regexp_extract_all("extinf", F.lit(r'([\w-]+)="([^"]*)"'), F.lit(1)), F.regexp_extract_all("extinf", F.lit(r'([\w-]+)="([^"]*)"'), F.lit(2)), lambda k, v: F.struct(k.alias("k"), v.alias("v")))
     attr = lambda name: F.coalesce(F.element_at(F.filter(F.concat(F.array(F.struct(F.lit(name).alias("k"), F.lit("").alias("v"))), pairs), lambda x: x["k"] == name), -1)["v"], F.lit(""))
-    after = F.trim(F.regexp_extract(F.regexp_replace("extinf", r'"[^"]*"', '""'), r",(.*)$", 1))
-    out = blocks.select("file", "block", F.when(after != "", after).otherwise(attr("tvg-name")).alias("name"), attr("tvg-id").alias("tvg_id"), attr("tvg-name").alias("tvg_name"), F.when(F.coalesce("extgrp", F.lit("")) != "", F.col("extgrp")).otherwise(attr("group-title")).alias("grp"), "extinf", "stream_url")
+    after = F.trim(F.regexp_extract("extinf", r"^[^,]*,(.*)$", 1))
+    out = blocks.select("file", "block", F.when(F.contains("extinf", F.lit(",")), after).otherwise(attr("tvg-name")).alias("name"), attr("tvg-id").alias("tvg_id"), attr("tvg-name").alias("tvg_name"), F.when(F.coalesce("extgrp", F.lit("")) != "", F.col("extgrp")).otherwise(attr("group-title")).alias("grp"), "extinf", "stream_url")
     return out.withColumn("channel_index", (F.row_number().over(Window.partitionBy("file").orderBy("block")) - 1).cast("long")).drop("block")
 
 

@@ -140,6 +140,51 @@ def retimed(programmes: DataFrame, start: Column, stop: Column, channel: Column
     return programmes.withColumns({"raw": raw, "start": start, "stop": stop, **({} if channel is None else {"channel": channel})})
 
 
+def _escaped(value: Column) -> Column:
+    for plain, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        value = F.replace(value, F.lit(plain), F.lit(safe))
+    return value
+
+
+def with_child(raw: Column, tag: str, value: Column) -> Column:
+    """The element with this text in its first child of that name, or in a new one at its end; as it is if the value is null or blank."""
+    literal = F.replace(F.replace(_escaped(value), F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    there = rf"(?s)^(.*?<{tag}(?:\s[^>]*)?(?<!/)>).*?(</{tag}\s*>)"
+    new = with_element(raw, F.concat(F.lit(f"<{tag}>"), _escaped(value), F.lit(f"</{tag}>")))
+    return F.when(F.coalesce(F.trim(value), F.lit("")) == "", raw).when(F.rlike(raw, F.lit(there)), F.regexp_replace(raw, F.lit(there), F.concat(F.lit("$1"), literal, F.lit("$2")))).otherwise(new)
+
+
+def with_element(raw: Column, element: Column) -> Column:
+    """The programme with one more child at its end; as it is if the child is null."""
+    closed = F.regexp_replace(raw, r"\s*/>\s*$", "></programme>")
+    body = F.when(F.rlike(raw, F.lit(r"</programme\s*>\s*$")), raw).otherwise(closed)
+    return F.coalesce(F.concat(F.regexp_replace(body, r"</programme\s*>\s*$", ""), element, F.lit("</programme>")), raw)
+
+
+def rendered(programmes: DataFrame) -> DataFrame:
+    """raw as the rendered columns have it (see enrich.render), where `found` isn't null: title, description, imdb rating, link, icon and images set, date and categories gone; all other children stay."""
+    first = lambda values: F.element_at(F.concat(values, F.array(F.lit(None).cast("string"))), 1)
+    ratings, images = F.coalesce("rating", F.array().cast("array<struct<system:string,value:string>>")), F.coalesce("image", F.array().cast("array<struct<type:string,src:string>>"))
+    stars = first(F.transform(F.filter(ratings, lambda r: F.lower(F.trim(r["system"])) == "imdb"), lambda r: r["value"]))
+    link = first(F.filter(F.coalesce("url", F.array().cast("array<string>")), lambda u: F.contains(F.lower(u), F.lit("imdb.com/title/"))))
+    raw, own = F.col("raw"), r"(?is)(<rating\s[^>]*system\s*=\s*[\"']imdb[\"'][^>]*>\s*<value[^>]*>).*?(</value\s*>)"
+    lacks = lambda text, element: F.when(~F.contains(raw, text), element)
+    rated = F.when(F.rlike(raw, F.lit(own)), F.regexp_replace(raw, F.lit(own), F.concat(F.lit("$1"), stars, F.lit("$2")))).otherwise(with_element(raw, F.concat(F.lit('<rating system="IMDb"><value>'), stars, F.lit("</value></rating>"))))
+    steps = [
+        F.regexp_replace(raw, r"(?s)\s*<(date|category|country|length)\b(?:[^>]*/>|[^>]*>.*?</\1\s*>)", ""), with_child(raw, "title", F.col("title")), with_child(raw, "desc", F.col("desc")), F.when(stars.isNull(), raw).otherwise(rated),
+        with_element(raw, lacks(F.lit("imdb.com/title/"), F.concat(F.lit("<url>"), _escaped(link), F.lit("</url>")))),
+        with_element(raw, lacks(F.lit("<icon"), F.concat(F.lit('<icon src="'), F.replace(_escaped(F.nullif("icon", F.lit(""))), F.lit('"'), F.lit("&quot;")), F.lit('"/>')))),
+    ]
+    for kind, orient in (("poster", "P"), ("backdrop", "L")):
+        src = first(F.transform(F.filter(images, lambda i, kind=kind: i["type"] == kind), lambda i: i["src"]))
+        element = F.concat(F.lit(f'<image type="{kind}" size="3" orient="{orient}" system="tmdb">'), _escaped(src), F.lit("</image>"))
+        steps.append(with_element(raw, lacks(F.concat(F.lit(">"), _escaped(src), F.lit("</image>")), element)))
+    # a projection for each step: one expression of all of them would hold raw thousands of times
+    for step in steps:
+        programmes = programmes.withColumn("raw", F.when(F.col("found").isNull(), raw).otherwise(step))
+    return programmes
+
+
 def split_by_magic(spark: SparkSession, path: str) -> DataFrame:
     """path, is_gzip of every landed file, by its first two bytes."""
     return spark.read.format("binaryFile").load(path).select("path", (F.hex(F.substring("content", 1, 2)) == "1F8B").alias("is_gzip"))
