@@ -45,7 +45,7 @@ def run(spark, stored, arrivals):
 
 def test_by_imdb_then_both_then_tmdb_is_one_person(spark):
     after, of = run(spark, [], [(1, "metadata", None, "tt0000001", "Ann", "{}"), (2, "metadata", 7, " TT0000001 ", "", "{}"), (3, "metadata", 7, "", "Ann Lee", '{"a":1}')])
-    assert after == [(1, 7, "tt0000001", "Ann Lee", '{"a":1}')] and of == {1: 1, 2: 1, 3: 1}
+    assert after == [(2, 7, "tt0000001", "Ann Lee", '{"a":1}')] and of == {1: 2, 2: 2, 3: 2}
 
 
 def test_paths(spark):
@@ -61,8 +61,8 @@ def test_paths(spark):
         (8, "credits", 80, None, "Dee", "{}"), (9, "credits", 81, None, "dee", "{}"),  # two of one name that only credits know
     ]
     after, of = run(spark, stored, arrivals)
-    assert after == [(10, 70, "", "BO RAY", "{}"), (11, 6, "tt0000005", "cy", "{}"), (12, None, "tt0000009", "Cy", "{}"), (16, None, "", "Cy", "{}"), (20, 80, "", "dee", "{}")]
-    assert of == {1: 10, 2: 10, 3: 11, 4: 16, 5: 11, 8: 20, 9: 20}
+    assert after == [(10, 70, "", "BO RAY", "{}"), (11, 6, "tt0000005", "cy", "{}"), (12, None, "tt0000009", "Cy", "{}"), (17, None, "", "Cy", "{}"), (21, 80, "", "dee", "{}")]
+    assert of == {1: 10, 2: 10, 3: 11, 4: 17, 5: 11, 8: 21, 9: 21}
 
 
 def test_two_stored_people_become_one(spark):

@@ -27,16 +27,17 @@ def duck():
 
 
 def names():
-    from tidemark.plans import oracles, store_queries
+    from tidemark.plans import job_queries, oracles, report_queries, store_queries
 
-    return sorted(oracles.ORACLES | store_queries.ORACLES)
+    return sorted(oracles.ORACLES | store_queries.ORACLES | job_queries.ORACLES | report_queries.ORACLES)
 
 
 @pytest.mark.parametrize("name", names())
 def test_query(spark, duck, name):
-    from tidemark.plans import oracles, queries, store_queries
+    from tidemark.plans import job_queries, oracles, queries, report_queries, store_queries
 
-    plans, sql = queries.QUERIES | store_queries.QUERIES, oracles.ORACLES | store_queries.ORACLES
+    plans = queries.QUERIES | store_queries.QUERIES | job_queries.QUERIES | report_queries.QUERIES
+    sql = oracles.ORACLES | store_queries.ORACLES | job_queries.ORACLES | report_queries.ORACLES
     same(plans[name](spark, SF).toPandas(), duck.execute(sql[name]).df())
 
 

@@ -76,12 +76,12 @@ def link_people(stored: DataFrame, arrivals: DataFrame) -> DataFrame:
 def upsert_people(stored: DataFrame, arrivals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The people after the arrivals (STORED), and for each arrival its person (ord, person_id).
 
-    The lowest stored number stays; a new person's number follows the highest stored one by its first arrival. The last imdb id,
+    The lowest stored number stays; a new person's number is the highest stored one, plus one, plus the ord of its first arrival (0 or more). The last imdb id,
     name and extra that aren't empty stand. A tmdb id is replaced by one that metadata bring; credits only fill a missing one.
     """
     rows = link_people(stored, arrivals)
     highest = stored.agg(F.coalesce(F.max("person_id"), F.lit(0))).first()[0]
-    number = F.coalesce(F.min("person_id"), F.lit(highest) + F.min(F.when(F.col("node.late") == 1, F.col("node.at"))))
+    number = F.coalesce(F.min("person_id"), F.lit(highest + 1) + F.min(F.when(F.col("node.late") == 1, F.col("node.at"))))
     last = lambda c, ok=F.lit(True): F.max_by(c, F.when(F.col(c).isNotNull() & ok, F.col("node")))
     first_credit = F.min_by("tmdb_id", F.when(F.col("tmdb_id").isNotNull() & (F.col("path") == "credits"), F.col("node")))
     extra = F.when(~filled(F.col("extra")).isin("", "{}"), F.col("extra"))

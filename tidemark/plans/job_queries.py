@@ -61,7 +61,7 @@ _PEOPLE_SQL = """
     named AS (SELECT node AS label, min(label) AS person FROM reach2 GROUP BY node),
     linked AS (SELECT rows.*, coalesce(person, label) AS person FROM rows LEFT JOIN named USING (label)),
     people AS (
-        SELECT person, coalesce(min(person_id), (SELECT max(s_suppkey) FROM supplier) + min(node) FILTER (path <> 'stored') - 1000000000)::BIGINT AS person_id,
+        SELECT person, coalesce(min(person_id), (SELECT max(s_suppkey) FROM supplier) + 1 + min(node) FILTER (path <> 'stored') - 1000000000)::BIGINT AS person_id,
             coalesce(arg_max(tmdb, node) FILTER (tmdb IS NOT NULL AND path <> 'credits'), arg_min(tmdb, node) FILTER (tmdb IS NOT NULL))::BIGINT AS tmdb_id,
             coalesce(arg_max(imdb, node) FILTER (imdb IS NOT NULL), '') AS imdb_id, coalesce(arg_max(name, node) FILTER (name IS NOT NULL), '') AS name, coalesce(arg_max(extra, node) FILTER (extra IS NOT NULL), '{}') AS extra
         FROM linked GROUP BY person
@@ -181,17 +181,17 @@ ORACLES["title_search_within"] = f"""{_SEARCH_SQL}, spent AS (
 
 def running_budget(spark: SparkSession, sf: str) -> DataFrame:
     """Line items in the order of their orders: what was spent before each, and where two budgets end."""
-    li = _table(spark, sf, "lineitem").select(F.col("l_shipdate").alias("day"), "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") != 5, F.col("l_quantity").cast("bigint")).alias("cost"))
-    order = ["day", "l_orderkey", "l_linenumber"]
+    li = _table(spark, sf, "lineitem").select(F.col("l_shipdate").alias("day"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(F.col("l_linenumber") != 5, F.col("l_quantity").cast("bigint")).alias("cost"))
+    order = ["day", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     sums = running.running_sums(li, order, {"rows": F.lit(1), "spent": F.col("cost")})
     cut = running.within_budgets(sums, order, F.col("cost"), 20_000, 300_000)
-    return cut.groupBy(F.col("day").cast("date").alias("day"), F.col("spent").alias("state")).agg(F.count("*").alias("n"), F.min("rows").alias("rows"), F.sum("cost").alias("cost"))
+    return cut.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), F.col("spent").alias("state")).agg(F.count("*").alias("n"), F.min("rows").alias("rows"), F.sum("cost").alias("cost"))
 
 
 ORACLES["running_budget"] = """
-    WITH c AS (SELECT l_shipdate, l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 5 THEN trunc(l_quantity)::BIGINT END AS cost FROM lineitem),
-    r AS (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1 AS rows, coalesce(sum(cost) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c)
-    SELECT l_shipdate::DATE AS day, CASE WHEN rows >= 20000 OR before >= 300000 THEN 'not_attempted' WHEN before + coalesce(cost, 0) <= 300000 THEN 'done' ELSE 'exhausted' END AS state, count(*) AS n, min(rows) AS rows, sum(cost)::BIGINT AS cost FROM r GROUP BY 1, 2
+    WITH c AS (SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber <> 5 THEN trunc(l_quantity)::BIGINT END AS cost FROM lineitem),
+    r AS (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS rows, coalesce(sum(cost) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c)
+    SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, CASE WHEN rows >= 20000 OR before >= 300000 THEN 'not_attempted' WHEN before + coalesce(cost, 0) <= 300000 THEN 'done' ELSE 'exhausted' END AS state, count(*) AS n, min(rows) AS rows, sum(cost)::BIGINT AS cost FROM r GROUP BY 1, 2
 """
 
 

@@ -115,7 +115,7 @@ def credits_load(spark: SparkSession, sf: str) -> DataFrame:
 ORACLES["credits_load"] = """
     WITH p AS (SELECT o_orderkey AS ord, (o_orderkey // 7 % 60)::BIGINT AS title_id, (o_custkey % 100)::BIGINT AS s, CASE WHEN o_orderkey % 7 = 0 THEN 'director' ELSE 'actor' END AS role, CASE WHEN (o_orderkey % 7 + 1) % 3 <> 0 THEN o_orderkey % 7 + 1 END::INT AS billing FROM orders),
     w AS (SELECT * FROM p WHERE role = 'director' UNION ALL SELECT * FROM p WHERE role = 'actor' QUALIFY row_number() OVER (PARTITION BY title_id ORDER BY coalesce(billing, 999999), ord) <= 5),
-    ids AS (SELECT s, CASE WHEN s % 3 <> 2 AND s IN (SELECT s_suppkey FROM supplier) THEN s ELSE (SELECT max(s_suppkey) FROM supplier WHERE s_suppkey % 3 <> 2) + min(ord) END::BIGINT AS person_id FROM w GROUP BY s)
+    ids AS (SELECT s, CASE WHEN s % 3 <> 2 AND s IN (SELECT s_suppkey FROM supplier) THEN s ELSE (SELECT max(s_suppkey) FROM supplier WHERE s_suppkey % 3 <> 2) + 1 + min(ord) END::BIGINT AS person_id FROM w GROUP BY s)
     SELECT title_id, person_id, (s * 10)::BIGINT AS tmdb_id, 'supplier ' || s AS name, role, arg_max(billing, ord) FILTER (billing IS NOT NULL) AS billing, max(ord)::BIGINT AS ord FROM w JOIN ids USING (s) GROUP BY title_id, person_id, s, role
 """
 
