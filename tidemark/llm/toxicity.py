@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytewords import pair_counts, pieces, prefix_hashes, texts_of, words_of
+from tidemark.llm.bytewords import PIECE, pair_counts, pieces, prefix_hashes, texts_of, words_of
 from tidemark.llm.scale import crc_of_id, materialize, on_workers
 
 FOLDS, CALIBRATION_FOLD = 5, 4
@@ -44,6 +44,8 @@ SLOTS = 1 << 20
 LEAST_SCALE, PER_LABEL = 0.25, 0.005
 #: A score from which a document is taken to be toxic.
 TOXIC = 0.5
+#: Bytes of text that a task works on at once: the arrays of tokens and segments are many times their text.
+SLICE = PIECE // 2
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -90,7 +92,7 @@ def token_counts(rows: DataFrame) -> DataFrame:
     """token, toxic, docs: how many of the sample's documents of either label use each token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 0):
+        for batch in pieces(batches, 0, SLICE):
             found = tokens(batch.column(0))
             text = np.concatenate([found.text if has is None else found.text[has] for has, _ in found.kinds])
             of, name, n = pair_counts(text, np.concatenate([hashes for _, hashes in found.kinds]))
@@ -255,7 +257,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled
     model = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 0):
+        for batch in pieces(batches, 0, SLICE):
             found = segments_of(batch.column(0), model.value)
             yield pa.RecordBatch.from_arrays([pa.array(best_of(found)), pa.array(found.words), batch.column(1)], names=["best", "words", "label"])
 
@@ -263,19 +265,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled
     return lexicon, fit_law(*[held.column(k).to_numpy() for k in range(3)])
 
 
-def score(docs: DataFrame, labels: DataFrame, carry: dict[str, Column], label: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """The columns of carry, then _tox_score (0 to 1) and _tox_passages (how many significant ones), for each row of docs."""
+def score(docs: DataFrame, labels: DataFrame, carry: dict[str, Column], label: str = "toxic", max_labelled: int = MAX_LABELLED, with_text: bool = False) -> DataFrame:
+    """The columns of carry, then _tox_score (0 to 1) and _tox_passages (how many significant ones), for each row of docs. with_text: and the text, as _tox_text."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, max_labelled))
     inputs = docs.select(*[c.alias(k) for k, c in carry.items()], F.col("text").alias("_tox_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, law = model.value
-        for batch in pieces(batches):
+        kept = slice(None) if with_text else slice(-1)
+        for batch in pieces(batches, size=SLICE):
             found = segments_of(batch.column(batch.num_columns - 1), lexicon)
             many = np.bincount(found.text[law.significant(found)], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(law.score(found)), pa.array(many)], names=[*batch.schema.names[:-1], "_tox_score", "_tox_passages"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[kept], pa.array(law.score(found)), pa.array(many)], names=[*batch.schema.names[kept], "_tox_score", "_tox_passages"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema.fields[:-1])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema.fields[: None if with_text else -1])
     return on_workers(inputs).mapInArrow(run, f"{fields}, _tox_score double, _tox_passages bigint")
 
 
@@ -285,7 +288,7 @@ def passages(docs: DataFrame, lexicon: Lexicon, law: Law) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, law = model.value
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=SLICE):
             found = segments_of(batch.column(1), lexicon)
             sure = law.significant(found)
             columns = [batch.column(0).take(pa.array(found.text[sure])), *[pa.array(x[sure]) for x in (found.first, found.last, found.score)]]
@@ -297,5 +300,5 @@ def passages(docs: DataFrame, lexicon: Lexicon, law: Law) -> DataFrame:
 
 def remove(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that score as toxic."""
-    found = score(docs, labels, {c: F.col(c) for c in docs.columns})
-    return found.where(F.col("_tox_score") < TOXIC).select(*docs.columns)
+    found = score(docs, labels, {c: F.col(f"`{c}`") for c in docs.columns if c != "text"}, with_text=True)
+    return found.where(F.col("_tox_score") < TOXIC).select(*[F.col("_tox_text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
