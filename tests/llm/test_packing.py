@@ -74,6 +74,21 @@ def test_ids_are_the_tokenizers(ids, monkeypatch):
     assert ids.long_text(b"").tolist() == []
 
 
+def test_what_a_worker_holds_is_bounded(monkeypatch):
+    """The tokenizer gets few words at once, and beyond KNOWN words only the first ones stay, with their ids."""
+    monkeypatch.setattr(packing, "KNOWN", 200)
+    monkeypatch.setattr(packing, "CALL", 30)
+    ids, sizes = packing.Ids(TOKENIZER), []
+    encoded = ids._encoded
+    ids._encoded = lambda texts: sizes.append(sum(len(t.split()) for t in texts)) or encoded(texts)
+    for k in range(20):
+        words = [b"alpha", b"a|b", *(b"w%d" % (50 * k + j) for j in range(50)), b"beta"]
+        flat, each = ids.of(words)
+        assert flat.tolist() == [x for w in words for x in ids.tokenizer.encode(w.decode(), add_special_tokens=False).ids]
+        assert len(each) == len(words) and len(ids.numbers) <= 200 + len(words)
+    assert max(sizes) <= 2 * 30 and {b"alpha", b"a|b"} <= set(ids.numbers)
+
+
 def check(got, rows, ids, capacity):
     """got: (doc_id, piece, start, length, crc, sequence, offset)."""
     want = Counter()

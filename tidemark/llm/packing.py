@@ -38,15 +38,23 @@ from tidemark.llm.bytewords import PIECE, pieces
 from tidemark.llm.scale import materialize, on_workers
 
 CAPACITY, END = 4096, 1
-SLICE = PIECE
-#: Words whose ids a task keeps, and new words that the tokenizer gets in one string.
-KNOWN, TOGETHER = 1 << 20, 64
+SLICE = PIECE // 4
+#: Words whose ids a task keeps, new words that the tokenizer gets in one string, and in one call (what it returns is large).
+KNOWN, TOGETHER, CALL = 1 << 18, 64, 1 << 13
 #: Stands between new words; words that hold it, and so all strings of special tokens, go to the tokenizer alone.
 BAR = "|"
 
 
+class Numbers(dict):
+    """Words as they come: a new one gets the next number."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = len(self)
+        return found
+
+
 class Ids:
-    """Token ids of texts; the ids of a word are kept until KNOWN words are."""
+    """Token ids of texts; the ids of words are kept, of KNOWN / 2 to KNOWN of them and those of one call."""
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,22 +62,35 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
         (self.bar,) = self.tokenizer.encode(BAR, add_special_tokens=False).ids
-        self._forget()
-
-    def _forget(self) -> None:
-        class Numbers(dict):
-            def __missing__(self, word: bytes) -> int:
-                self[word] = found = len(self)
-                return found
-
         self.numbers = Numbers()
         self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _forget(self, kept: int) -> None:
+        """Only the ids of the first words that came are kept: frequent words come early."""
+        self.numbers = Numbers(islice(self.numbers.items(), kept))
+        at = np.arange(len(self.numbers))
+        flat, lengths = self._of_numbers(at)
+        self.flat, self.lengths, self.starts = flat, lengths, np.cumsum(lengths) - lengths
+
+    def _of_numbers(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.lengths[at]
+        before = np.cumsum(sizes) - sizes
+        return self.flat[np.arange(int(sizes.sum())) + np.repeat(self.starts[at] - before, sizes)], sizes
+
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, fresh: list[str]) -> None:
-        """Append the ids of new words."""
+        """Append the ids of new words, CALL words at a time."""
+        found = [self._parts(fresh[k : k + CALL]) for k in range(0, len(fresh), CALL)]
+        flat = [self.flat, *(x[0] for x in found)]
+        before = np.cumsum([len(x) for x in flat[:-1]])
+        self.starts = np.concatenate([self.starts, *(x[1] + b for x, b in zip(found, before, strict=True))])
+        self.lengths = np.concatenate([self.lengths, *(x[2] for x in found)])
+        self.flat = np.concatenate(flat)
+
+    def _parts(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of words one after another, where each begins and how many it has."""
         alone = [k for k, w in enumerate(fresh) if BAR in w]
         others = [w for w in fresh if BAR not in w]
         groups = [others[k : k + TOGETHER] for k in range(0, len(others), TOGETHER)]
@@ -84,20 +105,16 @@ class Ids:
         extra = self._encoded([fresh[k] for k in alone])
         lengths[alone] = [len(x) for x in extra]
         starts[alone] = len(joined) + np.cumsum(lengths[alone]) - lengths[alone]
-        self.starts = np.concatenate([self.starts, starts + len(self.flat)])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, joined, *extra])
+        return np.concatenate([joined, *extra]), starts, lengths
 
     def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and how many each has."""
         if len(self.numbers) > KNOWN:
-            self._forget()
+            self._forget(KNOWN // 2)
         at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         if len(self.numbers) > len(self.lengths):
             self._learn([w.decode("utf-8", "replace") for w in islice(self.numbers, len(self.lengths), None)])
-        sizes = self.lengths[at]
-        before = np.cumsum(sizes) - sizes
-        return self.flat[np.arange(int(sizes.sum())) + np.repeat(self.starts[at] - before, sizes)], sizes
+        return self._of_numbers(at)
 
     def texts(self, raw: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -126,7 +143,7 @@ def _ids(tokenizer: str) -> Ids:
 def _cut(tokenizer: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, task, read = _ids(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=SLICE):
             raw = [x.as_py() or b"" for x in batch.column(batch.num_columns - 1).cast(pa.binary())]
             texts = ids.texts(raw) if len(raw) > 1 else [ids.long_text(raw[0])]
             row, piece, start, length, crc = [], [], [], [], []
