@@ -77,3 +77,27 @@ def test_texts_that_share_a_passage(spark, docs):
     assert all(any({a, b} <= x for x in bands.values()) for a, b in alike)
     assert max(map(len, bands.values())) <= 20
     assert sorted(r.doc_id for r in nearcopies.keep_one(full).collect()) == sorted({k for k, _ in rows} - {b for _, b in alike})
+
+
+def test_pairs_that_cannot_reach_the_threshold_are_not_made(docs):
+    """A hundred texts share most of their shingles, but too few: no pair is made. Of texts near the line every near copy meets."""
+    F = nearcopies.F
+    passage = prose(5, 104)
+    far = [(k, " ".join(passage[: 92 - k % 8] + prose(100 + k, 12 + k % 8))) for k in range(100)]
+    r, close = random.Random(3), []
+    for k in range(90):
+        n = r.choice([60, 104, 104, 110])
+        w = prose(7 + k % 2, 130)[r.choice([0, 0, 3]) :][:n]
+        cut = r.randrange(0, 14)
+        close.append((1000 + k, " ".join(changed(w[: n - cut], {r.randrange(n) for _ in range(r.choice([0, 0, 1, 2]))}) + prose(900 + k, cut))))
+
+    def met(rows):
+        full = docs(rows)
+        nodes = full.select(F.struct(F.struct(F.lit(False).alias("no_id"), "doc_id").alias("id"), F.xxhash64("text").alias("key")).alias("node"))
+        ids = {x.key: x.doc_id for x in full.select("doc_id", F.xxhash64("text").alias("key")).collect()}
+        found = nearcopies.by_rare_shingles(full, nodes)
+        return {(ids[x.a], ids[x.b]) for x in nearcopies.possible_pairs(found, found).collect()}
+
+    assert not met(far)
+    alike = {(a, b) for i, (b, y) in enumerate(close) for a, x in close[:i] if jaccard(x, y) >= 0.8}
+    assert len(alike) > 100 and alike <= met(close)

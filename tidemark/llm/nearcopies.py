@@ -11,11 +11,13 @@ pairs at the threshold unmet; the number of sampled bits follows the number of t
 bucket fingerprints are compared bit-sliced, and only a spanning forest of links is kept.
 
 The links' components hold all near copies that met. In each component the smallest texts are compared with all others by
-exact similarity, first one of them, then HEADS times as many in each round; near copies leave, so a group of near copies
-takes about as many comparisons as it has members. Texts that share a passage can make a component large without being near
-copies. So what is left after two rounds is parted by its rarest shingles: near copies share one of the first 1 - THRESHOLD
-of their shingles, rarest first (prefix filtering; exact), and a passage that many texts share comes last. Rounds go on in
-these parts until none has a pair that wasn't compared. The pairs of a text that has many are dealt over several tasks.
+exact similarity, and near copies leave, so a group of near copies takes about as many comparisons as it has members. Texts
+that share a passage can make a component large without being near copies. So what is left after one round is parted by its
+rarest shingles: near copies share one of the first 1 - THRESHOLD of their shingles, rarest first, and the one with fewer
+shingles has it among about the first ninth of its own (prefix filtering; exact); a passage that many texts share comes last.
+Rounds go on in these parts, first with one text of each against the others, then HEADS times as many, until none has a pair
+left. Pairs whose numbers of shingles, or places of the common one, leave no room for the threshold aren't made (exact too),
+and those that never meet so aren't either. The pairs of a text that has many are dealt over several tasks.
 
 Cases: texts without a word (null, empty, blank) are alike. Fewer than SHINGLE words: the whole sequence is the one shingle.
 Null doc_id: after all others. Repeated rows: one stays. Empty table: empty result. Further columns are kept.
@@ -118,10 +120,11 @@ def texts_of_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def by_rare_shingles(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """node, band (a shingle) for the nodes of rows: texts at the threshold or above have a band in common.
+    """node, band (a shingle), n, place, early for the nodes of rows: texts at the threshold or above have a band in common.
 
     Bands are the first n - ceil(threshold * n) + 1 of a text's n distinct shingles, in order of how few of the texts have
-    them. Texts without a word share one band.
+    them; place counts from 1. early: the text can be the one with fewer shingles of a pair whose first common shingle this
+    is, which leaves the first n - ceil(2 * threshold / (1 + threshold) * n) + 1. Texts without a word share one band.
     """
     nodes = rows.select("node").distinct()
 
@@ -138,9 +141,23 @@ def by_rare_shingles(docs: DataFrame, rows: DataFrame, threshold: float = THRESH
     each = materialize(on_workers(texts).mapInArrow(run, "key bigint, shingle bigint"), "near-shingles")
     common = each.groupBy("shingle").agg(F.count("*").alias("texts"))
     own = Window.partitionBy("key")
-    ranked = each.join(common, "shingle").withColumns({"rank": F.row_number().over(own.orderBy("texts", "shingle")), "n": F.count("*").over(own)})
-    first = ranked.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1) & (F.col("texts") > 1)).select("key", F.col("shingle").alias("band"))
-    return nodes.join(first, nodes["node.key"] == first["key"]).select("node", "band")
+    ranked = each.join(common, "shingle").withColumns({"place": F.row_number().over(own.orderBy("texts", "shingle")), "n": F.count("*").over(own)})
+    first = lambda share: F.col("place") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
+    some = ranked.where(first(threshold) & (F.col("texts") > 1))
+    some = some.select("key", F.col("shingle").alias("band"), "n", "place", first(2 * threshold / (1 + threshold)).alias("early"))
+    return nodes.join(some, nodes["node.key"] == some["key"]).select("node", "band", "n", "place", "early")
+
+
+def possible_pairs(rows: DataFrame, first: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b (keys): pairs of a row of first and a later row of its band that can be near copies; columns of by_rare_shingles.
+
+    Of the first common shingle of near copies the text with fewer shingles has an early row; from there on both have room for
+    the shingles that a pair at the threshold shares. A row that isn't early meets early ones only.
+    """
+    heads = first.select("band", F.col("node").alias("head"), F.col("n").alias("n_head"), F.col("place").alias("place_head"), F.col("early").alias("early_head"), F.explode(F.when(F.col("early"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))).alias("early"))
+    fewer = ((F.col("n_head") <= F.col("n")) & F.col("early_head")) | ((F.col("n") <= F.col("n_head")) & F.col("early"))
+    room = 1 + F.least(F.col("n_head") - F.col("place_head"), F.col("n") - F.col("place")) >= threshold / (1 + threshold) * (F.col("n_head") + F.col("n")) - 1e-9
+    return rows.join(heads, ["band", "early"]).where((F.col("head") < F.col("node")) & fewer & room).select(F.col("head.key").alias("a"), F.col("node.key").alias("b"))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -164,6 +181,11 @@ def _in_pairs(rows: DataFrame) -> DataFrame:
     return rows.join(rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "band", "left_semi")
 
 
+def _with_early(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets in which a pair can begin: one of its two rows is early."""
+    return rows.join(rows.where("early").select("band").distinct(), "band", "left_semi")
+
+
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs without near copies of texts with a smaller doc_id; of equal texts one row stays."""
     marked = materialize(sketches(docs), "near-sketches")
@@ -171,21 +193,27 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = materialize(nodes, "near-nodes")
     place = F.struct("id", "key")
     rows = materialize(nodes.join(loose_groups(nodes, threshold), "key").select(place.alias("node"), "band"), "near-groups")
-    tested, gone, heads, parted = None, None, 1, False
+    tested, gone, heads = None, None, 0
     while not rows.isEmpty():
-        ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("node")))
-        first = ranked.where(F.col("rank") <= heads).select("band", F.col("node").alias("head"))
-        pairs = rows.join(first, "band").where("head < node").select(F.col("head.key").alias("a"), F.col("node.key").alias("b")).distinct()
+        if heads:
+            ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("node")))
+            pairs = possible_pairs(rows, ranked.where(F.col("rank") <= heads).drop("rank"), threshold).distinct()
+            rest = ranked.where(F.col("rank") > heads).drop("rank")
+        else:
+            joined = rows.join(rows.groupBy("band").agg(F.min("node").alias("head")), "band").where("head < node")
+            pairs = joined.select(F.col("head.key").alias("a"), F.col("node.key").alias("b"))
+            rest = joined.select("band", "node")
         pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         copies = materialize(verified(docs, pairs, threshold).select("b").distinct(), "near-copies")
         tested = pairs if tested is None else tested.union(pairs)
         gone = copies if gone is None else gone.union(copies)
-        rest = ranked.where(F.col("rank") > heads).select("band", "node")
-        rows = materialize(_in_pairs(rest.join(copies, rest["node.key"] == copies["b"], "left_anti")), "near-buckets")
-        heads *= HEADS
-        if heads > HEADS and not parted:
-            rows = materialize(_in_pairs(by_rare_shingles(docs, rows, threshold)), "near-buckets")
-            heads, parted = 1, True
+        rest = _in_pairs(rest.join(copies, rest["node.key"] == copies["b"], "left_anti"))
+        if heads:
+            rows = materialize(_with_early(rest), "near-buckets")
+        else:
+            rows = materialize(rest, "near-buckets")
+            rows = materialize(_with_early(_in_pairs(by_rare_shingles(docs, rows, threshold))), "near-buckets")
+        heads = max(1, heads * HEADS)
     kept = nodes.select(F.col("id.doc_id").alias("_near_id"), F.col("key").alias("_near_key"))
     if gone is not None:
         kept = kept.join(gone, kept["_near_key"] == gone["b"], "left_anti")
