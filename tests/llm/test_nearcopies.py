@@ -101,3 +101,25 @@ def test_pairs_that_cannot_reach_the_threshold_are_not_made(docs):
     assert not met(far)
     alike = {(a, b) for i, (b, y) in enumerate(close) for a, x in close[:i] if jaccard(x, y) >= 0.8}
     assert len(alike) > 100 and alike <= met(close)
+
+
+def test_links_of_a_group_do_not_add_up_over_the_tables(docs, monkeypatch):
+    """A group of near copies meets in every table; its members get about a link each, and the groups are those that all pairs join."""
+    base = prose(77, 300)
+    rows = [(k, " ".join(changed(base, {k % 300, (7 * k) % 300}))) for k in range(300)] + [(1000 + k, " ".join(prose(k, 100))) for k in range(100)]
+    rows += [(2000 + k, " ".join(changed(prose(k, 100), {50}))) for k in range(0, 100, 3)]
+    F = nearcopies.F
+    nodes = nearcopies.sketches(docs(rows)).select("key", "f0", "f1").persist()
+    found = []
+    monkeypatch.setattr(nearcopies, "components", lambda edges, whole=nearcopies.components: found.append(edges) or whole(edges))
+    got = {r.key: r.band for r in nearcopies.loose_groups(nodes).collect()}
+    assert len(nearcopies.tables_for(len(rows))) > 10
+    assert found[0].count() < 1.5 * len(got)
+    left, right = nodes.select(F.struct("*").alias("x")), nodes.select(F.struct("*").alias("y"))
+    far = sum((F.bit_count(F.col(f"x.{f}").bitwiseXOR(F.col(f"y.{f}"))) for f in ("f0", "f1")), F.lit(0))
+    near = left.crossJoin(right).where((F.col("x.key") < F.col("y.key")) & (far <= nearcopies.RADIUS)).select("x.key", "y.key").collect()
+    root = {x: x for pair in near for x in pair}
+    for _ in range(20):
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == root

@@ -8,7 +8,7 @@ Fingerprints have BITS bits, of the distinct shingles. At similarity s two of th
 their bits: 19 of 128 at 0.8, with a standard deviation of 4, while unlike texts differ in 64. So the search takes RADIUS
 bits. Fingerprints meet in buckets named by the values of sampled bits, in as many tables as leave less than MISSED of the
 pairs at the threshold unmet; the number of sampled bits follows the number of texts, so buckets stay of one size. In each
-bucket fingerprints are compared bit-sliced, and only a spanning forest of links is kept.
+bucket fingerprints are compared bit-sliced, and only stars of links are kept; a text's stars of all tables become one link.
 
 The links' components hold all near copies that met. In each component the smallest texts are compared with all others by
 exact similarity, and near copies leave, so a group of near copies takes about as many comparisons as it has members. Texts
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bytewords import mixed, pair_counts, pieces, shingles_of, texts_of, words_of
 from tidemark.llm.scale import materialize, on_workers
-from tidemark.llm.simhash import compared, components
+from tidemark.llm.simhash import compared, components, joined_stars
 
 SHINGLE, THRESHOLD = 5, 0.8
 BITS, RADIUS, MISSED = 128, 34, 1e-4
@@ -99,7 +99,7 @@ def loose_groups(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         f0, f1 = (F.col(c).bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m).cast("long")) for c, m in zip(("f0", "f1"), masks, strict=True))
         each.append(F.struct(F.lit(k).alias("bucket"), F.xxhash64(f0, f1).alias("value")))
     rows = nodes.select("key", "f0", "f1", F.explode(F.array(*each)).alias("t")).select("t.bucket", "t.value", "f0", "f1", "key")
-    return components(compared(rows, ["f0", "f1"], "key", RADIUS)).select(F.col("node").alias("key"), F.col("root").alias("band"))
+    return components(joined_stars(compared(rows, ["f0", "f1"], "key", RADIUS))).select(F.col("node").alias("key"), F.col("root").alias("band"))
 
 
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:

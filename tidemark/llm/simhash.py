@@ -9,8 +9,8 @@ blocks - RADIUS parts and their values. More blocks make more and smaller bucket
 fingerprints, and every choice finds all links. Tasks hold their buckets' fingerprints as bit planes: 64 words of one bit
 for each of 64 members. A member is compared with 64 others by one XOR for each plane, and the distances are counted by
 carry-save adders in bit-sliced form; after 3, 4, 5 and 6 eighths of the planes a block whose members all exceed the radius is left. A
-bucket with more than TILE members is dealt to pairs of tiles, so no task holds more than two tiles of it. Only a spanning
-forest of each comparison's links is kept, so a group of near copies gives as many links as members.
+bucket with more than TILE members is dealt to pairs of tiles, so no task holds more than two tiles of it. Of each
+comparison's links only stars are kept, which join what they join, so a group of near copies gives as many links as members.
 
 Components come from rounds of large-star and small-star over the links; each round is a written table.
 
@@ -151,7 +151,7 @@ def bit_planes(fps: np.ndarray) -> np.ndarray:
 
 
 def forest(fps: np.ndarray, groups: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """Links of a spanning forest among members of the same group that are within the radius; numbers of members."""
+    """(first, member): each other member that links within the radius reach from the first one of its tree, inside a group; numbers of members."""
     n = len(fps)
     if n < 2:
         return []
@@ -173,13 +173,13 @@ def forest(fps: np.ndarray, groups: np.ndarray, radius: int = RADIUS) -> list[tu
             found = found[groups[found] == groups[at]]
             for x in found.tolist():
                 left[x >> 6] &= ~(np.uint64(1) << np.uint64(x & 63))
-                links.append((at, x))
+                links.append((first, x))
             todo += found.tolist()
     return links
 
 
 def compared(rows: DataFrame, prints: list[str], name: str, radius: int, tile: int = TILE) -> DataFrame:
-    """a, b (names): a spanning forest of the links within each bucket of rows (bucket, value, the fingerprint's 64-bit parts, name)."""
+    """a, b (names): what the links within each bucket of rows (bucket, value, the fingerprint's 64-bit parts, name) join, as stars around the smallest name a."""
     columns = list(dict.fromkeys([*prints, name]))
     large = materialize(rows.groupBy("bucket", "value").agg(F.count("*").alias("n")).where(F.col("n") > tile).withColumn("tiles", F.ceil(F.col("n") / tile).cast("int")).drop("n"), "simhash-large")
     rows = rows.join(large, ["bucket", "value"], "left")
@@ -187,7 +187,7 @@ def compared(rows: DataFrame, prints: list[str], name: str, radius: int, tile: i
     others = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, own).alias("i"), F.greatest(t, own).alias("j")))
     single = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
     rows = rows.select("bucket", "value", F.explode(F.when(F.col("tiles").isNull(), single).otherwise(others)).alias("t"), *columns).select("bucket", "value", "t.i", "t.j", *columns)
-    rows = rows.repartition("bucket", "value", "i", "j").sortWithinPartitions("bucket", "value", "i", "j")
+    rows = rows.repartition("bucket", "value", "i", "j").sortWithinPartitions("bucket", "value", "i", "j", name)
 
     def compare(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("bucket", "value", "i", "j", *columns)
@@ -233,6 +233,16 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int | None = None,
     return compared(buckets(distinct, blocks, radius), ["fp"], "fp", radius, tile)
 
 
+def joined_stars(stars: DataFrame) -> DataFrame:
+    """a, b: links that join exactly what the stars (a, b: b's smallest name in a comparison is a) of all buckets join, about one for each b.
+
+    Each b goes to its smallest a, and so do its other a's. These are first members of comparisons, few in a group whose members
+    meet in many buckets, so the group's links don't add up over the buckets. A b has as many a's as comparisons.
+    """
+    each = stars.groupBy("b").agg(F.min("a").alias("least"), F.collect_set("a").alias("firsts"))
+    return each.select(F.col("least").alias("a"), F.explode(F.array_append("firsts", F.col("b"))).alias("b")).where("a != b").distinct()
+
+
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """node, root (the smallest node of its component) for all nodes that have a link.
 
