@@ -57,3 +57,18 @@ def test_remove_also_the_last_row_of_a_bucket(spark, tmp_path):
     assert rows(spark, path, held.schema) == [(f"tt{k}", f"T{k}", k) for k in range(1, 10, 2)]
     stored.rewrite(path, held.where("ord = 4"), held.schema, ["imdb_id"], lambda old, more: old.unionByName(more), 64)
     assert [r[2] for r in rows(spark, path, held.schema)] == [1, 3, 4, 5, 7, 9]
+
+
+def test_a_customer_of_both_new_tables_has_the_later_name(spark, tmp_path):
+    import duckdb
+
+    from tidemark.plans import report_queries
+
+    both = range(5050, 50_000, 5100)  # odd fifties that also leave 1 over 51: one ordinal, two names
+    held = spark.createDataFrame([(k, f"Customer#{k}", "M") for k in [*range(1, 60), *both]], "c_custkey long, c_name string, c_mktsegment string")
+    held.write.parquet(f"{tmp_path}/customer.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    got = sorted(tuple(r) for r in report_queries.stored_merge(spark, str(tmp_path)).collect())
+    assert got == sorted(duck.execute(report_queries.ORACLES["stored_merge"]).fetchall())
+    assert (5050, "Customer#5050", 1_005_050) in got

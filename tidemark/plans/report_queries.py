@@ -149,8 +149,15 @@ def stored_merge(spark: SparkSession, sf: str) -> DataFrame:
     held = rows(k % 2 == 0, F.col("c_name"), k)
     path = scratch(spark, "stored")
     stored.create(held, path, ["id"])
-    new = rows(k % 50 == 0, F.when(k % 100 == 0, "").otherwise(F.lower("c_name")), k + 1_000_000).unionByName(rows(k % 51 == 1, F.col("c_name"), k + 1_000_000))
-    stored.rewrite(path, new, held.schema, ["id"], lambda old, more: store.merge_nonempty(old, more, ["id"], "ord"))
+    lowered = rows(k % 50 == 0, F.when(k % 100 == 0, "").otherwise(F.lower("c_name")), k + 1_000_000)
+    new = lowered.withColumn("nth", F.lit(1)).unionByName(rows(k % 51 == 1, F.col("c_name"), k + 1_000_000).withColumn("nth", F.lit(2)))
+
+    def merged(old: DataFrame, more: DataFrame) -> DataFrame:
+        """Rows of one ordinal, as a customer in both parts of the new ones has, count in the order of their tables."""
+        at = lambda df: df.withColumn("ord", F.struct("ord", "nth")).drop("nth")
+        return store.merge_nonempty(at(old.withColumn("nth", F.lit(0))), at(more), ["id"], "ord").withColumn("ord", F.col("ord.ord"))
+
+    stored.rewrite(path, new, held.schema, ["id"], merged)
     stored.remove(path, c.where(k % 30 == 0).select(k.alias("id")), held.schema, ["id"])
     return stored.read(spark, path, held.schema).select("id", "name", "ord")
 
