@@ -15,6 +15,23 @@ def test_m3u(spark, tmp_path):
     assert [(r.channel_index, r.name, r.tvg_id, r.grp, r.stream_url) for r in rows] == [(0, "Bar", "bar", "News", "http://example.test/bar.m3u8"), (1, "", "", "G", "http://example.test/2"), (2, "Only", "", "", "http://example.test/3"), (3, 'B",C', "", "", "http://example.test/4")]
 
 
+def test_playlist_in_many_files(spark, tmp_path):
+    adaptive, parts = "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(adaptive), spark.conf.get(parts)
+    spark.conf.set(adaptive, "false")
+    spark.conf.set(parts, "37")
+    try:
+        n = F.col("id").cast("string")
+        blocks = spark.range(500).select(F.col("id").alias("ord"), F.concat(F.lit("#EXTINF:-1,N"), n).alias("extinf"), F.concat(F.lit("#EXTGRP:G"), n).alias("extgrp"), F.concat(F.lit("http://example.test/"), n).alias("url"))
+        playlist.write_playlist(blocks, str(tmp_path / "p"))
+        assert len(list((tmp_path / "p").glob("part-*"))) > 20
+        back = playlist.parse_m3u(playlist.read_lines(spark, str(tmp_path / "p"))).collect()
+    finally:
+        spark.conf.set(adaptive, before[0])
+        spark.conf.set(parts, before[1])
+    assert sorted((int(r.name[1:]), r.grp, r.stream_url) for r in back) == [(k, f"G{k}", f"http://example.test/{k}") for k in range(500)]
+
+
 def test_xmltv(spark, tmp_path):
     text = '<tv><channel id="cps-ussr"><display-name>CPS USSR</display-name><display-name>CPS</display-name></channel><programme channel="cps-ussr" start="20260821130700 -0700" stop="20260821143800 -0700"><title lang="ru">T</title><category>film</category><rating system="imdb"><value>7.1</value></rating></programme></tv>'
     with gzip.open(tmp_path / "g.xml.gz", "wt") as f:

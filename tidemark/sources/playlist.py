@@ -40,12 +40,12 @@ def parse_m3u(lines: DataFrame) -> DataFrame:
 
 
 def playlist_lines(blocks: DataFrame, header: str = "#EXTM3U") -> DataFrame:
-    """ord, line: the header, then three lines for each block (extinf, extgrp, url) in order."""
+    """ord, line: the header, then three lines for each block (extinf, extgrp, url) in order. A block's lines are in one partition."""
     body = blocks.select(F.col("ord"), F.posexplode(F.array("extinf", "extgrp", "url")).alias("part", "value"))
     top = blocks.sparkSession.createDataFrame([(-1, 0, header)], "ord bigint, part int, value string")
-    return top.unionByName(body.select(F.col("ord").cast("long").alias("ord"), "part", "value")).orderBy("ord", "part")
+    return top.unionByName(body.select(F.col("ord").cast("long").alias("ord"), "part", "value")).repartitionByRange("ord").sortWithinPartitions("ord", "part")
 
 
 def write_playlist(blocks: DataFrame, path: str) -> None:
-    """Text in order: files are ranges of the blocks, so reading them by name gives the playlist."""
+    """Text in order: files are ranges of whole blocks, so reading them by name gives the playlist, and each alone its own blocks."""
     playlist_lines(blocks).select("value").write.mode("overwrite").text(path)
