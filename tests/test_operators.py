@@ -139,6 +139,20 @@ def test_alias_learning(spark):
     assert [(c.first_identity, c.identity, c.n) for c in clash.collect()] == [("t1", "t2", 1)]
 
 
+def test_programmes_of_one_start_stand_in_their_order(spark):
+    now = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    rows = [(ch, f"t{k}", f"2024-01-15 1{3 + k // 4}:00:00", k) for ch in "abcdefgh" for k in range(12)]
+    p = spark.createDataFrame(rows, "channel string, title string, start string, ord int").withColumns({"start_at": F.col("start").cast("timestamp_ntz"), "stop_at": F.lit(None).cast("timestamp_ntz")})
+    for turned in (p.orderBy("ord"), p.orderBy(F.desc("ord"))):
+        got = guide.next_programmes(turned.coalesce(1), now, 6, ["ord"]).select("channel", "place", "title").collect()
+        assert sorted(tuple(r) for r in got) == [(ch, k + 1, f"t{k}") for ch in "abcdefgh" for k in range(6)]
+        on = guide.current_programme(turned, F.lit("2024-01-15 13:30:00").cast("timestamp_ntz"), ["ord"]).select("channel", "title").collect()
+        assert sorted(tuple(r) for r in on) == [(ch, "t3") for ch in "abcdefgh"]
+        names = spark.createDataFrame([("A",)], "name string")
+        m = spark.createDataFrame([(0, "A", "a")], "ord int, playlist_name string, output_tvg_id string")
+        assert audit.watchlist(names, m, turned, now, 5).first().upcoming == [f"t{k}" for k in range(5)]
+
+
 def test_merge_keeps_known_values(spark):
     s = "k string, a string, b string, o int"
     got = store.merge_nonempty(spark.createDataFrame([("x", "old", "old", 1)], s), spark.createDataFrame([("x", "", "", 2)], s), ["k"], "o", overwrite=["b"]).first()

@@ -102,12 +102,13 @@ def issue_counts(audit: DataFrame) -> DataFrame:
 
 
 def watchlist(names: DataFrame, mapping: DataFrame, programmes: DataFrame, now: Column, n: int = 8) -> DataFrame:
-    """Of each watched name: status, what is on now and the next n titles. mapping: ord, playlist_name, output_tvg_id; programmes: channel, title, start_at, stop_at."""
+    """Of each watched name: status, what is on now and the next n titles. mapping: ord, playlist_name, output_tvg_id; programmes: channel, title, start_at, stop_at[, ord, which orders equal starts]."""
     m = last_wins(mapping, ["playlist_name"], "ord").select(F.col("playlist_name").alias("name"), F.col("output_tvg_id").alias("channel"))
     own = names.select("name").distinct().join(m, "name", "left")
-    p = programmes.join(own.select("channel").distinct(), "channel", "left_semi").select("channel", "title", "start_at", "stop_at")
-    on = current_programme(p, now).select("channel", F.col("title").alias("on_air"))
-    later = next_programmes(p, now, n).groupBy("channel").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "title"))), lambda x: x["title"]).alias("upcoming"))
+    ties = [c for c in ("ord",) if c in programmes.columns]
+    p = programmes.join(own.select("channel").distinct(), "channel", "left_semi").select("channel", "title", "start_at", "stop_at", *ties)
+    on = current_programme(p, now, ties).select("channel", F.col("title").alias("on_air"))
+    later = next_programmes(p, now, n, ties).groupBy("channel").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "title"))), lambda x: x["title"]).alias("upcoming"))
     out = own.join(on, "channel", "left").join(later, "channel", "left")
     status = F.when(F.col("channel").isNull(), "not_mapped").when(F.col("on_air").isNull() & F.col("upcoming").isNull(), "no_current_or_upcoming_programme").otherwise("ok")
     return out.select("name", "channel", status.alias("status"), "on_air", F.coalesce("upcoming", F.array().cast("array<string>")).alias("upcoming"))
@@ -117,16 +118,17 @@ def channel_diagnostics(names: DataFrame, mapping: DataFrame, programmes: DataFr
     """Of each watched name: whether and how it is mapped, how many programmes its channel has and can be read, what is on and the next n.
 
     mapping: ord, playlist_name, output_tvg_id, grp, region, source, source_id, method (the last row of a name counts).
-    programmes: channel, start, stop, title, desc, categories, start_at, stop_at (null where start or stop can't be read).
+    programmes: channel, start, stop, title, desc, categories, start_at, stop_at (null where start or stop can't be read)[, ord, which orders equal starts].
     """
     fields = ["output_tvg_id", "grp", "region", "source", "source_id", "method"]
     own = names.select("name").distinct().join(last_wins(mapping, ["playlist_name"], "ord").select(F.col("playlist_name").alias("name"), *fields), "name", "left")
     p = programmes.join(own.select(F.col("output_tvg_id").alias("channel")).distinct(), "channel", "left_semi")
     shown = F.struct("start", "stop", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("desc", F.lit("")).alias("desc"), F.filter(F.coalesce("categories", F.array().cast("array<string>")), lambda c: filled(c) != "").alias("categories"))
-    p = p.select("channel", "start_at", "stop_at", shown.alias("shown"))
+    ties = [c for c in ("ord",) if c in programmes.columns]
+    p = p.select("channel", "start_at", "stop_at", shown.alias("shown"), *ties)
     counts = p.groupBy("channel").agg(F.count(F.lit(1)).alias("programme_count"), F.count("start_at").alias("parseable_programme_count"))
-    on = current_programme(p, now).select("channel", F.col("shown").alias("current_programme"))
-    later = next_programmes(p, now, n).groupBy("channel").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "shown"))), lambda x: x["shown"]).alias("upcoming_programmes"))  # n rows at most
+    on = current_programme(p, now, ties).select("channel", F.col("shown").alias("current_programme"))
+    later = next_programmes(p, now, n, ties).groupBy("channel").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "shown"))), lambda x: x["shown"]).alias("upcoming_programmes"))  # n rows at most
     out = own.withColumn("channel", F.col("output_tvg_id")).join(counts, "channel", "left").join(on, "channel", "left").join(later, "channel", "left")
     matched = F.col("output_tvg_id").isNotNull()
     status = F.when(~matched, "not_mapped").when(F.col("current_programme").isNull() & F.col("upcoming_programmes").isNull(), "no_current_or_upcoming_programme").otherwise("ok")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeparse import date_is_fresh, instant, is_usable, shift
-from tidemark.operators.common import first_wins, pick
+from tidemark.operators.common import first_wins
 
 
 def clock_offsets(ids: DataFrame, rules: DataFrame) -> DataFrame:
@@ -143,14 +143,14 @@ def synthetic_schedule(channels: DataFrame, now: Column, blocks: int = 49, hours
     return out.select("name", "id", "block", at.alias("start_at"), (at + F.make_dt_interval(hours=F.lit(hours))).alias("stop_at"))
 
 
-def next_programmes(programmes: DataFrame, now: Column, n: int = 8) -> DataFrame:
-    """The n programmes of each channel that start after now, with their place."""
-    later = programmes.where(F.col("start_at") > now)
-    return pick(later, ["channel"], ["start_at"], n).withColumn("place", F.row_number().over(Window.partitionBy("channel").orderBy("start_at")))
+def next_programmes(programmes: DataFrame, now: Column, n: int = 8, ties: list[str] = ()) -> DataFrame:
+    """The n programmes of each channel that start after now, with their place; equal starts stand in the order of `ties`, and in no fixed one without."""
+    w = Window.partitionBy("channel").orderBy("start_at", *ties)
+    return programmes.where(F.col("start_at") > now).withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
 
 
-def current_programme(programmes: DataFrame, now: Column) -> DataFrame:
-    """Of each channel the programme on air: the latest start, if several are."""
+def current_programme(programmes: DataFrame, now: Column, ties: list[str] = ()) -> DataFrame:
+    """Of each channel the programme on air: the latest start, if several are, and of equal starts the last in the order of `ties`."""
     on_air = programmes.where((F.col("start_at") <= now) & (F.col("stop_at").isNull() | (F.col("stop_at") > now)))
     rest = [c for c in programmes.columns if c != "channel"]
-    return on_air.groupBy("channel").agg(F.max_by(F.struct(*rest), "start_at").alias("p")).select("channel", "p.*")
+    return on_air.groupBy("channel").agg(F.max_by(F.struct(*rest), F.struct("start_at", *ties)).alias("p")).select("channel", "p.*")
