@@ -88,6 +88,27 @@ def test_equal_tables_give_equal_bytes(spark, tmp_path):
     assert {r.title for r in xmltv.programmes_of(xmltv.read_elements(spark, f"{tmp_path}/one.xml.gz"), F.lit(0)).collect()} == {r.title for r in p.collect()}
 
 
+def test_a_guide_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    c, p = table(spark, 700)
+    p = p.withColumn("start", F.concat(F.lit("20"), F.lpad((F.crc32("title") % 89 + 10).cast("string"), 2, "0"), F.substr("start", F.lit(5))))
+    path = f"{tmp_path}/guide.xml.gz"
+    xmltv.write_guide(c, p, path)
+    content = Path(path).read_bytes()
+    assert content.count(guide_file.HEADER) > 300 and b"".join(xmltv._inflated(content)) == gzip.decompress(content)
+    columns = ["path", "kind", "raw"]
+    whole = [tuple(r) for r in xmltv.read_elements(spark, path).orderBy("nth").select(*columns).collect()]
+    assert len(whole) == 703 and [r.nth for r in xmltv.read_elements(spark, path).orderBy("nth").collect()] == list(range(703))
+    monkeypatch.setattr(xmltv, "SLICE", 2000)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dealt = xmltv.read_elements(spark, path)
+        assert [tuple(r) for r in dealt.orderBy("nth").select(*columns).collect()] == whole
+        assert dealt.select("path", "nth").distinct().count() == 703 and dealt.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_a_failed_run_leaves_the_old_guide(spark, tmp_path):
     c, p = table(spark, 20)
     path = f"{tmp_path}/guide.xml.gz"

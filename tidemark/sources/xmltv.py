@@ -1,7 +1,7 @@
 """XMLTV guides: channels and programmes from XML, and back to XML.
 
 Landed files are read as bytes: the first two say whether a file is compressed, whatever its name, and a task inflates it as
-it goes. An element is kept as the text it is (`raw`), with what this package knows of it parsed beside it, so children that
+it goes; a guide that guide_file wrote is dealt out by members, so many tasks inflate and cut it. An element is kept as the text it is (`raw`), with what this package knows of it parsed beside it, so children that
 nobody here knows of go through to the sink. Guides with `.gz` names can also be read by Spark's own XML reader.
 """
 
@@ -53,8 +53,12 @@ def name_rows(channels: DataFrame) -> DataFrame:
     return channels.select("source_index", "id", F.explode("display_names").alias("n")).select("source_index", "id", normalize_name(F.col("n")).alias("norm")).where("norm != ''").distinct()
 
 
-#: Bytes that are inflated at once.
-PIECE = 1 << 20
+#: Bytes that are inflated at once, and compressed bytes that are handed over at once.
+PIECE, FED = 1 << 20, 1 << 15
+#: Compressed bytes of a slice of a guide, at least.
+SLICE = 1 << 19
+#: A compressed byte gives fewer elements: deflate makes at most 1032 bytes of one, and an element has 10 or more.
+ELEMENTS = 128
 
 
 def _inflated(content: bytes) -> Iterator[bytes]:
@@ -63,28 +67,48 @@ def _inflated(content: bytes) -> Iterator[bytes]:
         for at in range(0, len(content), PIECE):
             yield content[at : at + PIECE]
         return
-    while content[:2] == b"\x1f\x8b":
-        member, at = zlib.decompressobj(31), 0
+    view, at = memoryview(content), 0
+    while content[at : at + 2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
         while not member.eof and (at < len(content) or member.unconsumed_tail):
             rest = member.unconsumed_tail
             if not rest:
-                rest, at = content[at : at + PIECE], at + PIECE
+                rest = view[at : at + FED]
+                at += len(rest)
             try:
                 yield member.decompress(rest, PIECE)
             except zlib.error:
                 return
-        content = member.unused_data + content[at:]
+        at -= len(member.unused_data)
+
+
+def _dealer():
+    """Whole files as slices: of a guide that guide_file wrote, members of SLICE bytes or more together, which hold whole elements; of any other file, all of it."""
+    header, size = guide_file.HEADER, SLICE
+
+    def deal(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                whole, at = content.as_py() or b"", 0
+                while at < len(whole):
+                    end = whole.find(header, at + size) if whole.startswith(header) else -1
+                    end = len(whole) if end < 0 else end
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([whole[at:end]], pa.binary()), pa.array([at], pa.int64())], ["path", "content", "at"])
+                    at = end
+
+    return deal
 
 
 def _cutter():
-    """The elements of whole files as rows. Made in a function, so that it travels to the workers with the query."""
+    """The elements of whole files, or of slices with their places (`at`), as rows. Made in a function, so that it travels to the workers with the query."""
     element = re.compile(rb"<!--.*?-->|<(channel|programme)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?</\1\s*>)", re.S)
-    inflated = _inflated
+    inflated, elements = _inflated, ELEMENTS
 
     def cut(batches):
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held, nth = b"", 0
+            places = batch.column(2).to_pylist() if batch.num_columns > 2 else [0] * batch.num_rows
+            for path, content, at in zip(batch.column(0).to_pylist(), batch.column(1), places, strict=True):
+                held, nth = b"", at * elements
                 kinds, numbers, texts = [], [], []
                 for piece in inflated(content.as_py() or b""):
                     held += piece
@@ -107,9 +131,13 @@ def _cutter():
 
 
 def read_elements(spark: SparkSession, path: str) -> DataFrame:
-    """path, kind (channel or programme), nth (place in the file), raw, of all landed files, compressed or not."""
+    """path, kind (channel or programme), nth, raw, of all landed files, compressed or not.
+
+    nth grows along a file; it counts its elements, but in a guide of several slices it leaves numbers out between them.
+    """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(_cutter(), "path string, kind string, nth bigint, raw string")
+    slices = files.mapInArrow(_dealer(), "path string, content binary, at bigint").repartition("path", "at")
+    return slices.mapInArrow(_cutter(), "path string, kind string, nth bigint, raw string")
 
 
 def channels_of(elements: DataFrame, source_index: Column) -> DataFrame:
