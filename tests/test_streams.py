@@ -35,3 +35,26 @@ def test_a_run_touches_its_own_keys_only(spark, tmp_path):
     spark.createDataFrame([(900, "k7", "", "movie", "tt1", 5, 1, "s")], streams.EVIDENCE).write.mode("append").parquet(landed)
     run()
     assert spark.read.parquet(path).count() == 201 and streams.current_aliases(spark, path).count() == 200
+
+
+def test_many_keys_of_a_bucket_over_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "BUCKETS", 2)
+    import random
+
+    draw = random.Random(7)
+    runs = [[(k, f"k{draw.randrange(12)}", draw.choice(["", "1999", None]), draw.choice(["movie", "series"]), draw.choice(["tt1", "tt2", "tt3", " "]), draw.choice([None, 1, 50, 99]), draw.choice([None, 0, 1]), draw.choice([None, "", "x", "y"])) for k in draw.sample(range(10_000), 150)] for _ in range(3)]
+    landed, path, check = (f"{tmp_path}/{x}" for x in ("landed", "changes", "checkpoint"))
+    known, clashes = {}, []
+    for rows in runs:
+        spark.createDataFrame(rows, streams.EVIDENCE).write.mode("append").parquet(landed)
+        streams.learn_aliases(spark.readStream.schema(streams.EVIDENCE).parquet(landed), path, check).awaitTermination()
+        for ord_, alias, year, media, identity, confidence, verified, source in sorted(rows):
+            if identity.strip():
+                key = (alias, year or "", media)
+                had = known.setdefault(key, [identity, 0, 0, 0, ""])
+                if had[0] == identity:
+                    known[key] = [identity, had[1] + 1, max(had[2], confidence or 0), max(had[3], verified or 0), source or had[4]]
+                else:
+                    clashes.append((ord_, *key, had[0], identity))
+    assert {(r.alias, r.year, r.media): [r.identity, r.evidence_count, r.confidence, r.verified, r.source] for r in streams.current_aliases(spark, path).collect()} == known
+    assert sorted(tuple(r) for r in streams.alias_conflicts(spark, path).collect()) == sorted(clashes) and len(known) > 40

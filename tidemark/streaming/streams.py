@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,37 +27,51 @@ STATE = "identity string, evidence_count bigint, confidence int, verified int, s
 #: What a batch appends: for each key that it touched the learned row as it stands, and each row that disagreed.
 CHANGES = f"kind string, alias string, year string, media string, {STATE}, ord bigint, known_identity string"
 KEYS = ["alias", "year", "media"]
+#: Keys are learned by buckets of their hash: a call of Python for each key would take longer than all that is done in it.
+BUCKETS = 4096
 
 
 def _learner():
-    """The state of one (alias, year, media) and how evidence changes it.
+    """A state for each (alias, year, media), kept by bucket, and how evidence changes it. A batch reads and writes the states of its own keys.
 
     Defined inside a function, so that it travels to the workers with the query.
     """
 
     class Learner(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.learned = handle.getValueState("learned", STATE)
+            self.learned = handle.getMapState("learned", ", ".join(f"{k} string" for k in KEYS), STATE)
 
         def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-            batch = pd.concat(list(rows)).sort_values("ord", kind="stable")
+            batch = pd.concat(list(rows)).sort_values("ord", kind="stable").reset_index(drop=True)
+            group = batch.groupby(KEYS, sort=False).ngroup().to_numpy()
+            start = np.unique(group, return_index=True)[1]
+            names = list(batch.loc[start, KEYS].itertuples(index=False, name=None))
+            identity, text = batch["identity"].to_numpy(object), batch["source"].to_numpy(object)
+            known, source = identity[start], np.full(len(names), "", object)
+            count, confidence, verified = (np.zeros(len(names), np.int64) for _ in range(3))
             if self.learned.exists():
-                identity, count, confidence, verified, source = self.learned.get()
-            else:
-                identity, count, confidence, verified, source = batch["identity"].iloc[0], 0, 0, 0, ""
-            agree = batch["identity"] == identity
-            same, other = batch[agree], batch[~agree]
-            if len(same):
-                count += len(same)
-                confidence = max(confidence, int(same["confidence"].max()))
-                verified = max(verified, int(same["verified"].max()))
-                source = next((x for x in reversed(same["source"].tolist()) if x), source)
-                self.learned.update((identity, count, confidence, verified, source))
-            learned = pd.DataFrame({"kind": ["learned"], "identity": identity, "evidence_count": count, "confidence": confidence, "verified": verified, "source": source, "ord": int(batch["ord"].iloc[-1]), "known_identity": identity})[: len(same)]
-            clash = other[["identity", "confidence", "verified", "source", "ord"]].assign(kind="conflict", evidence_count=1, known_identity=identity)
-            out = pd.concat([learned, clash]) if len(learned) and len(clash) else learned if len(learned) else clash
-            for name, value in zip(KEYS, key, strict=True):
-                out[name] = value
+                for k, name in enumerate(names):
+                    state = self.learned.getValue(name)
+                    if state is not None:
+                        known[k], count[k], confidence[k], verified[k], source[k] = state
+            agree = identity == known[group]
+            same = group[agree]
+            more = np.bincount(same, minlength=len(names))
+            count += more
+            np.maximum.at(confidence, same, batch["confidence"].to_numpy(np.int64)[agree])
+            np.maximum.at(verified, same, batch["verified"].to_numpy(np.int64)[agree])
+            said = np.flatnonzero(agree & (text != ""))
+            last, back = np.unique(group[said][::-1], return_index=True)
+            source[last] = text[said[::-1][back]]
+            latest = np.zeros(len(names), np.int64)
+            latest[group] = batch["ord"].to_numpy(np.int64)  # rows stand by ord, so the last one stays
+            grew = np.flatnonzero(more)
+            for k in grew:
+                self.learned.updateValue(names[k], (known[k], int(count[k]), int(confidence[k]), int(verified[k]), source[k]))
+            values = {"identity": known, "evidence_count": count, "confidence": confidence, "verified": verified, "source": source, "ord": latest, "known_identity": known}
+            learned = batch.loc[start[grew], KEYS].assign(kind="learned", **{c: x[grew] for c, x in values.items()})
+            clash = batch.loc[~agree, [*KEYS, "identity", "confidence", "verified", "source", "ord"]].assign(kind="conflict", evidence_count=1, known_identity=known[group[~agree]])
+            out = pd.concat([x for x in (learned, clash) if len(x)], ignore_index=True)
             yield out[[c.split()[0] for c in CHANGES.split(", ")]]
 
         def close(self) -> None:
@@ -70,10 +85,11 @@ def alias_changes(evidence: DataFrame) -> DataFrame:
 
     The first identity that arrives for a key stays, also against a row with a smaller ord that comes later. Evidence that
     agrees counts, raises confidence and verified, and its last source that isn't empty stays; evidence that disagrees changes
-    nothing and is a conflict. Needs the RocksDB state store.
+    nothing and is a conflict. Needs the RocksDB state store, and a checkpoint of this form (a state for each bucket and key).
     """
     whole = evidence.select("ord", *[F.coalesce(c, F.lit("")).alias(c) for c in KEYS], "identity", F.coalesce("confidence", F.lit(0)).alias("confidence"), F.coalesce("verified", F.lit(0)).alias("verified"), F.coalesce("source", F.lit("")).alias("source"))
-    return whole.where(F.trim("identity") != "").groupBy(*KEYS).transformWithStateInPandas(_learner(), outputStructType=CHANGES, outputMode="append", timeMode="none")
+    dealt = whole.where(F.trim("identity") != "").withColumn("bucket", F.pmod(F.xxhash64(*KEYS), F.lit(BUCKETS)).cast("int"))
+    return dealt.groupBy("bucket").transformWithStateInPandas(_learner(), outputStructType=CHANGES, outputMode="append", timeMode="none")
 
 
 def learn_aliases(evidence: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
